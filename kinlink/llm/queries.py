@@ -11,6 +11,14 @@ def op7_near_dedup(spark, sf_dir):
     return near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_packing(spark, sf_dir):
+    import public_tokenizers
+
+    from .packing import pack, pieces
+
+    return pack(pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
+
+
 def queries():
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
