@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from .common import table
 
 
@@ -11,6 +13,15 @@ def op7_near_dedup(spark, sf_dir):
     return near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_mixing(spark, sf_dir):
+    from .common import cut
+    from .mixing import mix, words_of
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", words_of().alias("size"))
+    taken = F.col("size") * F.col("copies")
+    return mix(cut(docs)).select("doc_id", "size", "source_size", "target", taken.alias("taken"), "copies", "rate")
+
+
 def op6_packing(spark, sf_dir):
     import public_tokenizers
 
