@@ -13,6 +13,12 @@ def op7_near_dedup(spark, sf_dir):
     return near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op1_secret_scan(spark, sf_dir):
+    from . import secret_scan
+
+    return secret_scan.op1_secret_scan(spark, sf_dir)
+
+
 def op2_mixing(spark, sf_dir):
     from .common import cut
     from .mixing import mix, words_of
@@ -30,6 +36,12 @@ def op6_packing(spark, sf_dir):
     return pack(pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op10_fingerprint(spark, sf_dir):
+    from .fingerprints import edited_pairs
+
+    return edited_pairs(table(spark, sf_dir, "documents"))
+
+
 def queries():
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
