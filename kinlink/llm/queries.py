@@ -36,6 +36,13 @@ def op6_packing(spark, sf_dir):
     return pack(pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op9_quality(spark, sf_dir):
+    from .quality import MEASURES, quality
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality(docs).select("doc_id", *MEASURES, "base_failed", "kept", "class_distance", "word_distance")
+
+
 def op10_fingerprint(spark, sf_dir):
     from .fingerprints import edited_pairs
 
