@@ -28,6 +28,20 @@ def op2_mixing(spark, sf_dir):
     return mix(cut(docs)).select("doc_id", "size", "source_size", "target", taken.alias("taken"), "copies", "rate")
 
 
+def op4_html_text(spark, sf_dir):
+    from .html_text import main_text
+
+    return main_text(table(spark, sf_dir, "pages"))
+
+
+def op5_token_counts(spark, sf_dir):
+    import public_tokenizers
+
+    from .token_counts import token_counts
+
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op6_packing(spark, sf_dir):
     import public_tokenizers
 
