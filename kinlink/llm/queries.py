@@ -28,6 +28,13 @@ def op2_mixing(spark, sf_dir):
     return mix(cut(docs)).select("doc_id", "size", "source_size", "target", taken.alias("taken"), "copies", "rate")
 
 
+def op3_language_id(spark, sf_dir):
+    from .language_id import language_id
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language_id(docs).select("doc_id", "held_out", "lang_pred", "score", "bits", "rejected")
+
+
 def op4_html_text(spark, sf_dir):
     from .html_text import main_text
 
