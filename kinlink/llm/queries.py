@@ -57,6 +57,13 @@ def op6_packing(spark, sf_dir):
     return pack(pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op8_toxicity(spark, sf_dir):
+    from .toxicity import toxicity
+
+    found = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 def op9_quality(spark, sf_dir):
     from .quality import MEASURES, quality
 
