@@ -31,6 +31,17 @@ def crc_fold(doc_id: str = "doc_id") -> F.Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4
 
 
+def aside(docs: DataFrame, **own: str) -> DataFrame:
+    """docs with its columns renamed to _in0, _in1, ... and the named ones added anew, so that no column of docs can clash with an operator's."""
+    at = {c: f"_in{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*at.values()).withColumns({name: F.col(at[c]) for name, c in own.items()})
+
+
+def back(columns: list[str], without: tuple[str, ...] = ()) -> list[F.Column]:
+    """The columns that aside() renamed, but for some names."""
+    return [F.col(f"_in{i}").alias(c) for i, c in enumerate(columns) if c.lower() not in without]
+
+
 # --- words of many texts at once -------------------------------------------------------------
 
 _SPACE = np.zeros(256, bool)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import WORD, cut
+from .common import WORD, aside, back, cut
 
 MOST = 3
 #: Parts of a class of documents of one source and size.
@@ -105,13 +105,21 @@ def _round(most: int):
     return run
 
 
+def mixed_copies(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), most: int = MOST) -> DataFrame:
+    """The mix itself: each row of docs (doc_id, source, text, other columns) as often as the mix takes it."""
+    columns = docs.columns
+    inner = aside(docs, doc_id="doc_id", source="source", text="text").withColumn("size", words_of()).drop("text")
+    return mix(inner, weights, most).filter("copies > 0").withColumn("_again", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(*back(columns))
+
+
 def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), most: int = MOST) -> DataFrame:
     """docs (doc_id, source, size, other columns) with source_size, target, rate and copies; size from words_of().
 
     A document of size 0 (a null or wordless text) gets no copy and has no influence. Repeated rows count and are rounded as often
     as they occur. A null source is a source of its own, the last. Columns of docs named like the new ones are replaced.
     """
-    docs = docs.drop("source_size", "target", "rate", "copies")
+    columns, made = docs.columns, ("source_size", "target", "rate", "copies")
+    docs = aside(docs, doc_id="doc_id", source="source", size="size")
     salt = max(SALT, docs.count() // 1_000_000)
     place = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(salt)).cast("int")
     parts = cut(docs.groupBy(F.col("source").cast("string").alias("source"), "size", place.alias("part")).agg(F.count("*").alias("n")))
@@ -134,4 +142,4 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), most: int = MOST)
     ranked = docs.withColumns({"_source": F.col("source").cast("string"), "_part": place}).withColumn("_rank", F.row_number().over(per))
     out = ranked.join(cells, F.col("_source").eqNullSafe(F.col("ps")) & (F.col("size") == F.col("psize")) & (F.col("_part") == F.col("part")))
     copies = (F.floor(F.col("k") / F.col("n")) + (F.col("_rank") <= F.col("k") % F.col("n")).cast("long")).alias("copies")
-    return out.select(*docs.columns, "source_size", "target", "rate", copies)
+    return out.select(*back(columns, made), "source_size", "target", "rate", copies)

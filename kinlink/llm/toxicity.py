@@ -295,7 +295,7 @@ def score(docs: DataFrame, net: Network | float, keep: bool = False, threshold:
     A null, empty or letterless text is one empty window. Rows are scored one by one, so repeated rows get equal scores.
     """
     shared = docs.sparkSession.sparkContext.broadcast(net)
-    where = docs.columns.index("text")
+    where, key = docs.columns.index("text"), docs.columns.index("doc_id")
 
     def scores(texts: list[str | None], state: dict) -> np.ndarray:
         net = shared.value
@@ -330,7 +330,7 @@ def score(docs: DataFrame, net: Network | float, keep: bool = False, threshold:
             if keep:
                 yield batch.filter(pa.array(got < threshold))
             else:
-                yield pa.RecordBatch.from_arrays([batch.column(docs.columns.index("doc_id")), pa.array(got), pa.array((got >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
+                yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(got), pa.array((got >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
 
     return docs.mapInArrow(run, docs.schema if keep else f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double, predicted int")
 
