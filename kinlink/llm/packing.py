@@ -5,8 +5,8 @@ pieces are sequences as they are. The others are packed in rounds: each partitio
 bins with a lower bound from dual-feasible functions; a partition that meets the bound is certified and its bins
 are final, but for the emptiest, which holds what the bound's rounding wastes. In a partition with a gap only full bins stay.
 The documents of all other bins move on, are dealt anew over fewer partitions and packed again, until one partition is left.
-A partition holds about PER_PARTITION pieces (a few numbers each) in any round. The exchange also ends when nine in ten
-pieces would move again.
+A partition holds about PER_PARTITION pieces (a few numbers each); while nine in ten pieces would move again, that doubles,
+up to eight times as many, and then the exchange ends.
 """
 
 from __future__ import annotations
@@ -165,13 +165,15 @@ def pack(cuts: DataFrame, capacity: int = CAPACITY, per_partition: int = PER_PAR
     place = lambda turn: F.lit(turn + 1) * 2**56 + F.spark_partition_id().cast("long") * 2**28 + F.col("bin")
     out = cuts.filter(F.col("length") == capacity).select("uid", F.col("uid").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     rest = cuts.filter(F.col("length") < capacity).select("uid", "length")
-    left, turn = rest.count(), 0
+    left, turn, size = rest.count(), 0, per_partition
     while left:
-        parts = -(-left // per_partition)
+        parts = -(-left // size)
         dealt = rest.repartition(parts, F.lit(0) if parts == 1 else F.xxhash64("uid", F.lit(turn)))
         packed = cut(dealt.mapInArrow(_pack(capacity), "uid long, length long, bin long, offset long, done boolean").withColumn("sequence_id", place(turn)))
         moving = packed.filter("not done").count()
-        last = parts == 1 or moving == 0 or moving > 0.9 * left
+        stuck = moving > 0.9 * left
+        last = parts == 1 or moving == 0 or stuck and size >= 8 * per_partition
+        size *= 1 + stuck
         out = out.unionByName((packed if last else packed.filter("done")).select("uid", "sequence_id", "offset"))
         if last:
             break

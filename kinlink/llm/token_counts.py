@@ -6,7 +6,7 @@ precision, paths to a position are tried by rising start and only a strictly bet
 piece of its own costs ten less than the lowest score, and a run of such characters becomes one token for each of its bytes
 (byte fallback) or one unknown token.
 
-White space: every space becomes U+2581 and one is put in front. If no piece has U+2581 behind another character, no piece crosses the
+White space: every space becomes U+2581 and one is put in front. If no piece has U+2581 behind another character, none crosses the
 start of a word, so words are segmented on their own, and each distinct word only once while it stays in the cache.
 """
 
@@ -41,7 +41,8 @@ class Unigram:
                 self.automaton.add_word(p, (len(p), last[p], i == unknown))
         self.automaton.make_automaton()
         crossing = re.compile(f"[^{MARK}]{MARK}")
-        self.by_word = not any(crossing.search(p) for p in names)
+        # without byte fallback a run of unknown characters must not reach over the mark either
+        self.by_word = (self.fallback or MARK in names) and not any(crossing.search(p) for p in names)
         self.unit = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
         self.cache: dict[str, int] = {}
 

@@ -319,7 +319,7 @@ def score(docs: DataFrame, net: Network | float, keep: bool = False, threshold:
             at = np.concatenate(parts)
             logit = np.concatenate([net.forward(state["rows"], at[i : i + 4096]) for i in range(0, len(at), 4096)])
             out[a:b] = np.maximum.reduceat(logit, np.cumsum([0, *map(len, parts[:-1])]))
-        return _sigmoid(net.scale * out + net.shift)
+        return _sigmoid(net.scale * out + net.shift).round(6)  # what lies below depends on the batch's shape
 
     def run(batches):
         net = shared.value
