@@ -16,39 +16,55 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from .common import aside, back
+
 #: Common words for each language, and the slots of their lookup table (of words that share a slot, the more common stays).
 COMMON, SLOTS = 64, 1024
 #: Distances above which a text is rejected, for long texts; SLACK / sqrt(words) is added.
 MIN_WORDS, MAX_CLASSES, MAX_WORDS, SLACK = 50, 0.2, 0.35, 1.0
 #: Languages whose references are broadcast: their tables take at most SLOTS * MOST_LANGUAGES short strings.
 MOST_LANGUAGES = 512
-CLASSES = {"upper": r"\p{Lu}", "letter": r"[\p{L}\p{M}&&[^\p{Lu}]]", "digit": r"\p{Nd}", "space": r"[\x20\x09-\x0D]", "point": r"[.,;:!?'\"()\[\]-]", "symbol": "[#*$%&|<>]"}
+CLASSES = ("upper", "letter", "digit", "space", "point", "symbol")
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
+def _classed(docs: DataFrame) -> DataFrame:
+    """docs with the text (null: empty), its length and its class counts.
+
+    Runs of lower-case letters go first and spaces next, so that the other classes are counted over the few characters left.
+    """
+    counted = lambda pattern: F.regexp_count("_r2", F.lit(pattern))
+    step = docs.withColumn("_t", F.coalesce("text", F.lit("")))
+    step = step.withColumn("_r1", F.regexp_replace("_t", r"\p{Ll}+", ""))
+    step = step.withColumn("_r2", F.replace("_r1", F.lit(" "), F.lit("")))
+    return step.withColumns(
+        {
+            "_n": F.length("_t"),
+            "_upper": counted(r"\p{Lu}"),
+            "_letter": F.length("_t") - F.length("_r1") + counted(r"[\p{L}\p{M}&&[^\p{Lu}]]"),
+            "_digit": counted(r"\p{Nd}"),
+            "_space": F.length("_r1") - F.length("_r2") + counted(r"[\x09-\x0D]"),
+            "_point": counted(r"[.,;:!?'\"()\[\]-]"),
+            "_symbol": counted("[#*$%&|<>]"),
+        }
+    ).drop("_r1", "_r2")
+
+
 def _measured(docs: DataFrame) -> DataFrame:
     """docs with the base measures, words and class counts."""
-    text = F.coalesce("text", F.lit(""))
-    counted = lambda name: F.regexp_count("_t", F.lit(CLASSES[name]))
-    step = docs.withColumn("_t", text).withColumn("_w", F.expr(r"filter(split(_t, '[\\x20\\x09-\\x0D]+'), x -> x != '')"))
+    step = _classed(docs).withColumn("_w", F.expr(r"filter(split(_t, '[\\x20\\x09-\\x0D]+'), x -> x != '')"))
     step = step.withColumns(
         {
             "n_words": F.size("_w").cast("long"),
-            "_n": F.length("_t"),
-            "_space": counted("space"),
-            "_symbol": counted("symbol"),
-            "_upper": counted("upper"),
-            "_digit": counted("digit"),
-            "_point": counted("point"),
-            "_letter": counted("letter"),
             "_lines": F.expr(r"filter(split(_t, '\n', -1), x -> rlike(x, '[^\\x20\\x09-\\x0D]'))"),
             # 38 bits of the window's hash above 26 bits of its place
             "_keys": F.expr("sort_array(transform(if(size(_w) < 3, cast(array() as array<int>), sequence(0, size(_w) - 3)), i -> (shiftleft(xxhash64(_w[i], _w[i + 1], _w[i + 2]), 26) | cast(i as bigint))))"),
         }
     )
-    same = lambda a, b: f"(shiftright({a}, 26) = shiftright({b}, 26) and _w[cast({a} & 67108863 as int)] = _w[cast({b} & 67108863 as int)] and _w[cast({a} & 67108863 as int) + 1] = _w[cast({b} & 67108863 as int) + 1] and _w[cast({a} & 67108863 as int) + 2] = _w[cast({b} & 67108863 as int) + 2])"
-    near = f"filter(_keys, (k, j) -> coalesce({same('k', 'get(_keys, j - 1)')}, false) or coalesce({same('k', 'get(_keys, j + 1)')}, false))"
-    step = step.withColumn("_at", F.expr(f"sort_array(transform({near}, k -> cast(k & 67108863 as int)))"))
+    step = step.withColumn("_near", F.expr("filter(if(size(_keys) < 2, cast(array() as array<int>), sequence(0, size(_keys) - 2)), j -> shiftrightunsigned(_keys[j] ^ _keys[j + 1], 26) = 0)"))
+    step = step.withColumn("_pairs", F.expr("transform(_near, j -> array(cast(_keys[j] & 67108863 as int), cast(_keys[j + 1] & 67108863 as int)))"))
+    same = " and ".join(f"_w[p[0] + {i}] = _w[p[1] + {i}]" for i in range(3))
+    step = step.withColumn("_at", F.expr(f"array_sort(array_distinct(flatten(filter(_pairs, p -> {same}))))"))
     return step.withColumns(
         {
             "word_chars": (F.col("_n") - F.col("_space")).cast("long"),
@@ -56,7 +72,7 @@ def _measured(docs: DataFrame) -> DataFrame:
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
             "n_repeat_words": F.expr("aggregate(transform(_at, (p, j) -> least(3, coalesce(get(_at, j + 1), p + 3) - p)), 0L, (s, x) -> s + x)"),
         }
-    ).drop("_lines", "_keys", "_at")
+    ).drop("_lines", "_keys", "_near", "_pairs", "_at")
 
 
 def _shares() -> F.Column:
@@ -69,8 +85,8 @@ def _shares() -> F.Column:
 def references(docs: DataFrame) -> DataFrame:
     """For each language (null is one): class counts, the lookup table of common words, and their shares."""
     own = docs.select(F.col("lang").cast("string").alias("lang"), F.coalesce("text", F.lit("")).alias("_t"))
-    each = [F.regexp_count("_t", F.lit(p)) for p in CLASSES.values()]
-    classes = own.groupBy("lang").agg(*(F.sum(x).alias(f"c{i}") for i, x in enumerate(each)), F.sum(F.length("_t")).alias("n"))
+    each = _classed(docs.select(F.col("lang").cast("string").alias("lang"), "text"))
+    classes = each.groupBy("lang").agg(*(F.sum(f"_{c}").alias(f"c{i}") for i, c in enumerate(CLASSES)), F.sum("_n").alias("n"))
     known = [F.col(f"c{i}") for i in range(len(CLASSES))]
     total = F.greatest(F.col("n"), F.lit(1))
     classes = classes.select("lang", F.array(*((x / total).cast("double") for x in known), (F.greatest(F.lit(0), F.col("n") - sum(known[1:], known[0])) / total).cast("double")).alias("class_ref"))
@@ -100,8 +116,9 @@ def quality(docs: DataFrame) -> DataFrame:
     Rows are judged one by one, so repeated rows get equal verdicts; columns of docs with one of the new names are replaced.
     """
     made = (*MEASURES, "base_failed", "class_distance", "word_distance", "kept")
-    docs = docs.drop(*made)
-    ref = references(docs)
+    columns = docs.columns
+    docs = aside(docs, text="text", lang="lang")
+    ref = references(docs.select("text", "lang"))
     measured = _measured(docs)
     languages = docs.select("lang").distinct().count()
     if languages <= MOST_LANGUAGES:
@@ -111,9 +128,10 @@ def quality(docs: DataFrame) -> DataFrame:
         joined = measured.withColumn("_s", F.pmod(F.xxhash64("text"), F.lit(256))).join(salted, F.col("lang").cast("string").eqNullSafe(F.col("_lang")) & (F.col("_s") == F.col("_salt")), "left").drop("_s", "_salt")
     p, q = "(x / greatest(_n, 1))", "class_ref[i]"
     joined = joined.withColumn("_hist", _shares()).withColumn("class_distance", F.expr(f"sqrt(greatest(0d, aggregate(transform(_hist, (x, i) -> {_js(p, q)}), 0d, (s, x) -> s + x)))"))
-    # numbers of the document's common words, sorted; the last of each run gives the count
-    at = f"slots[cast(pmod(xxhash64(x), {SLOTS}) as int)]"
-    joined = joined.withColumn("_c", F.expr(f"sort_array(filter(transform(transform(_w, y -> lower(y)), x -> if(get(common, {at}) = x, {at}, -1)), k -> k >= 0))"))
+    # numbers of the document's common words, sorted; the ends of their runs give the counts
+    joined = joined.withColumn("_lower", F.expr("transform(_w, x -> lower(x))"))
+    joined = joined.withColumn("_slot", F.expr(f"transform(_lower, x -> slots[cast(pmod(xxhash64(x), {SLOTS}) as int)])"))
+    joined = joined.withColumn("_c", F.expr("sort_array(filter(transform(_slot, (k, j) -> if(k >= 0 and common[k] = _lower[j], k, -1)), k -> k >= 0))"))
     joined = joined.withColumn("_ends", F.expr("filter(sequence(0, size(_c)), j -> j > 0 and (j = size(_c) or _c[j] != _c[j - 1]))"))
     joined = joined.withColumn("_runs", F.expr("transform(_ends, (e, j) -> struct(_c[e - 1] as k, (e - coalesce(get(_ends, j - 1), 0)) / greatest(n_words, 1) as p))"))
     seen = f"aggregate(transform(_runs, r -> {_js('r.p', 'common_ref[r.k]')}), 0d, (s, x) -> s + x)"
@@ -123,4 +141,4 @@ def quality(docs: DataFrame) -> DataFrame:
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     slack = F.lit(SLACK) / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
     fine = (F.col("class_distance") <= MAX_CLASSES + slack) & (F.col("word_distance") <= MAX_WORDS + slack)
-    return joined.select(*docs.columns, *MEASURES, failed.alias("base_failed"), "class_distance", "word_distance", (~failed & fine).alias("kept"))
+    return joined.select(*back(columns, made), *MEASURES, failed.alias("base_failed"), "class_distance", "word_distance", (~failed & fine).alias("kept"))
