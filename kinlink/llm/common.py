@@ -14,7 +14,12 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows that cross to Python at once: with texts of some thousand characters a few MB, so that workers stay small.
+BATCH_ROWS = 1000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -100,7 +100,7 @@ def references(docs: DataFrame) -> DataFrame:
     out = listed.join(sums, listed.lang.eqNullSafe(sums.lang)).select(listed.lang, "top", "total")
     out = classes.join(out, classes.lang.eqNullSafe(out.lang), "left").select(classes.lang, "class_ref", "top", "total")
     table = f"transform(sequence(0, {SLOTS - 1}), s -> array_position(transform(top, x -> x.slot), s) - 1)"
-    return out.select(F.col("lang").alias("_lang"), "class_ref", F.expr("transform(top, x -> x.word)").alias("common"), F.expr("transform(top, x -> x.n / total)").alias("common_ref"), F.expr(f"transform({table}, x -> cast(x as int))").alias("slots"))
+    return out.select(F.col("lang").alias("_lang"), "class_ref", F.expr("transform(top, x -> x.word)").alias("common"), F.expr("array_max(transform(top, x -> length(x.word)))").alias("widest"), F.expr("transform(top, x -> x.n / total)").alias("common_ref"), F.expr(f"transform({table}, x -> cast(x as int))").alias("slots"))
 
 
 def _js(p: str, q: str) -> str:
@@ -129,7 +129,8 @@ def quality(docs: DataFrame) -> DataFrame:
     p, q = "(x / greatest(_n, 1))", "class_ref[i]"
     joined = joined.withColumn("_hist", _shares()).withColumn("class_distance", F.expr(f"sqrt(greatest(0d, aggregate(transform(_hist, (x, i) -> {_js(p, q)}), 0d, (s, x) -> s + x)))"))
     # numbers of the document's common words, sorted; the ends of their runs give the counts
-    joined = joined.withColumn("_lower", F.expr("transform(_w, x -> lower(x))"))
+    # no lower-case form is shorter than its word, so longer words than the widest common one are none
+    joined = joined.withColumn("_lower", F.expr("transform(filter(_w, x -> length(x) <= widest), x -> lower(x))"))
     joined = joined.withColumn("_slot", F.expr(f"transform(_lower, x -> slots[cast(pmod(xxhash64(x), {SLOTS}) as int)])"))
     joined = joined.withColumn("_c", F.expr("sort_array(filter(transform(_slot, (k, j) -> if(k >= 0 and common[k] = _lower[j], k, -1)), k -> k >= 0))"))
     joined = joined.withColumn("_ends", F.expr("filter(sequence(0, size(_c)), j -> j > 0 and (j = size(_c) or _c[j] != _c[j - 1]))"))

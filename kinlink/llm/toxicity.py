@@ -34,8 +34,13 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_features(words: list[str], at_once: int = 8192) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word bucket, n-gram buckets one word after the other, n-grams of each word); n-grams lie in the second half."""
+    parts = [_features(words[a : a + at_once]) for a in range(0, len(words), at_once)]
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def _features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     joined = "".join([f"\x02{w}\x03" for w in words])
     codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32).astype(np.uint64)
     sizes = np.array([len(w) + 2 for w in words])
@@ -51,12 +56,12 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
         h = mix(h[:n] * _STEP + codes[k - 1 :])
         if k >= GRAMS[0]:
             fits = left[:n] >= k
-            found.append((h[fits] % np.uint64(BUCKETS)).astype(np.int64) + BUCKETS)
+            found.append((h[fits] % np.uint64(BUCKETS)).astype(np.int32) + BUCKETS)
             whose.append(owner[:n][fits])
     grams, whose = np.concatenate(found), np.concatenate(whose)
     order = np.argsort(whose, kind="stable")
     whole = np.add.reduceat(mix(codes * _STEP + (np.arange(len(codes)) - (ends - sizes)[owner]).astype(np.uint64)), ends - sizes)
-    return (mix(whole) % np.uint64(BUCKETS)).astype(np.int64), grams[order], np.bincount(whose, minlength=len(words))
+    return (mix(whole) % np.uint64(BUCKETS)).astype(np.int32), grams[order], np.bincount(whose, minlength=len(words)).astype(np.int32)
 
 
 class Network:
@@ -76,12 +81,12 @@ class Network:
         """A vector for each word."""
         word, grams, many = features
         out = self.embed[word].copy()
-        starts = np.concatenate(([0], np.cumsum(many)[:-1]))
+        starts = np.concatenate(([0], np.cumsum(many, dtype=np.int64)[:-1]))
         for a in range(0, len(word), 8192):
             b = min(a + 8192, len(word))
             rows = self.embed[grams[starts[a] : starts[b - 1] + many[b - 1]]]
-            out[a:b] += np.add.reduceat(rows, starts[a:b] - starts[a]) / np.sqrt(many[a:b, None])
-        return out.astype(np.float32)
+            out[a:b] += np.add.reduceat(rows, starts[a:b] - starts[a]) / np.sqrt(many[a:b, None]).astype(np.float32)
+        return out.astype(np.float32, copy=False)
 
     def inputs(self, vectors: np.ndarray) -> dict[str, np.ndarray]:
         """What each word adds to the gates of either direction, with row 0 in front."""
@@ -173,7 +178,8 @@ def train(texts: list[str], labels: np.ndarray, prior: float, epochs: int = 9, s
             every = every[np.linspace(0, len(every) - 1, WINDOWS).astype(int)]
         parts.append(every)
         owner += [i] * len(every)
-    at, owner = np.concatenate(parts), np.array(owner)
+    at, owner = np.concatenate(parts).astype(np.int32), np.array(owner, np.int32)
+    del split, parts
     order = np.lexsort((r.random(len(labels)), labels))
     held = np.zeros(len(labels), bool)
     held[order[::5]] = True
@@ -188,7 +194,7 @@ def train(texts: list[str], labels: np.ndarray, prior: float, epochs: int = 9, s
         runs = np.stack([np.sort(r.choice(r.choice(spare, r.integers(1, 4)), WIDTH)) for _ in range(len(labels))])
         at, owner = np.concatenate((at, runs)), np.concatenate((owner, np.arange(texts_in, 2 * texts_in)))
         labels, held = np.concatenate((labels, np.zeros(texts_in, labels.dtype))), np.concatenate((held, np.zeros(texts_in, bool)))
-    starts = np.concatenate(([0], np.cumsum(features[2])[:-1]))
+    starts = np.concatenate(([0], np.cumsum(features[2], dtype=np.int64)[:-1]))
     moments = {k: [np.zeros_like(x), np.zeros_like(x)] for k, x in net.dense.items()}
     squares = np.full(len(net.embed), 1e-8, np.float32)
     turn = 0
@@ -204,7 +210,7 @@ def train(texts: list[str], labels: np.ndarray, prior: float, epochs: int = 9, s
         used, numbered = (used[1:], numbered) if used[0] == 0 else (used, numbered + 1)
         numbered = numbered.reshape(len(rows), WIDTH)
         many = features[2][used - 1]
-        begin = np.concatenate(([0], np.cumsum(many)[:-1]))
+        begin = np.concatenate(([0], np.cumsum(many, dtype=np.int64)[:-1]))
         grams = features[1][np.repeat(starts[used - 1] - begin, many) + np.arange(many.sum())]
         own = (features[0][used - 1], grams, many)
         table = net.words(own)
@@ -286,7 +292,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network |
     y = rows.column("toxic").to_numpy()
     if len(set(y.tolist())) < 2:
         return float(y[0]) if len(y) else 0.0
-    return train(rows.column("text").to_pylist(), y, counts[1] / (counts[0] + counts[1]))
+    texts = rows.column("text").to_pylist()
+    del rows
+    return train(texts, y, counts[1] / (counts[0] + counts[1]))
 
 
 def score(docs: DataFrame, net: Network | float, keep: bool = False, threshold: float = THRESHOLD) -> DataFrame:
