@@ -12,8 +12,10 @@ shingles (with fewer words the whole sequence; none without words). Two document
    one of those. Stars over these lists give candidate clusters; no list is expanded into pairs.
 3. A cluster's full sets are compared in blocks of bounded size. In a block the lists give overlaps, the sketch of the union
    (bottom 256) estimates the similarity, and an exact count on the full sets confirms each link that still joins two
-   components; only links of a spanning forest leave the task. A large cluster is dealt over block pairs, none too
-   large for one task; that costs blocks ** 2 tasks for one cluster.
+   components; only links of a spanning forest leave the task. A cluster of one block, by far the usual case, is done. A
+   large one has HUBS of its documents copied into all its blocks, which joins what a group of near copies has in each block.
+   What is then outside its largest component meets the other blocks, block by block, and nothing else does: the largest
+   component is never compared with itself again.
 4. Components of the links, by large-star and small-star.
 """
 
@@ -35,6 +37,8 @@ K, MIN_SHARED = 64, 28
 UNION_K, ESTIMATE = 256, 0.59
 #: Shingles in a block, about 8 bytes each in a task.
 BLOCK = 400_000
+#: Documents of a large cluster that all its blocks hold.
+HUBS = 32
 _STEP = np.uint64(0xD1342543DE82EF95)
 
 
@@ -75,16 +79,20 @@ def _sketches(k: int):
 
 
 def _full_sets(batches):
+    """Replaces the text, the last column, by its set."""
     for batch in batches:
         sets = pa.array([s.tobytes() for s in shingle_sets(batch.column("text"))], pa.binary())
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "cluster", "blocks", "block")), sets], ["doc_id", "cluster", "blocks", "block", "items"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], sets], [*batch.schema.names[:-1], "items"])
 
 
-def forest(ids: list[int], sets: list[np.ndarray], side: np.ndarray | None, percent: int) -> list[tuple[int, int]]:
-    """Confirmed links that span the components of these sets; with side, only of pairs across the two sides."""
+def forest(ids: list[int], sets: list[np.ndarray], percent: int, known: list[int] | None = None, side: np.ndarray | None = None, block: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Confirmed links that span the components of these sets, beyond the known components (labels); with side, only pairs across the sides and from different blocks."""
     n = len(ids)
     size = np.array([len(s) for s in sets])
     parent = list(range(n))
+    if known is not None:
+        first: dict[int, int] = {}
+        parent = [first.setdefault(label, i) for i, label in enumerate(known)]
 
     def find(x: int) -> int:
         while parent[x] != x:
@@ -112,7 +120,7 @@ def forest(ids: list[int], sets: list[np.ndarray], side: np.ndarray | None, perc
         need = np.where(most <= K, np.ceil(most * percent / 100), np.minimum(MIN_SHARED, np.ceil(least * percent / 100)))
         near = (shared >= np.maximum(1, need)) & (100 * least >= percent * most)
         if side is not None:
-            near &= side[:i] != side[i]
+            near &= (side[:i] != side[i]) & (block[:i] != block[i])
         at = np.flatnonzero(near)
         if not len(at):
             continue
@@ -145,14 +153,43 @@ def _links(percent: int):
     def run(group: pa.Table) -> pa.Table:
         ids = group.column("doc_id").to_pylist()
         sets = [np.frombuffer(x, np.uint64) for x in group.column("items").to_pylist()]
-        a, b = group.column("bi")[0].as_py(), group.column("bj")[0].as_py()
-        side = None if a == b else np.array(group.column("block").to_pylist()) == a
-        found = forest(ids, sets, side, percent)
+        how = {}
+        if "side" in group.column_names:
+            how = {"known": group.column("component").to_pylist(), "side": group.column("side").to_numpy(), "block": group.column("block").to_numpy()}
+        found = forest(ids, sets, percent, **how)
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
     return run
 
 
+def _cluster_links(docs: DataFrame, member: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that span the components of docs (doc_id, text) inside the clusters; member is (doc_id, cluster, n)."""
+    link = "a long, b long"
+    blocks = member.groupBy("cluster").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
+    dealt = cut(member.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")))
+    large = dealt.filter("blocks > 1")
+    hubs = large.withColumn("rank", F.row_number().over(W.partitionBy("cluster").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id"))).filter(F.col("rank") <= HUBS).select("doc_id", F.lit(True).alias("hub"))
+    places = F.when(F.col("hub"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))
+    placed = dealt.join(hubs, "doc_id", "left").select("doc_id", "cluster", places.alias("places"))
+    whole = docs.join(placed, "doc_id").select("doc_id", "cluster", "places", "text").mapInArrow(_full_sets, "doc_id long, cluster long, places array<int>, items binary")
+    links = cut(whole.select("doc_id", "items", "cluster", F.explode("places").alias("place")).groupBy("cluster", "place").applyInArrow(_links(percent), link))
+    if large.isEmpty():
+        return links
+    # of each large cluster, what is outside the largest component, against all other blocks
+    label = components(links.join(large.select(F.col("doc_id").alias("a")), "a", "left_semi"))
+    known = large.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "cluster", "n", "blocks", "block", F.coalesce("label", "doc_id").alias("component"))
+    counts = known.groupBy("cluster", "component").agg(F.count("*").alias("many"), F.sum("n").alias("n"))
+    largest = counts.groupBy("cluster").agg(F.max(F.struct("many", "component")).alias("top"), F.sum("n").alias("all"))
+    outside = counts.join(largest, "cluster").filter("component != top.component").groupBy("cluster").agg(F.first("top.component").alias("top"), F.ceil(F.sum("n") / BLOCK).cast("int").alias("parts"))
+    roled = known.join(outside, "cluster").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(2)), F.col("parts")).cast("int"))
+    met = F.expr("transform(sequence(0, parts - 1), p -> struct(p as part, block as place, 0 as side))")
+    meets = F.expr("if(component = top, array(), transform(sequence(0, blocks - 1), b -> struct(part as part, b as place, 1 as side)))")
+    roled = roled.select("doc_id", "cluster", "block", "component", F.concat(met, meets).alias("roles"))
+    again = docs.join(roled, "doc_id").select("doc_id", "cluster", "block", "component", "roles", "text").mapInArrow(_full_sets, "doc_id long, cluster long, block int, component long, roles array<struct<part: int, place: int, side: int>>, items binary")
+    paired = again.withColumn("role", F.explode("roles")).select("doc_id", "items", "block", "component", "cluster", "role.part", "role.place", "role.side")
+    return links.unionByName(cut(paired.groupBy("cluster", "part", "place").applyInArrow(_links(percent), link)))
+
+
 def near_dedup(docs: DataFrame, percent: int = 75) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of docs (doc_id, text; other columns are ignored).
 
@@ -171,13 +208,8 @@ def near_dedup(docs: DataFrame, percent: int = 75) -> DataFrame:
     head = prefix.groupBy("v").agg(F.min("rep").alias("head"), F.count("*").alias("many")).filter("many > 1").select("v", "head")
     cluster = components(prefix.join(head, "v").filter("rep != head").select(F.col("rep").alias("a"), F.col("head").alias("b")))
     cluster = cluster.unionByName(cluster.select(F.col("label").alias("node"), "label").distinct())
-    member = cluster.join(prefix.select(F.col("rep").alias("node"), "n").distinct(), "node")
-    blocks = member.groupBy("label").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
-    dealt = member.join(blocks, "label").select(F.col("node").alias("doc_id"), F.col("label").alias("cluster"), "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
-    whole = docs.select(F.col("doc_id").cast("long"), F.col("text")).join(dealt, "doc_id").mapInArrow(_full_sets, "doc_id long, cluster long, blocks int, block int, items binary")
-    other = whole.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    paired = other.select("doc_id", "items", "block", "cluster", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"))
-    links = cut(paired.groupBy("cluster", "bi", "bj").applyInArrow(_links(percent), "a long, b long"))
+    member = cluster.join(prefix.select(F.col("rep").alias("node"), "n").distinct(), "node").select(F.col("node").alias("doc_id"), F.col("label").alias("cluster"), "n")
+    links = _cluster_links(docs.select(F.col("doc_id").cast("long"), F.col("text")), member, percent)
     label = components(links)
     by_set = sets.select("fp", "rep").join(label.withColumnRenamed("node", "rep"), "rep", "left").select("fp", F.coalesce("label", "rep").alias("component"))
     out = sketched.select("doc_id", "n", "fp").join(by_set, "fp", "left")
