@@ -18,8 +18,8 @@ from pyspark.sql import Window as W
 
 from .common import aside, back
 
-#: Common words for each language, and the slots of their lookup table (of words that share a slot, the more common stays).
-COMMON, SLOTS = 64, 1024
+#: Common words for each language, and the slots of their lookup table (of words that share a slot, the rarer go to a list beside it).
+COMMON, SLOTS = 64, 8192
 #: Distances above which a text is rejected, for long texts; SLACK / sqrt(words) is added.
 MIN_WORDS, MAX_CLASSES, MAX_WORDS, SLACK = 50, 0.2, 0.35, 1.0
 #: Languages whose references are broadcast: their tables take at most SLOTS * MOST_LANGUAGES short strings.
@@ -95,12 +95,13 @@ def references(docs: DataFrame) -> DataFrame:
     sums = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     slot = F.pmod(F.xxhash64("word"), F.lit(SLOTS)).cast("int")
     top = counts.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "word"))).filter(F.col("rank") <= COMMON)
-    top = top.withColumn("slot", slot).groupBy("lang", "slot").agg(F.min_by("word", "rank").alias("word"), F.max("n").alias("n"), F.min("rank").alias("rank"))
-    listed = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "slot", "word", "n"))).alias("top"))
+    listed = top.withColumn("slot", slot).groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "slot", "word", "n"))).alias("top"))
     out = listed.join(sums, listed.lang.eqNullSafe(sums.lang)).select(listed.lang, "top", "total")
     out = classes.join(out, classes.lang.eqNullSafe(out.lang), "left").select(classes.lang, "class_ref", "top", "total")
-    table = f"transform(sequence(0, {SLOTS - 1}), s -> array_position(transform(top, x -> x.slot), s) - 1)"
-    return out.select(F.col("lang").alias("_lang"), "class_ref", F.expr("transform(top, x -> x.word)").alias("common"), F.expr("array_max(transform(top, x -> length(x.word)))").alias("widest"), F.expr("transform(top, x -> x.n / total)").alias("common_ref"), F.expr(f"transform({table}, x -> cast(x as int))").alias("slots"))
+    held = "transform(top, x -> x.slot)"
+    table = f"transform(sequence(0, {SLOTS - 1}), s -> array_position({held}, s) - 1)"
+    beside = f"transform(filter(top, (x, i) -> array_position({held}, x.slot) != i + 1), x -> x.rank - 1)"
+    return out.select(F.col("lang").alias("_lang"), "class_ref", F.expr("transform(top, x -> x.word)").alias("common"), F.expr("array_max(transform(top, x -> length(x.word)))").alias("widest"), F.expr("transform(top, x -> x.n / total)").alias("common_ref"), F.expr(f"transform({table}, x -> cast(x as int))").alias("slots"), F.expr(beside).alias("beside"))
 
 
 def _js(p: str, q: str) -> str:
@@ -132,7 +133,7 @@ def quality(docs: DataFrame) -> DataFrame:
     # no lower-case form is shorter than its word, so longer words than the widest common one are none
     joined = joined.withColumn("_lower", F.expr("transform(filter(_w, x -> length(x) <= widest), x -> lower(x))"))
     joined = joined.withColumn("_slot", F.expr(f"transform(_lower, x -> slots[cast(pmod(xxhash64(x), {SLOTS}) as int)])"))
-    joined = joined.withColumn("_c", F.expr("sort_array(filter(transform(_slot, (k, j) -> if(k >= 0 and common[k] = _lower[j], k, -1)), k -> k >= 0))"))
+    joined = joined.withColumn("_c", F.expr("sort_array(filter(transform(_slot, (k, j) -> if(k < 0, -1, if(common[k] = _lower[j], k, if(size(beside) = 0, -1, coalesce(get(filter(beside, b -> common[b] = _lower[j]), 0), -1))))), k -> k >= 0))"))
     joined = joined.withColumn("_ends", F.expr("filter(sequence(0, size(_c)), j -> j > 0 and (j = size(_c) or _c[j] != _c[j - 1]))"))
     joined = joined.withColumn("_runs", F.expr("transform(_ends, (e, j) -> struct(_c[e - 1] as k, (e - coalesce(get(_ends, j - 1), 0)) / greatest(n_words, 1) as p))"))
     seen = f"aggregate(transform(_runs, r -> {_js('r.p', 'common_ref[r.k]')}), 0d, (s, x) -> s + x)"

@@ -68,7 +68,7 @@ def op9_quality(spark, sf_dir):
     from .quality import MEASURES, quality
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return quality(docs).select("doc_id", *MEASURES, "base_failed", "kept", "class_distance", "word_distance")
+    return quality(docs).select("doc_id", *MEASURES, "base_failed", "kept", *(F.round(c, 6).alias(c) for c in ("class_distance", "word_distance")))
 
 
 def op10_fingerprint(spark, sf_dir):
@@ -81,5 +81,73 @@ def queries():
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
 
+# --- SQL, where it can express the rows ---------------------------------------------------------
+
+
+def _any_case(word: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+_KEYWORDS = "|".join(map(_any_case, ("password", "passwd", "secret", "token"))) + f"|{_any_case('api')}_?{_any_case('key')}"
+_PATTERNS = {"assign": rf"""(?:{_KEYWORDS})["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+""", "access": "AKIA[A-Z0-9]+", "hex": "[0-9a-f]+"}
+_VALUE = rf"""^(?:{_KEYWORDS})["'']?\x20*[:=]\x20*["'']?"""
+_HOLDS = {"assign": f"length(regexp_replace(m, '{_VALUE}', '')) >= 6", "access": "length(m) >= 20", "hex": "length(m) >= 24"}
+
+
+def _spans(kind: str, number: int) -> str:
+    """Matches and the pieces between them give the places."""
+    found = f"SELECT doc_id, regexp_extract_all(t, '{_PATTERNS[kind]}') AS ms, string_split_regex(t, '{_PATTERNS[kind]}') AS ps FROM d"
+    each = f"SELECT doc_id, ms, ps, unnest(range(1, len(ms) + 1)) AS i FROM ({found})"
+    placed = f"SELECT doc_id, ms[i] AS m, coalesce(list_sum(list_transform(ps[1:i], lambda x: length(x))), 0)::BIGINT + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0)::BIGINT AS a FROM ({each})"
+    return f"SELECT doc_id, '{kind}' AS kind, {number} AS k, a, a + length(m) AS b FROM ({placed}) WHERE {_HOLDS[kind]}"
+
+
+#: The base and its digest. The kinds with checksums are no SQL; the tables given have none of them.
+_OP1 = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), s AS ({' UNION ALL '.join(_spans(k, i) for i, k in enumerate(_PATTERNS))}),
+g AS (SELECT doc_id, count(*) FILTER (k = 0) AS a, count(*) FILTER (k = 1) AS c, count(*) FILTER (k = 2) AS h, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, k) AS spans FROM s GROUP BY 1)
+SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(c, 0) AS n_access, coalesce(h, 0) AS n_hex, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (doc_id)"""
+
+_SPLIT = r"list_filter(string_split_regex({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+_OP7 = rf"""WITH RECURSIVE w AS (SELECT doc_id, {_SPLIT.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
+sh AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w),
+item AS (SELECT doc_id, len(s) AS n, hash(unnest(s)) AS h FROM sh),
+link AS (SELECT a.doc_id AS a, b.doc_id AS b FROM item a JOIN item b ON a.h = b.h AND a.doc_id <> b.doc_id AND 4 * a.n >= 3 * b.n AND 4 * b.n >= 3 * a.n GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+reach(node, seen) AS (SELECT doc_id, doc_id FROM documents UNION SELECT link.a, reach.seen FROM link JOIN reach ON link.b = reach.node),
+least AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY 1)
+SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept FROM sh JOIN least ON node = doc_id"""
+
+
+def _op9() -> str:
+    from . import quality as q
+
+    js = lambda p, r: f"(0.5::DOUBLE * (CASE WHEN {p} > 0 THEN {p} * log2(2 * {p} / ({p} + {r})) ELSE 0 END + CASE WHEN {r} > 0 THEN {r} * log2(2 * {r} / ({p} + {r})) ELSE 0 END))"
+    counted = lambda pattern: f"len(regexp_extract_all(t, '{pattern}'))"
+    kinds = {"upper": counted(r"\p{Lu}"), "letter": counted(r"[\p{L}\p{M}]") + " - " + counted(r"\p{Lu}"), "digit": counted(r"\p{Nd}"), "space": counted(r"[\x20\x09-\x0D]"), "point": counted(r"[.,;:!?''\"()\[\]-]"), "symbol": counted(r"[#*$%&|<>]")}
+    names = list(kinds)
+    other = " - ".join(["length(t)", *(f"c_{n}" for n in names)])
+    classes = [*(f"c_{n}" for n in names), "c_other"]
+    return rf"""WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t, {_SPLIT.format("coalesce(text, '')")} AS w FROM documents),
+c0 AS (SELECT *, {', '.join(f'{e} AS c_{n}' for n, e in kinds.items())} FROM d), c AS (SELECT *, {other} AS c_other FROM c0),
+cr AS (SELECT lang AS l, {', '.join(f'sum({x}) / greatest(1, sum(length(t)))::DOUBLE AS r_{x}' for x in classes)} FROM c GROUP BY 1),
+cd AS (SELECT doc_id, sqrt(greatest(0, {' + '.join(js(f'({x} / greatest(1, length(t))::DOUBLE)', f'r_{x}') for x in classes)})) AS class_distance FROM c JOIN cr ON c.lang IS NOT DISTINCT FROM cr.l),
+lw AS (SELECT doc_id, lang, unnest(list_transform(w, lambda x: lower(x))) AS word FROM d),
+wc AS (SELECT lang, word, count(*) AS n FROM lw GROUP BY 1, 2), tot AS (SELECT lang, sum(n) AS total FROM wc GROUP BY 1),
+top AS (SELECT wc.lang, word, n / total::DOUBLE AS q FROM wc JOIN tot ON wc.lang IS NOT DISTINCT FROM tot.lang QUALIFY row_number() OVER (PARTITION BY wc.lang ORDER BY n DESC, word) <= {q.COMMON}),
+qs AS (SELECT lang, sum(q) AS q FROM top GROUP BY 1),
+dw AS (SELECT doc_id, lang, word, count(*) AS k FROM lw GROUP BY 1, 2, 3),
+hit AS (SELECT dw.doc_id, k / len(w)::DOUBLE AS p, q FROM dw JOIN top ON dw.word = top.word AND dw.lang IS NOT DISTINCT FROM top.lang JOIN d ON d.doc_id = dw.doc_id),
+agg AS (SELECT doc_id, sum({js('p', 'q')}) AS js, sum(p) AS p, sum(q) AS q FROM hit GROUP BY 1),
+wd0 AS (SELECT d.doc_id, coalesce(agg.js, 0) AS js, greatest(0, 1 - coalesce(agg.p, 0)) AS po, greatest(0, 1 - qs.q) AS qo, qs.q - coalesce(agg.q, 0) AS absent FROM d LEFT JOIN agg ON agg.doc_id = d.doc_id LEFT JOIN qs ON d.lang IS NOT DISTINCT FROM qs.lang),
+wd AS (SELECT doc_id, coalesce(sqrt(greatest(0, js + 0.5::DOUBLE * absent + {js('po', 'qo')})), 0) AS word_distance FROM wd0),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 2], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+dup AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+rep AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM dup) GROUP BY 1),
+base AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars, {counted(r"[#*$%&|<>]")}::BIGINT AS n_symbols,
+  (len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words FROM d LEFT JOIN rep ON rep.doc_id = d.doc_id),
+f AS (SELECT base.*, n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed, class_distance, word_distance FROM base JOIN cd USING (doc_id) JOIN wd USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND class_distance <= {q.MAX_CLASSES} + {q.SLACK} / sqrt(greatest(1, n_words)) AND word_distance <= {q.MAX_WORDS} + {q.SLACK} / sqrt(greatest(1, n_words)) AS kept, round(class_distance, 6) AS class_distance, round(word_distance, 6) AS word_distance FROM f"""
+
+
 def oracle_sql():
-    return {}
+    return {"op1_secret_scan": _OP1, "op7_near_dedup": _OP7, "op9_quality": _op9()}
