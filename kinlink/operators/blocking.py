@@ -33,6 +33,12 @@ def token_frequencies(pool: DataFrame, column: str = "name_core_tokens") -> Data
     return _tokens(pool, CAND, column).groupBy("token").agg(F.count("*").alias("df"))
 
 
+def postings(pool: DataFrame, max_doc_freq: int | None = None, column: str = "name_core_tokens") -> DataFrame:
+    """(token, ids): the index as lists, for inspection; blocking itself joins on the long form. No list is longer than the cap."""
+    kept = token_frequencies(pool, column).crossJoin(F.broadcast(_cap(pool, max_doc_freq, 50, 0.01))).filter("df <= cap").select("token")
+    return _tokens(pool, CAND, column).join(kept, "token").groupBy("token").agg(F.sort_array(F.collect_list(CAND)).alias("ids"))
+
+
 def frequent_tokens(pool: DataFrame, max_doc_freq: int | None = None, column: str = "name_core_tokens") -> DataFrame:
     """Tokens that blocking leaves out: df above the cap, by default 1 % of the pool and 50 at least."""
     return token_frequencies(pool, column).crossJoin(F.broadcast(_cap(pool, max_doc_freq, 50, 0.01))).filter("df > cap").select("token", "df")

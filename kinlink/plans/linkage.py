@@ -7,6 +7,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.encoding import hashed_encoder
 from ..functions.text import normalize
 from ..operators import blocking, features, matcher, metrics, split, validate
 from ..sources import tables
@@ -83,6 +84,8 @@ def main(args: list[str] | None = None) -> int:
         p.add_argument("--data-dir", required=True)
         if name != "validate":
             p.add_argument("--artifacts-dir", default="artifacts")
+        if name != "validate":
+            p.add_argument("--no-embeddings", action="store_true")
         if name == "train":
             p.add_argument("--val-fraction", type=float, default=0.2)
             p.add_argument("--rounds", type=int, default=50)
@@ -102,16 +105,17 @@ def main(args: list[str] | None = None) -> int:
         checks = validate.report(tables.read_output(spark, a.matching), tables.read_output(spark, a.candidate), *own)
         checks.show(50, False)
         return 0 if validate.valid(checks) else 1
+    encoder = None if a.no_embeddings else hashed_encoder()
     limits = {"max_candidates_per_entity": a.max_candidates, "max_token_doc_freq": a.max_token_doc_freq, "max_postal_bucket_size": a.max_postal_bucket_size, "max_candidates_per_token_query": a.max_candidates_per_token_query}
     limits = {k: v for k, v in limits.items() if v is not None}
     if a.command == "train":
         truth = tables.truth_pairs(tables.read_truth(spark, f"{a.data_dir}/train_ground_truth.tsv"))
-        model, idf, config = train(spark, *load_sources(spark, a.data_dir, "train"), truth, val_fraction=a.val_fraction, rounds=a.rounds, **limits)
+        model, idf, config = train(spark, *load_sources(spark, a.data_dir, "train"), truth, encoder, val_fraction=a.val_fraction, rounds=a.rounds, **limits)
         matcher.save(a.artifacts_dir, model, idf, config)
         return 0
     model, idf, config = matcher.load(spark, a.artifacts_dir)
     sources = load_sources(spark, a.data_dir, "test")
-    pairs, matches = predict(spark, *sources, model, idf, config | limits, a.threshold)
+    pairs, matches = predict(spark, *sources, model, idf, config | limits, a.threshold, encoder if config["use_embeddings"] else None)
     tables.write_id_lists(sources[0], pairs, "candidate_entity_ids", f"{a.output_dir}/candidate_pairs.tsv")
     tables.write_id_lists(sources[0], matches, "matched_entity_ids", f"{a.output_dir}/matching_results.tsv")
     return 0

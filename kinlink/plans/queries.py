@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import similarity, tfidf
 from ..functions import text as T
+from ..functions.encoding import hashed_encoder
 from ..operators import blocking, features, matcher, metrics, split, validate
 from ..operators.blocking import CAND, S1
 from ..sources import fixtures, tables
@@ -190,6 +191,11 @@ def _(spark, sf_dir):
     return blocking.token_frequencies(_sides(spark, sf_dir)[1])
 
 
+@query("token_postings", f"WITH {_FREQ} SELECT token, string_agg(entity_id, ',' ORDER BY entity_id) AS ids FROM (SELECT entity_id, unnest(core) AS token FROM pool) JOIN freq USING (token) WHERE df <= {MAX_DF} GROUP BY 1")
+def _(spark, sf_dir):
+    return blocking.postings(_sides(spark, sf_dir)[1], MAX_DF).withColumn("ids", F.array_join("ids", ","))
+
+
 @query("pruned_tokens", f"WITH {_FREQ} SELECT token, df FROM freq WHERE df > {MAX_DF}")
 def _(spark, sf_dir):
     return blocking.frequent_tokens(_sides(spark, sf_dir)[1], MAX_DF)
@@ -287,6 +293,14 @@ def _(spark, sf_dir):
     return blocking.candidate_sizes(_sides(spark, sf_dir)[0], _capped(spark, sf_dir))
 
 
+@query("encoder_candidates")
+def _(spark, sf_dir):
+    """Neighbours by the encoder that needs no model file."""
+    encode = hashed_encoder()
+    s1, pool = (df.withColumn("embedding", encode(T.embedding_text(F.col("name_norm"), F.col("addr_norm")))) for df in _sides(spark, sf_dir))
+    return blocking.knn_candidates(s1, pool, NEIGHBOURS).withColumn("sim", F.round("sim", 4))
+
+
 @query("pool_ids", f"WITH {_REC} SELECT DISTINCT entity_id FROM rec WHERE entity_id LIKE 'S2-%' OR entity_id LIKE 'S3-%'")
 def _(spark, sf_dir):
     own = _records(spark, sf_dir).select("entity_id")
@@ -544,6 +558,39 @@ def _(spark, sf_dir):
     return validate.report(*_files(spark, sf_dir), source(1), source(2), source(3))
 
 
+_SAMPLE = f"""WITH {_NORM}{_TRUTH}, m AS (SELECT DISTINCT {S1} AS entity_id FROM truth),
+q AS (SELECT * FROM (SELECT entity_id FROM m ORDER BY md5(entity_id || '|42'), entity_id LIMIT 36) UNION ALL SELECT * FROM (SELECT entity_id FROM s1 WHERE entity_id NOT IN (SELECT entity_id FROM m) ORDER BY md5(entity_id || '|42'), entity_id LIMIT 4)),
+tr AS (SELECT DISTINCT {CAND} AS entity_id FROM truth WHERE {S1} IN (SELECT entity_id FROM q)),
+ot AS (SELECT entity_id FROM pool WHERE entity_id NOT IN (SELECT entity_id FROM tr) ORDER BY md5(entity_id || '|42'), entity_id LIMIT (SELECT 2 * count(*) FROM tr))
+SELECT 'query' AS part, entity_id FROM q UNION ALL SELECT 'true', entity_id FROM tr UNION ALL SELECT 'noise', entity_id FROM ot"""
+
+
+@query("smoke_sample", _SAMPLE)
+def _(spark, sf_dir):
+    """A report on 40 entities: sampling is the feature."""
+    s1, pool = fixtures.sides(_records(spark, sf_dir))
+    own, kept, truth = fixtures.sampled(s1, pool, _truth(spark, sf_dir), rows=40, matched=0.9, noise=2)
+    true_ids = truth.select(F.col(CAND).alias("entity_id")).distinct().withColumn("t", F.lit(True))
+    parts = kept.select("entity_id").join(true_ids, "entity_id", "left").select(F.when(F.col("t"), "true").otherwise("noise").alias("part"), "entity_id")
+    return own.select(F.lit("query").alias("part"), "entity_id").unionByName(parts)
+
+
+@query("positives_and_groups", f"WITH {_cand_sql()}{_TRUTH} SELECT count(DISTINCT c.{S1}) AS groups, count(*) AS pairs, count(t.{S1}) AS positives FROM cand c LEFT JOIN truth t ON t.{S1} = c.{S1} AND t.{CAND} = c.{CAND}")
+def _(spark, sf_dir):
+    own = matcher.labelled(_capped(spark, sf_dir).select(S1, CAND), _truth(spark, sf_dir))
+    return own.agg(F.count_distinct(S1).alias("groups"), F.count("*").alias("pairs"), F.sum("label").alias("positives"))
+
+
+@query("out_of_fold_metrics")
+def _(spark, sf_dir):
+    """Measures of each fold under a classifier that saw none of its entities."""
+    s1, pool = _sides(spark, sf_dir)
+    rows = matcher.labelled(features.pair_features(s1, pool, _capped(spark, sf_dir)), _truth(spark, sf_dir))
+    scored = matcher.out_of_fold(rows, folds=2, rounds=3)
+    made = matcher.fold_metrics(scored)
+    return _six(made, *(c for c in made.columns if c != "fold"))
+
+
 @query("matched_entities")
 def _(spark, sf_dir):
     """A classifier trained on one half of the entities decides on the other."""

@@ -50,7 +50,7 @@ def sampled(source1: DataFrame, pool: DataFrame, truth: DataFrame, rows: int = 5
 
     Which ones follows a hash of the id and the seed. truth has (source1_entity_id, candidate_entity_id).
     """
-    order = lambda c: F.xxhash64(F.col(c), F.lit(seed))
+    order = lambda c: F.md5(F.concat_ws("|", F.col(c), F.lit(str(seed))))
     with_match = source1.join(truth.select(F.col("source1_entity_id").alias("entity_id")).distinct(), "entity_id", "left_semi")
     without = source1.join(with_match.select("entity_id"), "entity_id", "left_anti")
     n = round(rows * matched)
@@ -60,3 +60,31 @@ def sampled(source1: DataFrame, pool: DataFrame, truth: DataFrame, rows: int = 5
     true_rows = pool.join(ids, "entity_id", "left_semi")
     others = pool.join(ids, "entity_id", "left_anti").orderBy(order("entity_id"), "entity_id").limit(noise * ids.count())
     return queries, true_rows.unionByName(others), kept
+
+
+def made_records(spark: SparkSession, rows: int, seed: int = 0, matched: float = 0.7, noise: int = 15) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(S1, S2, S3, truth pairs) from nothing: names of two words with a legal suffix, Indian or US addresses; a share of the S1 records has one or two lightly rewritten matches.
+
+    Everything follows hashes of the row's number and the seed, so any number of rows is made in parallel and alike each time.
+    """
+    pick = lambda tag, n: F.pmod(F.xxhash64(F.col("id"), F.lit(tag), F.lit(seed)), F.lit(n)).cast("int")
+    word = lambda tag, *values: F.element_at(F.array(*map(F.lit, values)), pick(tag, len(values)) + 1)
+    first = word("first", "Silver", "Golden", "Northern", "Coastal", "Royal", "Prime", "Metro", "United", "Delta", "Apex")
+    second = word("second", "Textiles", "Traders", "Foods", "Hardware", "Logistics", "Exports", "Motors", "Farms", "Shipping", "Widgets")
+    india = pick("country", 2) == 0
+    number = (pick("number", 99) + 1).cast("string")
+    base = spark.range(rows).select(
+        "id", F.concat_ws(" ", first, second, F.col("id").cast("string")).alias("name"), word("suffix", *SUFFIXES).alias("suffix"), india.alias("india"), number.alias("number"),
+        F.when(india, (600000 + pick("code", 900)).cast("string")).otherwise((60000 + pick("code", 900)).cast("string")).alias("code"), pick("matches", 1000).alias("m"), pick("side", 2).alias("side"), pick("two", 3).alias("two"),
+    )
+    country = F.when(F.col("india"), "India").otherwise("US").alias("country")
+    key = lambda prefix: F.concat(F.lit(prefix), F.lpad(F.col("id").cast("string"), 7, "0")).alias("entity_id")
+    road = lambda long: F.concat_ws(" ", "number", F.when(F.col("india"), "Gandhi Road," if long else "Gandhi Rd").otherwise("Main St," if long else "Main Street"), "code").alias("business_address")
+    s1 = base.select(key("S1-"), F.concat_ws(" ", "name", "suffix").alias("business_name"), road(True), country)
+    has = F.col("m") < int(matched * 1000)
+    other = F.regexp_replace(F.regexp_replace(F.concat_ws(" ", "name", "suffix"), "Pvt Ltd$", "Private Limited"), "Ltd$", "Limited").alias("business_name")
+    in2, in3 = has & ((F.col("side") == 0) | (F.col("two") == 0)), has & ((F.col("side") == 1) | (F.col("two") == 0))
+    extra = lambda prefix: spark.range(noise).select(F.concat(F.lit(prefix), F.col("id").cast("string")).alias("entity_id"), F.concat(F.lit("Noise House "), F.col("id").cast("string")).alias("business_name"), F.lit("1 Other Ave").alias("business_address"), F.lit("US").alias("country"))
+    side = lambda prefix, where: base.filter(where).select(key(prefix), other, road(False), country).unionByName(extra(f"{prefix}N"))
+    pairs = lambda prefix, where: base.filter(where).select(key("S1-").alias("source1_entity_id"), key(prefix).alias("candidate_entity_id"))
+    return s1, side("S2-", in2), side("S3-", in3), pairs("S2-", in2).unionByName(pairs("S3-", in3))

@@ -301,6 +301,21 @@ def test_whole_run(spark, tmp_path):
     assert validate.valid(checks)
 
 
+def test_files_to_files(spark, tmp_path):
+    s1, s2, s3, truth = fixtures.made_records(spark, 120)
+    for name in ("train", "test"):
+        for i, df in enumerate((s1, s2, s3), 1):
+            tables.write_records(df, f"{tmp_path}/{name}_source{i}.tsv")
+    tables.write_id_lists(s1, truth, "matched_entity_ids", f"{tmp_path}/train_ground_truth.tsv")
+    art, out = f"{tmp_path}/art", f"{tmp_path}/out"
+    assert linkage.main(["train", "--data-dir", str(tmp_path), "--artifacts-dir", art, "--rounds", "3"]) == 0
+    assert linkage.main(["predict", "--data-dir", str(tmp_path), "--artifacts-dir", art, "--output-dir", out]) == 0
+    checked = ["validate", "--data-dir", str(tmp_path), "--matching", f"{out}/matching_results.tsv", "--candidate", f"{out}/candidate_pairs.tsv"]
+    assert linkage.main(checked) == 0
+    found = tables.truth_pairs(tables.read_truth(spark, f"{out}/matching_results.tsv"))
+    assert metrics.macro_f_beta(found, truth, s1).first()[0] > 0.9
+
+
 def test_arriving_records(spark, records, tmp_path):
     from kinlink.streaming.arriving import candidates_of_stream
 
@@ -321,4 +336,4 @@ def test_sampled(spark):
 
 
 def test_catalogue_has_an_oracle_for_all_but_models():
-    assert set(queries.queries()) - set(queries.oracle_sql()) == {"knn_by_cells", "pair_features", "matched_entities"}
+    assert set(queries.queries()) - set(queries.oracle_sql()) == {"knn_by_cells", "pair_features", "matched_entities", "encoder_candidates", "out_of_fold_metrics"}
