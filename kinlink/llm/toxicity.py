@@ -13,6 +13,8 @@ undoes the sampling of the classes.
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -288,13 +290,24 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network |
     if not counts.get(0) or not counts.get(1):
         return 1.0 if counts.get(1) else 0.0
     chosen = [labels.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for y in (0, 1)]
-    rows = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id").toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending"), ("toxic", "ascending")])
-    y = rows.column("toxic").to_numpy()
-    if len(set(y.tolist())) < 2:
-        return float(y[0]) if len(y) else 0.0
-    texts = rows.column("text").to_pylist()
-    del rows
-    return train(texts, y, counts[1] / (counts[0] + counts[1]))
+    rows = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id").select("doc_id", "text", "toxic")
+    prior = counts[1] / (counts[0] + counts[1])
+
+    def fit(batches):
+        """The sample is bounded, so it is one task; the driver only gets the network."""
+        table = pa.Table.from_batches(batches, pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("toxic", pa.int32())]))
+        table = table.sort_by([("doc_id", "ascending"), ("text", "ascending"), ("toxic", "ascending")])
+        y = table.column("toxic").to_numpy()
+        if len(set(y.tolist())) < 2:
+            net = float(y[0]) if len(y) else 0.0
+        else:
+            texts = table.column("text").to_pylist()
+            del table
+            net = train(texts, y, prior)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(net)], pa.binary())], ["net"])
+
+    found = rows.repartition(1).mapInArrow(fit, "net binary").collect()
+    return pickle.loads(found[0].net) if found else 0.0
 
 
 def score(docs: DataFrame, net: Network | float, keep: bool = False, threshold: float = THRESHOLD) -> DataFrame:
