@@ -62,7 +62,7 @@ def targets(sizes: DataFrame, weights: Sequence[float] = (1, 2, 3), most: float
     return by_source.groupBy(F.lit(0).alias("all")).applyInPandas(lambda frame: share(frame.astype(object).where(lambda x: x.notna(), None)), "source string, source_size long, docs long, target double")
 
 
-def balance(classes: DataFrame, goal: DataFrame, rounds: int = 40, tolerance: float = 1e-9) -> DataFrame:
+def balance(classes: DataFrame, goal: DataFrame, rounds: int = 40, tolerance: float = 1e-7) -> DataFrame:
     """goal with a, b and mean: rates exp(a + b * (size / mean - 1)) meet both constraints of each source.
 
     Newton on f(a, b) = sum docs * exp(a + b z) - a * sum(docs) t - b * sum(docs z) t with t = target / source_size; the

@@ -6,8 +6,8 @@ shingles (with fewer words the whole sequence; none without words). Two document
 
 1. One Arrow pass hashes all texts to sets, each with a fingerprint and its bottom-`k` sketch. Equal sets collapse into one
    representative, the smallest id, by a grouped minimum, so copies never meet as pairs.
-2. Inverted lists of retained values. At a similarity of 0.75 two sketches share fewer than MIN_SHARED of 64 values with a
-   probability below 1e-8 (sets of up to 64 shingles are their own sketch: exact). Values of one document link nothing, and a
+2. Inverted lists of retained values. At the threshold two sketches share fewer values than six standard deviations below the mean
+   (27 of 64) with a probability below 1e-8 (sets of up to 64 shingles are their own sketch). Values of one document link nothing, and a
    document needs only its `kept - shared + 1` rarest values (prefix filter): two documents that share enough values share
    one of those. Stars over these lists give candidate clusters; no list is expanded into pairs.
 3. A cluster's full sets are compared in blocks of bounded size. In a block the lists give overlaps, the sketch of the union
@@ -32,9 +32,7 @@ from pyspark.sql import Window as W
 
 from .common import components, cut, mix, string_chunks, word_hashes
 
-K, MIN_SHARED = 64, 28
-#: The union sketch; below ESTIMATE, a similarity of 0.75 is six standard deviations away.
-UNION_K, ESTIMATE = 256, 0.59
+K, UNION_K = 64, 256
 #: Shingles in a block, about 8 bytes each in a task.
 BLOCK = 400_000
 #: Documents of a large cluster that all its blocks hold.
@@ -42,6 +40,12 @@ HUBS = 32
 _STEP = np.uint64(0xD1342543DE82EF95)
 
 
+def least_share(percent: int, k: int) -> float:
+    """The share of k retained values below which that similarity is six standard deviations away."""
+    p = percent / 100
+    return max(0.0, p - 6 * (p * (1 - p) / k) ** 0.5)
+
+
 def shingle_sets(column: pa.Array, width: int = 5) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     for _, data, off in string_chunks(column):
@@ -100,6 +104,7 @@ def forest(ids: list[int], sets: list[np.ndarray], percent: int, known: list[int
             x = parent[x]
         return x
 
+    shared_least, estimate = max(1, int(K * least_share(percent, K))), least_share(percent, UNION_K)
     heads = [s[:K] for s in sets]
     owner = np.repeat(np.arange(n), [len(h) for h in heads])
     _, value, count = np.unique(np.concatenate(heads), return_inverse=True, return_counts=True)
@@ -117,7 +122,7 @@ def forest(ids: list[int], sets: list[np.ndarray], percent: int, known: list[int
         shared = np.bincount(np.concatenate(own), minlength=n)[:i]
         least = np.minimum(size[:i], size[i])
         most = np.maximum(size[:i], size[i])
-        need = np.where(most <= K, np.ceil(most * percent / 100), np.minimum(MIN_SHARED, np.ceil(least * percent / 100)))
+        need = np.where(most <= K, np.ceil(most * percent / 100), np.minimum(shared_least, np.ceil(least * percent / 100)))
         near = (shared >= np.maximum(1, need)) & (100 * least >= percent * most)
         if side is not None:
             near &= (side[:i] != side[i]) & (block[:i] != block[i])
@@ -138,7 +143,7 @@ def forest(ids: list[int], sets: list[np.ndarray], percent: int, known: list[int
             hits = (~new & inside).sum(1)
             like = hits / np.maximum(1, (new & inside).sum(1))
             small = size[part] + size[i] <= UNION_K  # the union sketch holds both sets whole
-            keep = np.where(small, like >= percent / 100 - 1e-9, like >= min(ESTIMATE, percent / 100))
+            keep = np.where(small, like >= percent / 100 - 1e-9, like >= estimate)
             for j in part[keep][np.argsort(-like[keep], kind="stable")]:
                 if find(j) == find(i):
                     continue
@@ -201,7 +206,8 @@ def near_dedup(docs: DataFrame, percent: int = 75) -> DataFrame:
     sets = sketched.filter("n > 0 and doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.any_value("n").alias("n"), F.any_value("vals").alias("vals"))
     index = sets.select("rep", "n", F.explode("vals").alias("v"))
     often = index.groupBy("v").agg(F.count("*").alias("df")).filter("df > 1")
-    need = F.when(F.col("n") <= K, F.ceil(F.col("n") * percent / 100)).otherwise(MIN_SHARED)
+    # up to this size every partner's sketch is its whole set; a larger partner's sketch may lack shared values
+    need = F.when(F.col("n") <= K * percent // 100, F.ceil(F.col("n") * percent / 100)).otherwise(max(1, int(K * least_share(percent, K))))
     per = W.partitionBy("rep")
     prefix = index.join(often, "v").select("rep", "v", "n", F.row_number().over(per.orderBy("df", "v")).alias("rank"), F.count("*").over(per).alias("many")).filter(F.col("rank") <= F.col("many") - need + 1)
     prefix = cut(prefix.select("rep", "v", "n"))

@@ -16,8 +16,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
-
 #: Kinds in the order that breaks ties of start; the first three are the base.
 KINDS = ("assign", "access", "hex", "crc_token", "extended_key", "bech32_key")
 #: Keywords (compared in lower case) by kind.
@@ -151,11 +149,3 @@ def mask(docs: DataFrame) -> DataFrame:
 
     made = docs.mapInArrow(run, docs.schema)
     return made.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in columns else made
-
-
-def op1_secret_scan(spark, sf_dir):
-    found = secrets(table(spark, sf_dir, "documents"))
-    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-    base = F.filter("spans", lambda s: s["kind"].isin(*KINDS[:3]))
-    return found.select("doc_id", *map(count, KINDS[:3]), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))

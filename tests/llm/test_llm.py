@@ -170,10 +170,8 @@ def test_mixing(docs, clashing, empty, rows):
         assert r.size == len(words(r.text)) and r.source_size == sizes[r.source] and 0 <= r.copies <= 3
         assert r.target == pytest.approx(want[r.source])
         taken[r.source] += r.size * r.copies
-    small = collections.Counter()
     for s in sizes:
         assert abs(taken[s] - want[s]) <= max(0.01 * want[s], 5), (s, taken[s], want[s])
-    del small
     again = sorted(mixing.mix(sized.repartition(5)).select("doc_id", "text", "copies").collect(), key=repr)
     assert again == sorted([(r.doc_id, r.text, r.copies) for r in got], key=repr)
     copies = mixing.mixed_copies(clashing)
@@ -491,6 +489,19 @@ def test_near_dedup_of_long_texts(spark):
     assert got == sorted(brute_components(rows))
 
 
+def test_near_dedup_around_the_sketch_size(spark):
+    """Sets next to the sketch's size, one inside the other, with a similarity just at or under the threshold."""
+    r = random.Random(18)
+    rows = []
+    for g in range(60):
+        large = r.randrange(60, 100)
+        base = [f"g{g}w{i}" for i in range(large + 4)]
+        keep = -(-3 * large // 4) + r.choice([-1, 0, 0, 1])
+        rows += [(g * 10, " ".join(base), "en", "s", 0), (g * 10 + 1, " ".join(base[: keep + 4]), "en", "s", 0)]
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in near_dedup.near_dedup(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert got == sorted(brute_components(rows))
+
+
 def test_components(spark):
     r = random.Random(13)
     pairs = [(i, i + 1) for i in range(100, 160)] + [(r.randrange(90), r.randrange(90)) for _ in range(60)]
@@ -534,11 +545,9 @@ def test_network_gradient():
     net = toxicity.Network(1)
     net.embed = r.standard_normal((2 * toxicity.BUCKETS, toxicity.DIM)).astype(np.float64)
     net.dense = {k: v.astype(np.float64) for k, v in net.dense.items()}
-    vocabulary = [f"w{i}" for i in range(9)]
     at = r.integers(0, 10, (4, toxicity.WIDTH))
     y = np.array([0, 1, 1, 0])
     table = np.concatenate((np.zeros((1, toxicity.DIM)), r.standard_normal((9, toxicity.DIM))))
-    del vocabulary
 
     def loss():
         inputs = {d: table @ net.dense[f"W{d}"] + net.dense[f"b{d}"] for d in "fb"}
