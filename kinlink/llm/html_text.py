@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -37,7 +38,7 @@ NOT_ARTICLE = frozenset(
 )
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>""", re.DOTALL)
+_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)([^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>""", re.DOTALL)
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|(?=\s|/|$))""", re.IGNORECASE)
 _NAMES = re.compile(r"[a-z]+")
 
@@ -78,21 +79,29 @@ def parse(page: str) -> Node:
     """The tree of a page; unclosed, crossing and stray tags never fail."""
     root = Node("#root")
     stack = [root]
+    held: Counter = Counter()  # open elements by tag, so that a stray end tag costs no search
 
-    def up_to(names: str | tuple[str, ...], stop: tuple[str, ...] = ()) -> None:
+    def push(node: Node) -> None:
+        stack.append(node)
+        held[node.tag] += 1
+
+    def up_to(names: tuple[str, ...], stop: tuple[str, ...] = ()) -> None:
+        if not any(held[x] for x in names):
+            return
         for depth in range(len(stack) - 1, 0, -1):
             if stack[depth].tag in names:
                 while len(stack) > depth:
+                    held[stack[-1].tag] -= 1
                     _close(stack.pop())
                 return
             if stack[depth].tag in stop:
                 return
 
-    at, n = 0, len(page)
+    at, n, last = 0, len(page), page.rfind(">")
     while at < n:
-        m = _TAG.search(page, at)
-        if not m:
-            stack[-1].items.append(page[at:])
+        m = _TAG.search(page, at) if at < last else None
+        if not m:  # no tag can follow the last ">", but an unclosed comment can
+            stack[-1].items.append(page[at:].partition("<!--")[0])
             break
         if m.start() > at:
             stack[-1].items.append(page[at : m.start()])
@@ -102,6 +111,8 @@ def parse(page: str) -> Node:
             continue
         if m[1] or m[4]:
             # an inline end tag doesn't reach out of its block; others reach any open element
+            if tag in INLINE and not held[tag]:
+                continue
             if tag in INLINE:
                 for depth in range(len(stack) - 1, 0, -1):
                     if stack[depth].tag == tag:
@@ -128,11 +139,11 @@ def parse(page: str) -> Node:
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE).search(page, at)
             at = end.start() if end else n
-            stack.append(node)
+            push(node)
             if not end:
                 break
         elif tag not in VOID and not (m[3] or m[6] or "").endswith("/") or tag in ("p", "div", "span", "article"):
-            stack.append(node)
+            push(node)
     while stack:
         _close(stack.pop())
     return root
