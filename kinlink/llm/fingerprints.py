@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 HEAD, LONGEST = 512, 600
 #: Row groups in order of id, each streamed by one task.
-BUCKETS, BUCKET_ROWS = 4096, 5000
+BUCKETS, BUCKET_ROWS = 65536, 5000
 _LEAF = re.compile(r"[^.!?\n]*[.!?\n]+[\x20\t\r]*|[^.!?\n]+")
 _WORD = re.compile(r"\S+\s*|\s+")
 
@@ -129,7 +129,7 @@ def in_order(docs: DataFrame) -> DataFrame:
     """Rows (bucket, ghost, doc_id, text) so dealt and sorted that a bucket is a run of descending ids and ends with a ghost of the row that follows.
 
     The order is by falling id, a null id last, equal ids by a hash of the text. Quantiles of the ids bound the buckets, at
-    most BUCKETS of them; one row for each bucket is known to the driver. Texts are shuffled once.
+    most BUCKETS of them and a partition each; one row for each bucket is known to the driver. Texts are shuffled once.
     """
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     rows = docs.count()
@@ -150,7 +150,7 @@ def in_order(docs: DataFrame) -> DataFrame:
     heads = F.broadcast(spark.createDataFrame(to, "b int, goal int, top long, h long"))
     ghosts = docs.join(heads, (F.col("bucket") == F.col("b")) & (F.col("doc_id").eqNullSafe(F.col("top"))) & (F.col("h").isNull() | (F.col("h") == F.xxhash64("text"))))
     every = docs.select("bucket", F.lit(0).alias("ghost"), "doc_id", "text").unionByName(ghosts.select(F.col("goal").alias("bucket"), F.lit(1).alias("ghost"), "doc_id", "text"))
-    return every.repartition("bucket").sortWithinPartitions("bucket", "ghost", F.desc_nulls_last("doc_id"), F.xxhash64("text"))
+    return every.repartitionById(len(bounds) + 2, F.col("bucket") + 1).sortWithinPartitions("bucket", "ghost", F.desc_nulls_last("doc_id"), F.xxhash64("text"))
 
 
 def edited_pairs(docs: DataFrame) -> DataFrame:
