@@ -257,6 +257,38 @@ def test_kneser_ney_against_brute_force():
             assert scores[i, j] == pytest.approx(want, rel=1e-4)
 
 
+def test_language_model_grows_with_the_input(spark):
+    """Rare words of a large corpus stay in the model as long as the real number of n-grams fits."""
+    corpora = {"aa": collections.Counter(foo=4000, bar=3000, quux=1, zig=2, zag=1), "bb": collections.Counter(baz=5000, fob=1, zob=2)}
+    rows = [(x, " ".join(c.elements())) for x, c in corpora.items()]
+    model, _ = language_id.learn(spark.createDataFrame(rows, "lang string, text string"), cells=200)
+    grams = {x: {p[i : i + 5] for w in c for p in ["\x02" * 4 + w + "\x03"] for i in range(len(p) - 4)} for x, c in corpora.items()}
+    assert len(model.keys[5]) == len(set().union(*grams.values())) <= 100
+    alphabet = len(set("".join(w for c in corpora.values() for w in c))) + 2
+    test = ["quux", "zig", "foo", "zob", "baz", "www"]
+    scores, _ = model.score(test)
+    for j, x in enumerate(sorted(corpora)):
+        p = brute_kneser_ney(corpora[x])
+        for i, w in enumerate(test):
+            padded = "\x02" * 4 + w + "\x03"
+            assert scores[i, j] == pytest.approx(sum(math.log(p(padded[k - 4 : k + 1], alphabet)) for k in range(4, len(padded))), rel=1e-4)
+
+
+def test_language_model_beyond_its_bound_is_a_distribution(spark):
+    r = random.Random(8)
+    corpora = {x: collections.Counter("".join(r.choice(letters) for _ in range(r.randrange(1, 7))) for _ in range(400)) for x, letters in (("aa", "abcde"), ("bb", "cdefg"))}
+    docs = spark.createDataFrame([(x, " ".join(c.elements())) for x, c in corpora.items()], "lang string, text string")
+    whole, _ = language_id.learn(docs)
+    model, _ = language_id.learn(docs, cells=600)
+    assert len(model.keys[5]) <= 300 < len(whole.keys[5]) and len(model.keys[1]) == len(whole.keys[1])
+    letters = np.array([ord(x) for x in "abcdefg\x03"], np.uint32)
+    for history in ("\x02\x02\x02\x02", "\x02\x02\x02a", "\x02cde", "abca", "gggg", "\x02\x02zz"):
+        columns = [np.full(len(letters), ord(x), np.uint32) for x in history] + [letters]
+        for m in (whole, model):
+            one = np.exp(m._look(columns)).sum(0) + np.exp(m._look([c[:1] for c in columns[:-1]] + [np.array([ord("z")], np.uint32)]))[0]
+            assert one == pytest.approx([1.0, 1.0], rel=1e-4)
+
+
 def test_language_id_frames(spark, clashing, empty):
     r = random.Random(4)
     texts = {"en": "the quick brown fox and the lazy dog walk over that hill with them", "de": "der schnelle fuchs und ein hund gehen über den hügel mit ihnen zusammen"}
