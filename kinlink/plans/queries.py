@@ -1,6 +1,7 @@
 """The query catalogue over the driver's tables, and for each the SQL of the same rows.
 
-The caps are lower than the operators' defaults, so that they bind on small tables. Doubles are rounded to six decimals.
+Queries with SQL have caps below the operators' defaults, so that they bind on small tables; pair_features, out_of_fold_metrics and
+matched_entities have the operators' own. Doubles are rounded to six decimals.
 """
 
 from __future__ import annotations
@@ -41,6 +42,11 @@ def _capped(spark, sf_dir, limit=K):
     return blocking.candidates(s1, pool, None, MAX_DF, BUCKET, PER_QUERY, limit)
 
 
+def _whole(spark, sf_dir):
+    """Candidates under the operators' own caps, which grow with the pool."""
+    return blocking.candidates(*_sides(spark, sf_dir))
+
+
 def _six(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
@@ -427,7 +433,7 @@ def _(spark, sf_dir):
 @query("pair_features")
 def _(spark, sf_dir):
     s1, pool = _sides(spark, sf_dir)
-    return _six(features.pair_features(s1, pool, _capped(spark, sf_dir)), *features.FEATURES)
+    return _six(features.pair_features(s1, pool, _whole(spark, sf_dir)), *features.FEATURES)
 
 
 # --- labels and metrics -----------------------------------------------------------------------
@@ -585,7 +591,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Measures of each fold under a classifier that saw none of its entities."""
     s1, pool = _sides(spark, sf_dir)
-    rows = matcher.labelled(features.pair_features(s1, pool, _capped(spark, sf_dir)), _truth(spark, sf_dir))
+    rows = matcher.labelled(features.pair_features(s1, pool, _whole(spark, sf_dir)), _truth(spark, sf_dir))
     scored = matcher.out_of_fold(rows, folds=2, rounds=3)
     made = matcher.fold_metrics(scored)
     return _six(made, *(c for c in made.columns if c != "fold"))
@@ -596,7 +602,7 @@ def _(spark, sf_dir):
     """A classifier trained on one half of the entities decides on the other."""
     s1, pool = _sides(spark, sf_dir)
     truth = _truth(spark, sf_dir)
-    rows = matcher.labelled(features.pair_features(s1, pool, _capped(spark, sf_dir)), truth)
+    rows = matcher.labelled(features.pair_features(s1, pool, _whole(spark, sf_dir)), truth)
     dealt = split.group_folds(rows, 2)
     model = matcher.train(dealt.filter("fold = 0").drop("fold"), rounds=5)
     return tables.id_lists(s1, matcher.decide(matcher.score(model, dealt.filter("fold = 1")), 0.5), "matched_entity_ids")

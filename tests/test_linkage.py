@@ -337,3 +337,39 @@ def test_sampled(spark):
 
 def test_catalogue_has_an_oracle_for_all_but_models():
     assert set(queries.queries()) - set(queries.oracle_sql()) == {"knn_by_cells", "pair_features", "matched_entities", "encoder_candidates", "out_of_fold_metrics"}
+
+
+@pytest.fixture(scope="module")
+def crowded(spark, tmp_path_factory):
+    """Documents whose names share words and postal codes far beyond the small caps; some names stay non-ASCII."""
+    r = random.Random(6)
+    folder = tmp_path_factory.mktemp("crowded")
+    words = ["stra\u00dfe", "\u00f8rsted", "\u65e5\u672c", "north", "harbour", "timber", "copper", "meadow"]
+    rows = [(i, " ".join([r.choice(words), f"w{r.randrange(6)}x", r.choice(words)]), r.choice(["en", "de", "fr"]), "s", 0) for i in range(150)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n long").write.parquet(f"{folder}/documents.parquet")
+    return str(folder)
+
+
+@pytest.fixture(scope="module")
+def crowded_features(spark, crowded):
+    return queries.queries()["pair_features"](spark, crowded).collect()
+
+
+def test_pair_features_has_the_whole_candidates(spark, crowded, crowded_features):
+    s1, pool = (x.collect() for x in queries._sides(spark, crowded))
+    df = {}
+    for p in pool:
+        for t in set(p.name_core_tokens):
+            df[t] = df.get(t, 0) + 1
+    want = set()
+    for q in s1:
+        found = []
+        for p in pool:
+            shared = sum(df[t] <= 50 for t in set(q.name_core_tokens) & set(p.name_core_tokens))
+            hit = q.postal_code != "" and q.postal_code == p.postal_code
+            if shared or hit:
+                found.append((-shared, not hit, p.entity_id))
+        want |= {(q.entity_id, c) for *_, c in sorted(found)[:30]}
+    got = [(x[S1], x[CAND]) for x in crowded_features]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert max(sum(a == q.entity_id for a, _ in got) for q in s1) > queries.K
