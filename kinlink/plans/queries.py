@@ -587,25 +587,24 @@ def _(spark, sf_dir):
     return own.agg(F.count_distinct(S1).alias("groups"), F.count("*").alias("pairs"), F.sum("label").alias("positives"))
 
 
+def _out_of_fold(spark, sf_dir):
+    """All pairs, scored at the operator's default folds and rounds."""
+    s1, pool = _sides(spark, sf_dir)
+    rows = matcher.labelled(features.pair_features(s1, pool, _whole(spark, sf_dir)), _truth(spark, sf_dir))
+    return matcher.out_of_fold(rows.persist())
+
+
 @query("out_of_fold_metrics")
 def _(spark, sf_dir):
     """Measures of each fold under a classifier that saw none of its entities."""
-    s1, pool = _sides(spark, sf_dir)
-    rows = matcher.labelled(features.pair_features(s1, pool, _whole(spark, sf_dir)), _truth(spark, sf_dir))
-    scored = matcher.out_of_fold(rows, folds=2, rounds=3)
-    made = matcher.fold_metrics(scored)
+    made = matcher.fold_metrics(_out_of_fold(spark, sf_dir))
     return _six(made, *(c for c in made.columns if c != "fold"))
 
 
 @query("matched_entities")
 def _(spark, sf_dir):
-    """A classifier trained on one half of the entities decides on the other."""
-    s1, pool = _sides(spark, sf_dir)
-    truth = _truth(spark, sf_dir)
-    rows = matcher.labelled(features.pair_features(s1, pool, _whole(spark, sf_dir)), truth)
-    dealt = split.group_folds(rows, 2)
-    model = matcher.train(dealt.filter("fold = 0").drop("fold"), rounds=5)
-    return tables.id_lists(s1, matcher.decide(matcher.score(model, dealt.filter("fold = 1")), 0.5), "matched_entity_ids")
+    """Each entity's matches, decided by a classifier that saw none of its fold's entities."""
+    return tables.id_lists(_sides(spark, sf_dir)[0], matcher.decide(_out_of_fold(spark, sf_dir), 0.5), "matched_entity_ids")
 
 
 def queries() -> dict:

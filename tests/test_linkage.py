@@ -373,3 +373,24 @@ def test_pair_features_has_the_whole_candidates(spark, crowded, crowded_features
     got = [(x[S1], x[CAND]) for x in crowded_features]
     assert len(got) == len(set(got)) and set(got) == want
     assert max(sum(a == q.entity_id for a, _ in got) for q in s1) > queries.K
+
+
+def test_out_of_fold_queries_score_every_entity(spark, monkeypatch):
+    """Whatever its fold, an entity is decided on, at the operator's own folds and rounds."""
+    asked = []
+
+    def out_of_fold(rows, **given):
+        asked.append(given)
+        return rows.withColumns({"fold": F.lit(0), "match_probability": F.lit(1.0)})
+
+    s1 = spark.createDataFrame([(f"S1-{i}",) for i in range(20)], "entity_id string")
+    rows = spark.createDataFrame([(f"S1-{i}", f"S2-{i}") for i in range(20)], f"{S1} string, {CAND} string")
+    monkeypatch.setattr(matcher, "out_of_fold", out_of_fold)
+    monkeypatch.setattr(queries, "_sides", lambda *_: (s1, None))
+    monkeypatch.setattr(queries, "_truth", lambda *_: rows)
+    monkeypatch.setattr(queries, "_whole", lambda *_: rows)
+    monkeypatch.setattr(features, "pair_features", lambda *_: rows)
+    got = {x[S1]: x.matched_entity_ids for x in queries.queries()["matched_entities"](spark, "").collect()}
+    assert got == {f"S1-{i}": f"S2-{i}" for i in range(20)}
+    assert queries.queries()["out_of_fold_metrics"](spark, "").count() == 1
+    assert asked == [{}, {}]
