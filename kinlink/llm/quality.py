@@ -64,7 +64,11 @@ def _measured(docs: DataFrame) -> DataFrame:
     step = step.withColumn("_near", F.expr("filter(if(size(_keys) < 2, cast(array() as array<int>), sequence(0, size(_keys) - 2)), j -> shiftrightunsigned(_keys[j] ^ _keys[j + 1], 26) = 0)"))
     step = step.withColumn("_pairs", F.expr("transform(_near, j -> array(cast(_keys[j] & 67108863 as int), cast(_keys[j + 1] & 67108863 as int)))"))
     same = " and ".join(f"_w[p[0] + {i}] = _w[p[1] + {i}]" for i in range(3))
-    step = step.withColumn("_at", F.expr(f"array_sort(array_distinct(flatten(filter(_pairs, p -> {same}))))"))
+    # neighbours that only share the 38 bits may lie between equal windows; such a text's windows are sorted themselves
+    step = step.withColumn("_windows", F.expr(f"if(exists(_pairs, p -> not ({same})), sort_array(transform(sequence(0, size(_w) - 3), i -> struct(_w[i] as a, _w[i + 1] as b, _w[i + 2] as c, i as i))), null)"))
+    equal = " and ".join(f"_windows[j].{x} = _windows[j + 1].{x}" for x in "abc")
+    exact = f"transform(filter(sequence(0, size(_windows) - 2), j -> {equal}), j -> array(_windows[j].i, _windows[j + 1].i))"
+    step = step.withColumn("_at", F.expr(f"array_sort(array_distinct(flatten(if(_windows is null, _pairs, {exact}))))"))
     return step.withColumns(
         {
             "word_chars": (F.col("_n") - F.col("_space")).cast("long"),
@@ -72,7 +76,7 @@ def _measured(docs: DataFrame) -> DataFrame:
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
             "n_repeat_words": F.expr("aggregate(transform(_at, (p, j) -> least(3, coalesce(get(_at, j + 1), p + 3) - p)), 0L, (s, x) -> s + x)"),
         }
-    ).drop("_lines", "_keys", "_near", "_pairs", "_at")
+    ).drop("_lines", "_keys", "_near", "_pairs", "_windows", "_at")
 
 
 def _shares() -> F.Column:

@@ -710,6 +710,18 @@ def test_quality(spark, docs, clashing, empty, rows):
     assert quality.quality(empty).count() == 0
 
 
+def test_quality_counts_repeats_around_a_clash_of_hashes(spark):
+    """The windows `w1053667 x y` and `w2958716 x y` share the 38 bits that the keys hold."""
+    f = quality.F
+    low = spark.range(1).select(*(f.shiftleft(f.xxhash64(f.lit(w), f.lit("x"), f.lit("y")), 26) for w in ("w1053667", "w2958716"))).first()
+    assert low[0] == low[1]
+    one, other = "w1053667 x y", "w2958716 x y"
+    texts = {1: f"{one} a b c {other} d e f {one} g", 2: f"{other} a b {one} c d {other} e f {one}", 3: f"{one} a b c {other} d", 4: f"{one} a {one} b"}
+    rows = [(i, t, "en", "s", 0) for i, t in texts.items()]
+    got = {x.doc_id: x.n_repeat_words for x in quality.quality(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {1: 6, 2: 12, 3: 0, 4: 6}
+
+
 def test_quality_has_no_python(docs):
     plan = quality.quality(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
