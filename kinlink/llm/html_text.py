@@ -1,8 +1,8 @@
 """HTML extraction by site template removal.
 
 Each page is parsed once into a tree whose elements carry a hash of their subtree (tag, class and id, text, children). Spark counts
-the pages of a host that hold each subtree; those that recur on at least MIN_PAGES pages and on SHARE of the host's pages are
-templates, and the extraction deletes them. Elements that say by tag, role, class or id that they are not the article are
+the pages of a host that hold each subtree; those that recur on at least MIN_PAGES pages and on SHARE of the host's pages (beyond
+SMALL pages, SHARE of sqrt(SMALL * pages), so that the bar grows slowly) are templates, and the extraction deletes them. Elements that say by tag, role, class or id that they are not the article are
 deleted as well. Where a page marks its article (article, main, role=main), only that counts, and prose in it (paragraphs, headings,
 lists, quotes and the like) is never taken for a template: articles may quote each other.
 """
@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MIN_PAGES, SHARE = 5, 0.3
+MIN_PAGES, SHARE, SMALL = 5, 0.3, 100
 #: Templates (host and hash) up to which they go to the tasks as one table of at most some 10 MB; beyond, pages are joined with theirs.
 MOST_TEMPLATES = 200_000
 
@@ -221,7 +221,8 @@ def templates_of(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SH
     hosted = pages.select(host_of().alias("host"), F.col("html").cast("string").alias("html"))
     counts = hosted.mapInArrow(run, "host string, hashes array<bigint>").select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n"))
     sizes = hosted.groupBy("host").agg(F.count("*").alias("pages"))
-    return counts.filter(F.col("n") >= min_pages).join(sizes, "host").filter(F.col("n") >= share * F.col("pages")).select("host", "hash")
+    bar = share * F.least(F.col("pages").cast("double"), F.sqrt(SMALL * F.col("pages")))
+    return counts.filter(F.col("n") >= min_pages).join(sizes, "host").filter(F.col("n") >= bar).select("host", "hash")
 
 
 def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE, most: int = MOST_TEMPLATES) -> DataFrame:

@@ -344,6 +344,14 @@ def test_templates(spark):
     assert html_text.main_text(pages.limit(0)).count() == 0
 
 
+def test_html_templates_of_a_part_of_a_large_host(spark):
+    """A block on a fifth of a large host's pages is a template, one on a hundredth is not."""
+    block = lambda i: "<div>section menu</div>" if i % 5 == 0 else "<div>a passage that few pages share</div>" if i % 100 == 1 else ""
+    rows = [(i, f"http://h.org/{i}", f"<body>{block(i)}<div>text of page {i}</div></body>") for i in range(2000)]
+    got = {x.page_id: x.text for x in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: ("a passage that few pages share " if i % 5 and i % 100 == 1 else "") + f"text of page {i}" for i in range(2000)}
+
+
 # --- 5 token counts ---------------------------------------------------------------------------
 
 
