@@ -394,3 +394,48 @@ def test_out_of_fold_queries_score_every_entity(spark, monkeypatch):
     assert got == {f"S1-{i}": f"S2-{i}" for i in range(20)}
     assert queries.queries()["out_of_fold_metrics"](spark, "").count() == 1
     assert asked == [{}, {}]
+
+
+def brute_indel(a, b):
+    row = [0] * (len(a) + 1)
+    for y in b:
+        new = [0]
+        for i, x in enumerate(a):
+            new.append(row[i] + 1 if x == y else max(row[i + 1], new[-1]))
+        row = new
+    return 2 * row[-1] / (len(a) + len(b)) if a or b else 1.0
+
+
+def brute_jaro_winkler(a, b):
+    reach, used, mine = max(0, max(len(a), len(b)) // 2 - 1), set(), []
+    for i, x in enumerate(a):
+        j = next((j for j in range(max(0, i - reach), min(len(b), i + reach + 1)) if j not in used and b[j] == x), None)
+        if j is not None:
+            used.add(j)
+            mine.append(x)
+    m = len(mine)
+    if not m:
+        return 0.0
+    swapped = sum(x != b[j] for x, j in zip(mine, sorted(used), strict=True)) // 2
+    jaro = (m / len(a) + m / len(b) + (m - swapped) / m) / 3
+    same = next((i for i, (x, y) in enumerate(zip(a[:4], b[:4], strict=False)) if x != y), min(4, len(a), len(b)))
+    return jaro + 0.1 * same * (1 - jaro) if jaro > 0.7 else jaro
+
+
+def test_string_ratios_of_all_pairs_against_brute_force(spark, crowded, crowded_features):
+    """Every candidate beyond the third, and pairs with a non-ASCII name, have their ratios."""
+    s1, pool = ({x.entity_id: x for x in side.collect()} for side in queries._sides(spark, crowded))
+    tall, foreign = 0, 0
+    by_query = {}
+    for x in crowded_features:
+        a, b = s1[x[S1]], pool[x[CAND]]
+        by_query[x[S1]] = by_query.get(x[S1], 0) + 1
+        tall += by_query[x[S1]] > queries.FEW
+        foreign += not (a.name_norm + b.name_norm).isascii()
+        order = lambda t: " ".join(sorted(t.split()))
+        assert x.name_levenshtein_ratio == pytest.approx(brute_indel(a.name_norm, b.name_norm), abs=1e-6)
+        assert x.addr_levenshtein_ratio == pytest.approx(brute_indel(a.addr_norm, b.addr_norm), abs=1e-6)
+        assert x.name_token_sort_ratio == pytest.approx(brute_indel(order(a.name_norm), order(b.name_norm)), abs=1e-6)
+        assert x.addr_token_sort_ratio == pytest.approx(brute_indel(order(a.addr_norm), order(b.addr_norm)), abs=1e-6)
+        assert x.name_jaro_winkler == pytest.approx(brute_jaro_winkler(a.name_norm, b.name_norm), abs=1e-6)
+    assert tall > 500 and foreign > 100
