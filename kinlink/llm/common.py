@@ -113,26 +113,62 @@ def word_hashes(data: np.ndarray, off: np.ndarray, lower: bool = True) -> tuple[
 # --- connected components ---------------------------------------------------------------------
 
 
+#: A star is large if it has more than this part of all links.
+STARS = 500
+#: Links (16 bytes each) up to which one task finds the components.
+LOCAL = 1_000_000
+
+
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The components of all links (u, v) by union-find, in a single task."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        root = x
+        while (up := parent.setdefault(root, root)) != root:
+            root = up
+        while x != root:
+            parent[x], x = root, parent[x]
+        return root
+
+    for batch in batches:
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            low, high = sorted((find(u), find(v)))
+            parent[high] = low
+    found = [(x, find(x)) for x in list(parent) if parent[x] != x]
+    for a in range(0, len(found), 50_000):
+        node, label = zip(*found[a : a + 50_000], strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(label, pa.int64())], ["node", "label"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node reachable, for every node of edges (a, b) that is not itself that smallest one.
 
-    Alternates large-star and small-star until nothing changes: each round is a grouped minimum and an equi-join, links
-    stay distributed, and the number of rounds grows with the logarithm of the longest path.
+    Up to LOCAL links are one task's union-find. More alternate large-star and small-star until nothing changes: each round is a grouped
+    minimum and an equi-join, links stay distributed, and the number of rounds grows with the logarithm of the longest path. A star with over a
+    STARS-th of all links is joined by broadcast (there are at most 2 * STARS of them), so it isn't one task's.
     """
 
-    def star(sym: DataFrame) -> DataFrame:
-        low = sym.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        return sym.join(low, "u")
-
-    cur = cut(edges.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    seen = None
+    def star(rows: DataFrame, links: int) -> DataFrame:
+        """rows (u, v) with m, the smallest of u and its neighbours."""
+        low = rows.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("many")).withColumn("m", F.least("u", "m"))
+        bound = max(1, links // STARS)
+        hot = F.broadcast(low.filter(F.col("many") > bound).select("u", F.col("m").alias("hot")))
+        known = rows.join(hot, "u", "left")
+        rest = known.filter("hot is null").select("u", "v").join(low.filter(F.col("many") <= bound).select("u", "m"), "u")
+        return rest.unionByName(known.filter("hot is not null").select("u", "v", F.col("hot").alias("m")))
+
+    cur = cut(edges.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")))
+    links, seen = cur.count(), None
+    if links <= LOCAL:
+        return cut(cur.coalesce(1).mapInArrow(_united, "node long, label long"))
+    cur = cut(cur.distinct())
     while True:
         sym = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = star(sym).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        joined = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
+        large = star(sym, 2 * links).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         pair = F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))
-        cur = cut(joined.select(pair.alias("p")).select("p.u", "p.v").filter("u != v").distinct())
+        cur = cut(star(large, links).select(pair.alias("p")).select("p.u", "p.v").filter("u != v").distinct())
         now = cur.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             return cur.select(F.col("u").alias("node"), F.col("v").alias("label"))
-        seen = now
+        links, seen = now[0], now

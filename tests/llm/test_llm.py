@@ -509,11 +509,36 @@ def test_near_dedup(docs, clashing, empty, rows, block, monkeypatch):
         return
     kept = near_dedup.one_of_each(clashing)
     assert kept.columns == clashing.columns
-    left = [r.doc_id for r in kept.select("doc_id").collect()]
-    assert sorted(x for x in left if x is not None) == sorted({d for d, _, c in got if d is not None and d == c})
+    left = [(r.doc_id, r.text) for r in kept.select("doc_id", "text").collect()]
+    stay = {d for d, _, c in got if d is not None and d == c}
+    # each text of a kept id once, and every row without an id
+    assert sorted((x for x in left if x[0] is not None), key=repr) == sorted({(d, t) for d, t, *_ in rows if d in stay}, key=repr)
+    assert sum(d is None for d, _ in left) == sum(d is None for d, *_ in rows)
     assert near_dedup.near_dedup(empty).count() == 0 and near_dedup.one_of_each(empty).count() == 0
 
 
+@pytest.mark.parametrize("small", [False, True])
+def test_near_dedup_of_unlike_texts_with_common_passages(spark, small, monkeypatch):
+    """Passages chain groups of near copies with documents unlike any other; lists and clusters split into parts."""
+    if small:
+        for name, value in (("BLOCK", 700), ("SUBLIST", 7), ("HUBS", 1), ("MOST_BITS", 1 << 6)):
+            monkeypatch.setattr(near_dedup, name, value)
+    r = random.Random(31)
+    fresh = lambda n: [f"w{r.randrange(10**6)}" for _ in range(n)]
+    passages = [fresh(60) for _ in range(3)]
+    rows, bases = [], [passages[i % 3] + fresh(r.choice([25, 35, 60])) for i in range(6)]
+    for i in range(240):
+        if i % 3 == 0:  # unlike others but for one passage or two, which are most of some of them
+            w = sum(r.sample(passages, r.choice([1, 1, 2])), []) + fresh(r.choice([5, 20, 30, 40, 90]))
+        else:
+            w = list(r.choice(bases))
+            for _ in range(r.choice([0, 1, 2, 3, 5])):
+                w[r.randrange(len(w))] = fresh(1)[0]
+        rows.append((i, " ".join(w), "en", "s", 0))
+    got = sorted((x.doc_id, x.n_shingles, x.component_id) for x in near_dedup.near_dedup(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert got == sorted(brute_components(rows))
+
+
 def test_near_dedup_of_long_texts(spark):
     """Sets far larger than the sketches, pairs on both sides of the threshold."""
     r = random.Random(12)
@@ -542,9 +567,13 @@ def test_near_dedup_around_the_sketch_size(spark):
     assert got == sorted(brute_components(rows))
 
 
-def test_components(spark):
+@pytest.mark.parametrize(("local", "stars"), [(common.LOCAL, common.STARS), (0, common.STARS), (0, 4)])
+def test_components(spark, local, stars, monkeypatch):
+    """In one task; in rounds; in rounds with some nodes joined by broadcast and some not."""
+    monkeypatch.setattr(common, "LOCAL", local)
+    monkeypatch.setattr(common, "STARS", stars)
     r = random.Random(13)
-    pairs = [(i, i + 1) for i in range(100, 160)] + [(r.randrange(90), r.randrange(90)) for _ in range(60)]
+    pairs = [(i, i + 1) for i in range(100, 160)] + [(r.randrange(90), r.randrange(90)) for _ in range(60)] + [(200, i) for i in range(201, 300)]
     got = {x.node: x.label for x in common.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     parent = {x: x for p in pairs for x in p}
 
