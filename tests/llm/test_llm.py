@@ -430,14 +430,16 @@ def test_bound_is_never_above_the_optimum():
 
 
 @pytest.mark.parametrize("per_partition", [packing.PER_PARTITION, 25])
-def test_packing(docs, empty, rows, per_partition):
+def test_packing(clashing, empty, rows, per_partition):
     from tokenizers import Tokenizer
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    cuts = packing.pieces(docs, path, ids=True).withColumn("bin", packing.F.lit(1))
-    got = packing.pack(cuts, per_partition=per_partition).collect()
+    cuts = packing.pieces(clashing, path, ids=True).withColumns({x: packing.F.lit(-1) for x in ("bin", "uid", "offset", "sequence_id", "done")})
+    packed = packing.pack(cuts, per_partition=per_partition)
+    assert sorted(packed.columns) == sorted(cuts.columns)
+    got = packed.collect()
+    assert all(x.uid == x.bin == x.done == -1 and x.offset >= 0 for x in got)
     want = collections.Counter()
     for i, t, *_ in rows:
         all_ids = [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0]
@@ -464,7 +466,6 @@ def test_fast_ids_equal_the_tokenizer():
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     r = random.Random(11)
     parts = ["the", " ", "  ", "\n", "\t", "é", "日本", "😀", "'s", "'", "123", "!?", "<|endoftext|>", "x" * 40, "́", " "]
     for text in ["".join(r.choice(parts) for _ in range(r.randrange(30))) for _ in range(500)] + ["a" * 9000, " " * 9000]:
