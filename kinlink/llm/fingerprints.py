@@ -1,10 +1,10 @@
 """Document fingerprints: a Merkle tree over paragraphs and sections.
 
-The leaves (paragraphs) are sentences or lines with the white space behind them, so together they are the whole text. In the first
-HEAD code points, where short documents live, and in runs of over LONGEST code points without a sentence's end, a leaf
-also ends behind a word whose hash says so. A section ends at a leaf whose hash says so or that holds an empty line. Edges thus follow the
-content: an edit changes the leaves it touches, their sections and the root, and nothing else. The digest of a section is that of
-its leaves' digests, the root that of the sections'. Equal roots mean equal texts (128 bits).
+A paragraph is a line with its line break, so together the paragraphs are the whole text. A paragraph of over LONGEST code points
+is cut further, behind each word whose hash says so (one in WORDS); the parts are its leaves, a shorter paragraph is one. A
+section ends at a leaf whose hash says so (one in LEAVES) or that holds an empty line. No rule looks at a place in the text, so edges
+follow the content: an edit changes the leaves of the paragraphs it touches, their sections and the root, and nothing else. The digest of
+a section is that of its leaves' digests, the root that of the sections'. Equal roots mean equal texts (128 bits).
 
 A fingerprint is text: the root, "|", and the sections, ";" between them; a section is the start of its digest, "=", and its
 leaves, "," between them, each the start of its digest, "." and its length. likeness() descends from the root: equal subtrees
@@ -16,35 +16,39 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HEAD, LONGEST = 512, 600
+LONGEST, WORDS, LEAVES = 32, 5, 8
 #: Row groups in order of id, each streamed by one task.
 BUCKETS, BUCKET_ROWS = 65536, 5000
-_LEAF = re.compile(r"[^.!?\n]*[.!?\n]+[\x20\t\r]*|[^.!?\n]+")
+_PARAGRAPH = re.compile(r"[^\n]*\n+|[^\n]+")
 _WORD = re.compile(r"\S+\s*|\s+")
 
 
+@lru_cache(maxsize=1 << 17)
+def _ends(word: str) -> bool:
+    return xxhash.xxh32_intdigest(word.encode()) % WORDS == 0
+
+
 def leaves(text: str) -> list[str]:
     out: list[str] = []
-    at = 0
-    for leaf in _LEAF.findall(text):
-        if at < HEAD or len(leaf) > LONGEST:
-            a = b = 0
-            for word in _WORD.findall(leaf):
-                b += len(word)
-                if (at < HEAD or len(leaf) > LONGEST) and xxhash.xxh32_intdigest(word.encode()) % (3 if at + b <= HEAD else 32) == 0:
-                    out.append(leaf[a:b])
-                    a = b
-            if a < len(leaf):
-                out.append(leaf[a:])
-        else:
-            out.append(leaf)
-        at += len(leaf)
+    for paragraph in _PARAGRAPH.findall(text):
+        if len(paragraph) <= LONGEST:
+            out.append(paragraph)
+            continue
+        held: list[str] = []
+        for word in _WORD.findall(paragraph):
+            held.append(word)
+            if len(word) < 64 and _ends(word):
+                out.append("".join(held))
+                held.clear()
+        if held:
+            out.append("".join(held))
     return out
 
 
@@ -64,7 +68,7 @@ def fingerprint(text: str | None) -> str:
         digest = xxhash.xxh3_128_digest(leaf.encode())
         own.append(digest)
         names.append(f"{digest.hex()[:8]}.{len(leaf)}")
-        if digest[-1] % 8 == 0 or "\n\n" in leaf:
+        if digest[-1] % LEAVES == 0 or "\n\n" in leaf:
             close()
     if own:
         close()
@@ -154,7 +158,11 @@ def in_order(docs: DataFrame) -> DataFrame:
 
 
 def edited_pairs(docs: DataFrame) -> DataFrame:
-    """The digest of op10: each text against its edited text and the next document's. No rows give no rows."""
+    """The digest of op10: each text against its edited text and the next document's, for each row of docs (doc_id, text; other columns are ignored).
+
+    A null text is empty. Repeated rows follow each other, each with a row of its own; rows of one id are in the order of their texts' hash,
+    rows without an id come last. A single row is its own next. No rows give no rows.
+    """
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
 
