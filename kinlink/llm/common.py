@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Iterator
 
@@ -14,20 +15,31 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-#: Rows that cross to Python at once: with texts of some thousand characters a few MB, so that workers stay small.
-BATCH_ROWS = 1000
+#: Rows and bytes that cross to Python at once, so that workers stay small whatever the texts' lengths.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    """A table of the driver's. Bounds the session's Arrow batches, in rows and in bytes, unless they are bounded more tightly."""
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = spark.conf.get(key)
+        if not now.isdigit() or int(now) > most or int(now) == 0:
+            spark.conf.set(key, str(most))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cuts the lineage with a reliable checkpoint in the folder the session names (a temporary one only where none is set)."""
+    """Cuts the lineage with a reliable checkpoint in the shared folder the session names in spark.checkpoint.dir.
+
+    Without one only a local master gets a folder of its own: elsewhere executors would not share it, and this raises.
+    """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if folder is None and not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and the executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints"))
     return df.checkpoint(eager=True)
 
 
