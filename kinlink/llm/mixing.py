@@ -1,10 +1,12 @@
 """Mixing sources to target weights by entropy balancing.
 
-A document's rate r is the number of times the mix takes it. Among all rates that meet each source's token target and keep its
-share of documents (constraints sum r * size = T and sum r = n * T / S, for S tokens and n documents), the ones closest in
-entropy to taking every document once are r = exp(a + b * z), an exponential tilt in the scaled size z. The dual in (a, b) is
-convex; Newton iterations solve it for all sources at once, each one distributed aggregate over the documents' (source, size)
-classes and a step on the few numbers of each source. Rates stop at `most`.
+A document's rate r is the number of times the mix takes it. Among all rates from 0 to `most` that meet each source's token target
+(sum r * size = T), the ones closest in entropy to taking every document once are sought: the least sum of w * (r ln r - r + 1), with base
+weights w = size + m for a source's mean size m. Weighing a document by its tokens and a mean one's keeps the tilt mild: the rates
+are r = min(most, exp(a * z)) for the bounded feature z = size / (size + m), so that short documents stay near once and the
+longest approach exp(a). The dual in a is convex, one number for each source; safeguarded Newton iterations solve it for all sources at
+once: the tasks sum its gradient and curvature over the (source, size) classes they hold, nothing is shuffled, and the driver
+adds up a few numbers for each source and task and steps.
 
 Rates become copies by systematic rounding: within a source the classes follow each other by falling size, and each class takes the
 whole number of copies that keeps the running error under half a document of that size; the rounding of the many small
@@ -17,7 +19,9 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -26,67 +30,78 @@ from .common import WORD, aside, back, cut
 
 MOST = 3
 #: Parts of a class of documents of one source and size.
-SALT = 32
+SALT = 64
 
 
 def words_of(text: str = "text") -> F.Column:
     return F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.regexp_count(F.col(text), F.lit(WORD))).cast("long")
 
 
-def targets(sizes: DataFrame, weights: Sequence[float] = (1, 2, 3), most: float = MOST) -> DataFrame:
-    """(source, source_size, docs, target) from (source, size, docs): weights repeat over the sources by code point, null last.
+def targets(sizes: dict[str | None, int], weights: Sequence[float] = (1, 2, 3), most: float = MOST) -> dict[str | None, float]:
+    """The target of each source of these sizes: weights repeat over the sources by code point, null last.
 
     Targets share the total of all sizes by weight; none exceeds `most` times its source, the excess is shared anew by weight
-    among the others until none is above. One row for each source goes through one task, a table as small as the sources' names.
+    among the others until none is above.
     """
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: float(weights[i % len(weights)]) for i, s in enumerate(order)}
+    out, free, left = dict.fromkeys(order, 0.0), order, float(sum(sizes.values()))
+    while free:
+        each = left / sum(weight[s] for s in free)
+        over = [s for s in free if each * weight[s] > most * sizes[s]]
+        if not over:
+            return out | {s: each * weight[s] for s in free}
+        out |= {s: float(most * sizes[s]) for s in over}
+        left -= sum(out[s] for s in over)
+        free = [s for s in free if s not in over]
+    return out
 
-    def share(frame: pd.DataFrame) -> pd.DataFrame:
-        rows = sorted(frame.to_dict("records"), key=lambda r: (r["source"] is None, r["source"] or ""))
-        for i, r in enumerate(rows):
-            r["weight"], r["target"] = float(weights[i % len(weights)]), 0.0
-        left, free = float(sum(r["source_size"] for r in rows)), rows
-        while free:
-            weight = sum(r["weight"] for r in free)
-            over = [r for r in free if left * r["weight"] / weight > most * r["source_size"]]
-            for r in over:
-                r["target"] = float(most * r["source_size"])
-            if not over:
-                for r in free:
-                    r["target"] = left * r["weight"] / weight
-                break
-            left -= sum(r["target"] for r in over)
-            free = [r for r in free if not any(r is o for o in over)]
-        return pd.DataFrame([(r["source"], r["source_size"], r["docs"], r["target"]) for r in rows], columns=["source", "source_size", "docs", "target"])
-
-    by_source = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("docs")).alias("source_size"), F.sum("docs").alias("docs"))
-    return by_source.groupBy(F.lit(0).alias("all")).applyInPandas(lambda frame: share(frame.astype(object).where(lambda x: x.notna(), None)), "source string, source_size long, docs long, target double")
-
-
-def balance(classes: DataFrame, goal: DataFrame, rounds: int = 40, tolerance: float = 1e-7) -> DataFrame:
-    """goal with a, b and mean: rates exp(a + b * (size / mean - 1)) meet both constraints of each source.
-
-    Newton on f(a, b) = sum docs * exp(a + b z) - a * sum(docs) t - b * sum(docs z) t with t = target / source_size; the
-    iterate stays on the few numbers of each source and the sums run distributed over the classes.
+
+def tilted(size, a, mean, most: float = MOST):
+    """The rate of documents of this size: numpy arrays or numbers."""
+    return np.minimum(most, np.exp(np.minimum(a * (size / (size + mean)), 700.0)))
+
+
+def balance(classes: DataFrame, goals: list[tuple[float, float]], most: float = MOST, rounds: int = 60, tolerance: float = 1e-9) -> np.ndarray:
+    """The tilt a of each source; classes is (k, size, docs) with k the source's number in goals, (mean size, target) each.
+
+    A target of 0 has the tilt -inf, one of `most` times the source or more +inf.
     """
-    state = cut(goal.filter("source_size > 0 and target > 0").withColumns({"mean": F.col("source_size") / F.col("docs"), "t": F.col("target") / F.col("source_size"), "a": F.lit(0.0), "b": F.lit(0.0)}))
+    mean, target = np.array(goals, float).reshape(-1, 2).T
+    low, high, a = np.full(len(goals), -np.inf), np.full(len(goals), np.inf), np.zeros(len(goals))
+
+    def at(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens taken at these tilts, and their derivative."""
+
+        def sums(batches):
+            held = np.zeros((2, len(a)))
+            for batch in batches:
+                k, size, docs = (c.to_numpy() for c in batch.columns)
+                rate, tokens = tilted(size, a[k], mean[k], most), size * docs
+                held[0] += np.bincount(k, tokens * rate, len(a))
+                held[1] += np.bincount(k, np.where(rate < most, tokens * rate * size / (size + mean[k]), 0.0), len(a))
+            own = np.flatnonzero(held[0])
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(held[0][own]), pa.array(held[1][own])], ["k", "f", "d"])
+
+        found = classes.select(F.col("k").cast("int"), F.col("size").cast("double"), F.col("docs").cast("double")).mapInArrow(sums, "k int, f double, d double").toArrow()
+        k, f, d = (c.to_numpy() for c in found.columns)
+        return np.bincount(k, f, len(a)), np.bincount(k, d, len(a))
+
+    full = at(np.full(len(goals), np.inf))[0] if len(goals) else target
+    done = (target <= 0) | (target >= full * (1 - 1e-12))
     for _ in range(rounds):
-        joined = classes.join(state, classes.source.eqNullSafe(state.source)).select(state.source, "docs_c", "t", "a", "b", (F.col("size") / F.col("mean") - 1).alias("z"))
-        rate = F.exp(F.least(F.col("a") + F.col("b") * F.col("z"), F.lit(50.0))) * F.col("docs_c")
-        z, t = F.col("z"), F.col("t") * F.col("docs_c")
-        sums = joined.groupBy("source").agg(F.sum(rate - t).alias("g0"), F.sum((rate - t) * z).alias("g1"), F.sum(rate).alias("h00"), F.sum(rate * z).alias("h01"), F.sum(rate * z * z).alias("h11"), F.sum(t).alias("size_t"))
-        det = F.col("h00") * F.col("h11") - F.col("h01") * F.col("h01")
-        flat = det <= F.col("h00") * F.col("h00") * 1e-12  # all sizes equal: one constraint is left
-        da = F.when(flat, F.col("g0") / F.col("h00")).otherwise((F.col("h11") * F.col("g0") - F.col("h01") * F.col("g1")) / F.when(flat, 1.0).otherwise(det))
-        db = F.when(flat, F.lit(0.0)).otherwise((F.col("h00") * F.col("g1") - F.col("h01") * F.col("g0")) / F.when(flat, 1.0).otherwise(det))
-        step = sums.select(F.col("source").alias("s"), da.alias("da"), db.alias("db"), (F.greatest(F.abs("g0"), F.abs("g1")) / F.col("size_t")).alias("off"))
-        damp = F.least(F.lit(1.0), 1 / F.greatest(F.abs("da"), F.abs("db"), F.lit(1e-300)))
-        state = cut(state.join(step, state.source.eqNullSafe(step.s)).select("source", "source_size", "docs", "target", "mean", "t", (F.col("a") - damp * F.col("da")).alias("a"), (F.col("b") - damp * F.col("db")).alias("b"), "off"))
-        worst = state.agg(F.max("off")).first()[0]
-        state = state.drop("off")
-        if worst is None or worst < tolerance:
+        if done.all():
             break
-    tilt = state.select(F.col("source").alias("s"), "a", "b", "mean")
-    return goal.join(tilt, goal.source.eqNullSafe(tilt.s), "left").drop("s")
+        f, d = at(a)
+        off = f - target
+        done |= np.abs(off) <= tolerance * target
+        low, high = np.where(off < 0, np.maximum(low, a), low), np.where(off > 0, np.minimum(high, a), high)
+        step = np.clip(a - off / np.maximum(d, 1e-300), a - 8, a + 8)
+        # a step out of what is known to hold the solution goes to its middle
+        inside = (step > low) & (step < high)
+        middle = np.where(np.isfinite(low) & np.isfinite(high), np.maximum(low, -1e300) / 2 + np.minimum(high, 1e300) / 2, step)
+        a = np.where(done, a, np.where(inside, step, middle))
+    return np.where(target <= 0, -np.inf, np.where(target >= full * (1 - 1e-12), np.inf, a))
 
 
 def _round(most: int):
@@ -112,22 +127,31 @@ def mixed_copies(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), most: in
     return mix(inner, weights, most).filter("copies > 0").withColumn("_again", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(*back(columns))
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), most: int = MOST) -> DataFrame:
+def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), most: int = MOST, salt: int = SALT) -> DataFrame:
     """docs (doc_id, source, size, other columns) with source_size, target, rate and copies; size from words_of().
 
     A document of size 0 (a null or wordless text) gets no copy and has no influence. Repeated rows count and are rounded as often
-    as they occur. A null source is a source of its own, the last. Columns of docs named like the new ones are replaced.
+    as they occur. A null source is a source of its own, the last. Columns of docs named like the new ones are replaced. No rows give
+    no rows. salt is the number of parts that a class is ranked in; another one gives the extra copies to other documents.
     """
     columns, made = docs.columns, ("source_size", "target", "rate", "copies")
     docs = aside(docs, doc_id="doc_id", source="source", size="size")
-    salt = max(SALT, docs.count() // 1_000_000)
+    spark = docs.sparkSession
     place = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(salt)).cast("int")
     parts = cut(docs.groupBy(F.col("source").cast("string").alias("source"), "size", place.alias("part")).agg(F.count("*").alias("n")))
     classes = parts.groupBy("source", "size").agg(F.sum("n").alias("docs"))
-    goal = cut(targets(classes, weights, most))
-    tilt = cut(balance(classes.withColumnRenamed("docs", "docs_c"), goal))
-    rate = F.coalesce(F.least(F.lit(float(most)), F.exp(F.col("a") + F.col("b") * (F.col("size") / F.col("mean") - 1))), F.lit(0.0))
-    rated = classes.join(tilt.select(F.col("source").alias("s"), "source_size", "target", "a", "b", "mean"), F.col("source").eqNullSafe(F.col("s"))).withColumn("rate", F.when(F.col("size") > 0, rate).otherwise(0.0))
+    # a few numbers for each source
+    found = classes.groupBy("source").agg(F.sum(F.col("size") * F.col("docs")).alias("words"), F.sum(F.when(F.col("size") > 0, F.col("docs")).otherwise(0)).alias("docs")).collect()
+    goal = targets({r.source: r.words for r in found}, weights, most)
+    rows = [(k, r.source, r.words, goal[r.source], r.words / max(1, r.docs)) for k, r in enumerate(found)]
+    numbered = spark.createDataFrame(rows, "k int, s string, source_size long, target double, mean double")
+    known = cut(classes.join(F.broadcast(numbered), F.col("source").eqNullSafe(F.col("s"))).drop("s"))
+    tilt = balance(known.filter("size > 0"), [(max(r[4], 1e-9), r[3]) for r in rows], most).tolist()
+    tilts = spark.createDataFrame([(k, a) for k, a in enumerate(tilt)], "k int, a double")
+    # the largest exponent keeps an infinite tilt from giving NaN
+    power = F.greatest(F.least(F.col("a"), F.lit(1e300)), F.lit(-1e300)) * (F.col("size") / (F.col("size") + F.col("mean")))
+    rate = F.least(F.lit(float(most)), F.exp(F.least(power, F.lit(700.0))))
+    rated = known.join(F.broadcast(tilts), "k").withColumn("rate", F.when(F.col("size") > 0, rate).otherwise(0.0))
     whole = rated.filter("size > 0").select("source", "size", "docs", "rate").groupBy("source").applyInPandas(_round(most), "source string, size long, copies long")
     r = rated.select("source", "size", "docs", "source_size", "target", "rate").alias("r")
     w = whole.select(F.col("source").alias("ws"), F.col("size").alias("wsize"), "copies")

@@ -184,17 +184,43 @@ def test_mixing_without_words(spark):
     assert [(r.copies, r.target) for r in mixing.mix(only).collect()] == [(0, 0.0), (0, 0.0)]
 
 
-def test_balance_meets_both_constraints(spark):
+def test_balance_solves_the_dual(spark):
+    """The tilts against a plain solver, by bisection over all documents one by one."""
     r = random.Random(2)
-    table = spark.createDataFrame([("s", r.randrange(1, 500), r.randrange(1, 9)) for _ in range(300)], "source string, size long, docs long").groupBy("source", "size").sum("docs").withColumnRenamed("sum(docs)", "docs")
-    rowset = table.collect()
-    total, n = sum(x.size * x.docs for x in rowset), sum(x.docs for x in rowset)
-    for share in (0.1, 0.5, 2.5):
-        goal = spark.createDataFrame([("s", total, n, share * total)], "source string, source_size long, docs long, target double")
-        a, b, mean = mixing.balance(table.withColumnRenamed("docs", "docs_c"), goal).select("a", "b", "mean").first()
-        rate = [math.exp(a + b * (x.size / mean - 1)) for x in rowset]
-        assert sum(q * x.size * x.docs for q, x in zip(rate, rowset)) == pytest.approx(share * total, rel=1e-6)
-        assert sum(q * x.docs for q, x in zip(rate, rowset)) == pytest.approx(share * n, rel=1e-6)
+    sizes = [[r.choice([1, 5, 40, 300, 5000]) + r.randrange(30) for _ in range(r.randrange(1, 120))] for _ in range(6)] + [[7] * 20]
+    shares = [0.1, 0.5, 0.999, 1.0, 1.7, 2.9, 0.4]
+    goals = [(sum(x) / len(x), q * sum(x)) for x, q in zip(sizes, shares)]
+    rows = [(k, s, n) for k, x in enumerate(sizes) for s, n in collections.Counter(x).items()]
+    got = mixing.balance(spark.createDataFrame(rows, "k int, size long, docs long").repartition(3), goals)
+    for a, x, (mean, target), q in zip(got, sizes, goals, shares):
+        taken = lambda a: sum(min(3.0, math.exp(a * s / (s + mean))) * s for s in x)  # noqa: B023, E731
+        low, high = -60.0, 60.0
+        for _ in range(200):
+            middle = (low + high) / 2
+            low, high = (middle, high) if taken(middle) < target else (low, middle)
+        assert taken(a) == pytest.approx(target, rel=1e-6) and a == pytest.approx(low, abs=1e-4)
+        assert abs(a) > 0.1 or q in (0.999, 1.0)
+    ends = mixing.balance(spark.createDataFrame([(0, 4, 2), (1, 4, 2)], "k int, size long, docs long"), [(4, 0.0), (4, 24.0)])
+    assert ends.tolist() == [-math.inf, math.inf] and len(mixing.balance(spark.createDataFrame([], "k int, size long, docs long"), [])) == 0
+
+
+def test_mixing_tilts_rates(spark):
+    """Rates by the closed form from tilts solved without Spark; a class's copies are its rate times its documents, but for rounding."""
+    r = random.Random(3)
+    rows = [(i, "w " * (r.choice([3, 30, 300]) + r.randrange(9)), "en", r.choice("aab"), 0) for i in range(900)]
+    got = mixing.mix(spark.createDataFrame(rows, SCHEMA).withColumn("size", mixing.words_of())).collect()
+    for source in "ab":
+        own = [x for x in got if x.source == source]
+        mean, target = own[0].source_size / len(own), own[0].target
+        low, high = -60.0, 60.0
+        for _ in range(200):
+            a = (low + high) / 2
+            low, high = (a, high) if sum(min(3.0, math.exp(a * x.size / (x.size + mean))) * x.size for x in own) < target else (low, a)
+        assert abs(a) > 0.05
+        assert all(x.rate == pytest.approx(min(3.0, math.exp(a * x.size / (x.size + mean))), rel=1e-6) for x in own)
+        for kind in (3, 30, 300):
+            some = [x for x in own if kind <= x.size < kind + 9]
+            assert abs(sum(x.copies - x.rate for x in some)) <= 0.05 * len(some) + 2
 
 
 # --- 3 language -------------------------------------------------------------------------------
@@ -293,11 +319,11 @@ def test_language_id_frames(spark, clashing, empty):
     r = random.Random(4)
     texts = {"en": "the quick brown fox and the lazy dog walk over that hill with them", "de": "der schnelle fuchs und ein hund gehen über den hügel mit ihnen zusammen"}
     rows = [(i, " ".join(r.choice(texts[x].split()) for _ in range(12)), x, "s", 0) for i in range(200) for x in [r.choice(["en", "de"])]]
-    rows += [(500, None, "en", "s", 0), (501, "123 !!", "en", "s", 0), (502, "xyzzy qqqq wwww jjjj kkkk zzzz", None, "s", 0), (None, "the fox", "en", "s", 0)]
+    rows += [(500, None, "en", "s", 0), (501, "123 !!", "en", "s", 0), (503, "½ ² Ⅷ", "en", "s", 0), (502, "xyzzy qqqq wwww jjjj kkkk zzzz", None, "s", 0), (None, "the fox", "en", "s", 0)]
     got = {x.doc_id: x for x in language_id.language_id(spark.createDataFrame(rows, SCHEMA)).collect()}
     for i, _, lang, *_ in rows[:200]:
         assert got[i].lang_pred == lang and got[i].held_out == (zlib.crc32(str(i).encode()) % 4 == 2)
-    assert got[500].lang_pred == got[501].lang_pred == "und" and got[500].score == 0 and got[502].rejected and got[502].lang_pred in ("en", "de")
+    assert got[500].lang_pred == got[501].lang_pred == got[503].lang_pred == "und" and got[500].score == 0 and got[502].rejected and got[502].lang_pred in ("en", "de")
     assert not got[None].held_out and all(0 <= x.score <= 1 for x in got.values())
     assert language_id.language_id(empty).count() == 0
     assert language_id.language_id(clashing).count() == clashing.count()
