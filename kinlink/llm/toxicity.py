@@ -5,8 +5,8 @@ both ends), so unseen words of a known shape are understood. Windows of WIDTH wo
 a GRU in both directions, attention pools the states and a linear layer gives the window's logit. A text's score is the
 calibrated logit of its highest window; every window of every text is scored.
 
-Training: of the labelled rows offered, SAMPLE of each class (those of the smallest hash) with up to WINDOWS windows spread over
-the whole text. The label belongs to the text, the evidence to a few windows: after a warm-up on all windows, each epoch trains
+Training: of the labelled rows offered, SAMPLE of each class (those of the smallest hash) with all windows of their whole
+texts. The label belongs to the text, the evidence to a few windows: after a warm-up on all windows, each epoch trains
 on the highest windows of each text under the current network. A fifth of the sample is left for the calibration, which also
 undoes the sampling of the classes.
 """
@@ -24,7 +24,7 @@ from .common import crc_fold, mix
 from .language_id import chunks, words_of
 
 WIDTH, STRIDE = 32, 24
-SAMPLE, WINDOWS = 1500, 32
+SAMPLE = 1500
 BUCKETS, DIM, HIDDEN, ATTENTION = 1 << 16, 12, 8, 8
 GRAMS = (2, 5)
 THRESHOLD = 0.3
@@ -137,21 +137,28 @@ class Network:
         grad["A"], grad["c"] = np.tensordot(both, da, ((0, 1), (0, 1))), da.sum((0, 1))
         dboth += da @ p["A"].T
         dvectors = np.zeros_like(vectors)
+        words = at.T.reshape(-1)
+        order = np.argsort(words, kind="stable")
+        edges = np.flatnonzero(np.diff(words[order], prepend=-1))
+        inputs = vectors[words]
+        spread = np.zeros_like(inputs)
         for i, d in enumerate("fb"):
-            du, db, dw = np.zeros_like(p[f"U{d}"]), np.zeros_like(p[f"b{d}"]), np.zeros_like(p[f"W{d}"])
-            dh = np.zeros((len(at), n), np.float32)
+            u, w = p[f"U{d}"], p[f"W{d}"]
+            du = np.zeros_like(u)
+            dxs = np.empty((WIDTH, len(at), 3 * n), dboth.dtype)
+            dh = np.zeros((len(at), n), dboth.dtype)
             for t, h, z, r, new, g in reversed(runs[d][1]):
                 dh = dh + dboth[t][:, i * n : (i + 1) * n]
                 dnew = dh * (1 - z) * (1 - new * new)
                 dx = np.concatenate((dh * (h - new) * z * (1 - z), dnew * g * r * (1 - r), dnew), axis=1)
-                dg = dx.copy()
-                dg[:, 2 * n :] *= r
-                du += h.T @ dg
-                db += dx.sum(0)
-                dw += vectors[at[:, t]].T @ dx
-                np.add.at(dvectors, at[:, t], dx @ p[f"W{d}"].T)
-                dh = dh * z + dg @ p[f"U{d}"].T
-            grad |= {f"U{d}": du, f"b{d}": db, f"W{d}": dw}
+                dxs[t] = dx
+                dx[:, 2 * n :] *= r
+                du += h.T @ dx
+                dh = dh * z + dx @ u.T
+            flat = dxs.reshape(-1, 3 * n)
+            grad |= {f"U{d}": du, f"b{d}": flat.sum(0), f"W{d}": inputs.T @ flat}
+            spread += flat @ w.T
+        dvectors[words[order[edges]]] = np.add.reduceat(spread[order], edges)
         return grad, dvectors
 
 
@@ -159,7 +166,7 @@ def windows_of(numbers: np.ndarray) -> np.ndarray:
     """All overlapping windows of a text's word numbers (0 fills a short one); an empty text has one empty window."""
     n = len(numbers)
     if n <= WIDTH:
-        out = np.zeros((1, WIDTH), np.int64)
+        out = np.zeros((1, WIDTH), numbers.dtype)
         out[0, :n] = numbers
         return out
     starts = np.append(np.arange(0, n - WIDTH, STRIDE), n - WIDTH)
@@ -175,12 +182,10 @@ def train(texts: list[str], labels: np.ndarray, prior: float, epochs: int = 9, s
     features = word_features(list(vocabulary)) if vocabulary else None
     parts, owner = [], []
     for i, ws in enumerate(split):
-        every = windows_of(np.array([vocabulary[w] for w in ws], np.int64))
-        if len(every) > WINDOWS:
-            every = every[np.linspace(0, len(every) - 1, WINDOWS).astype(int)]
+        every = windows_of(np.array([vocabulary[w] for w in ws], np.int32))
         parts.append(every)
         owner += [i] * len(every)
-    at, owner = np.concatenate(parts).astype(np.int32), np.array(owner, np.int32)
+    at, owner = np.concatenate(parts), np.array(owner, np.int32)
     del split, parts
     order = np.lexsort((r.random(len(labels)), labels))
     held = np.zeros(len(labels), bool)
@@ -236,7 +241,7 @@ def train(texts: list[str], labels: np.ndarray, prior: float, epochs: int = 9, s
     learn = np.flatnonzero(~held[owner])
     for epoch in range(epochs):
         if epoch < 2:
-            rows = learn if len(learn) <= 24_000 else r.choice(learn, 24_000, replace=False)
+            rows = learn
         else:
             now = logits()
             by = np.lexsort((-now, owner))

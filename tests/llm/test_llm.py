@@ -702,6 +702,44 @@ def test_toxicity(spark, clashing):
     assert {x.score for x in none} == {0.0}
 
 
+def test_scores_against_a_plain_scorer(spark):
+    """Every window of every text, word by word and number by number, from the trained tables."""
+    rows, labels = toxic_rows(120)
+    r = random.Random(41)
+    extra = [(200, "", "en", "s", 0), (201, None, "en", "s", 0), (202, "idiot", "en", "s", 0), (203, sentence(r, 400) + " scum " + sentence(r, 77), "en", "s", 0)]
+    docs = spark.createDataFrame(rows + extra, SCHEMA)
+    net = toxicity.learn(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    p, n, width, step = {k: v.astype(float) for k, v in net.dense.items()}, toxicity.HIDDEN, toxicity.WIDTH, toxicity.STRIDE
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+
+    def vector(word):
+        own, grams, many = toxicity.word_features([word])
+        return net.embed[own[0]].astype(float) + sum(net.embed[g].astype(float) for g in grams) / math.sqrt(many[0])
+
+    def run(vectors, d):
+        # the places that fill a short window are read, too, with a zero vector
+        h, out = np.zeros(n), [None] * width
+        for t in range(width) if d == "f" else range(width - 1, -1, -1):
+            x, g = vectors[t] @ p[f"W{d}"] + p[f"b{d}"], h @ p[f"U{d}"]
+            z, reset = sigmoid(x[:n] + g[:n]), sigmoid(x[n : 2 * n] + g[n : 2 * n])
+            h = (1 - z) * np.tanh(x[2 * n :] + reset * g[2 * n :]) + z * h
+            out[t] = h
+        return out
+
+    def window(ws):
+        vectors = [vector(w) for w in ws] + [np.zeros(toxicity.DIM)] * (width - len(ws))
+        states = [np.concatenate(x) for x in zip(run(vectors, "f"), run(vectors, "b"), strict=True)]
+        logits = np.array([np.tanh(s @ p["A"] + p["c"]) @ p["v"] for s in states])[: len(ws) or width]
+        share = np.exp(logits - logits.max()) / np.exp(logits - logits.max()).sum()
+        return sum(a * s for a, s in zip(share, states)) @ p["w"] + p["o"][0]
+
+    got = {x.doc_id: x.score for x in toxicity.score(docs, net).collect()}
+    for i, text, *_ in rows[:12] + extra:
+        ws = re.findall(r"[^\W\d_]+", (text or "").lower())
+        starts = [*range(0, max(0, len(ws) - width), step), max(0, len(ws) - width)]
+        assert got[i] == pytest.approx(sigmoid(net.scale * max(window(ws[a : a + width]) for a in starts) + net.shift), abs=2e-5), i
+
+
 def test_windows_cover_every_word():
     for n in (0, 1, 31, 32, 33, 56, 57, 500):
         got = toxicity.windows_of(np.arange(1, n + 1))
