@@ -232,9 +232,10 @@ def train(texts: list[str], labels: np.ndarray, prior: float, epochs: int = 9, s
             net.dense[k] -= (0.01 * (m / (1 - 0.9**turn)) / (np.sqrt(v / (1 - 0.999**turn)) + 1e-8)).astype(np.float32)
         spread = np.concatenate((dtable[1:], np.repeat(dtable[1:] / np.sqrt(many[:, None]), many, axis=0)))
         where = np.concatenate((own[0], grams))
-        rows_, back = np.unique(where, return_inverse=True)
-        order_ = np.argsort(back, kind="stable")
-        total = np.add.reduceat(spread[order_], np.searchsorted(back[order_], np.arange(len(rows_))))
+        order = np.argsort(where, kind="stable")
+        where = where[order]
+        edges = np.flatnonzero(np.diff(where, prepend=-1))
+        rows_, total = where[edges], np.add.reduceat(spread[order], edges)
         squares[rows_] += (total * total).mean(1)
         net.embed[rows_] -= 0.1 * total / np.sqrt(squares[rows_])[:, None]
 
