@@ -7,7 +7,7 @@ repetition come first.
 
 All per-document work stays in one narrow stage: words, windows and histograms are arrays. Repeated windows are found by sorting
 (hash, position) keys, and neighbours with equal hashes are confirmed by their words. Only the references are shuffled: counts of
-distinct words for each language, pre-aggregated, of which the top ones are kept.
+distinct words for each language, pre-aggregated, which give the class counts and the common words alike.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import aside, back
+from .common import aside, back, cut
 
 #: Common words for each language, and the slots of their lookup table (of words that share a slot, the rarer go to a list beside it).
 COMMON, SLOTS = 64, 8192
@@ -87,21 +87,28 @@ def _shares() -> F.Column:
 
 
 def references(docs: DataFrame) -> DataFrame:
-    """For each language (null is one): class counts, the lookup table of common words, and their shares."""
+    """For each language (null is one): class counts, the lookup table of common words, and their shares.
+
+    One pass over the texts counts the distinct words of each language; what a class has in words follows from those, and white space
+    is what the words leave of the texts' lengths.
+    """
     own = docs.select(F.col("lang").cast("string").alias("lang"), F.coalesce("text", F.lit("")).alias("_t"))
-    each = _classed(docs.select(F.col("lang").cast("string").alias("lang"), "text"))
-    classes = each.groupBy("lang").agg(*(F.sum(f"_{c}").alias(f"c{i}") for i, c in enumerate(CLASSES)), F.sum("_n").alias("n"))
+    lengths = own.groupBy("lang").agg(F.sum(F.length("_t")).alias("n"))
+    word = own.select("lang", F.explode(F.split("_t", r"[\x20\x09-\x0D]+")).alias("word")).filter("word != ''")
+    counts = word.groupBy("lang", "word").agg(F.count("*").alias("k"))
+    each = _classed(counts.withColumn("text", F.col("word"))).withColumn("low", F.lower("word"))
+    classes = (F.sum(F.col("k") * F.col(f"_{c}")).alias(f"c{i}") for i, c in enumerate(CLASSES))
+    lower = each.groupBy("lang", "low").agg(F.sum("k").alias("n"), *classes, F.sum(F.col("k") * F.col("_n")).alias("chars"))
+    in_words = lower.groupBy("lang").agg(F.sum("n").alias("total"), F.sum("chars").alias("chars"), *(F.sum(f"c{i}").alias(f"c{i}") for i in range(len(CLASSES))))
+    sums = lengths.join(in_words.withColumnRenamed("lang", "_l"), F.col("lang").eqNullSafe(F.col("_l")), "left").drop("_l").na.fill(0, ["total", "chars", *(f"c{i}" for i in range(len(CLASSES)))])
+    sums = sums.withColumn(f"c{CLASSES.index('space')}", F.col("n") - F.col("chars"))
     known = [F.col(f"c{i}") for i in range(len(CLASSES))]
-    total = F.greatest(F.col("n"), F.lit(1))
-    classes = classes.select("lang", F.array(*((x / total).cast("double") for x in known), (F.greatest(F.lit(0), F.col("n") - sum(known[1:], known[0])) / total).cast("double")).alias("class_ref"))
-    word = own.select("lang", F.explode(F.expr(r"filter(split(lower(_t), '[\\x20\\x09-\\x0D]+'), x -> x != '')")).alias("word"))
-    counts = word.groupBy("lang", "word").agg(F.count("*").alias("n"))
-    sums = counts.groupBy("lang").agg(F.sum("n").alias("total"))
+    size = F.greatest(F.col("n"), F.lit(1))
+    classes = sums.select("lang", "total", F.array(*((x / size).cast("double") for x in known), (F.greatest(F.lit(0), F.col("n") - sum(known[1:], known[0])) / size).cast("double")).alias("class_ref"))
     slot = F.pmod(F.xxhash64("word"), F.lit(SLOTS)).cast("int")
-    top = counts.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "word"))).filter(F.col("rank") <= COMMON)
+    top = lower.select("lang", F.col("low").alias("word"), "n").withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "word"))).filter(F.col("rank") <= COMMON)
     listed = top.withColumn("slot", slot).groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "slot", "word", "n"))).alias("top"))
-    out = listed.join(sums, listed.lang.eqNullSafe(sums.lang)).select(listed.lang, "top", "total")
-    out = classes.join(out, classes.lang.eqNullSafe(out.lang), "left").select(classes.lang, "class_ref", "top", "total")
+    out = classes.join(listed.withColumnRenamed("lang", "_l"), F.col("lang").eqNullSafe(F.col("_l")), "left").select("lang", "class_ref", "top", "total")
     held = "transform(top, x -> x.slot)"
     table = f"transform(sequence(0, {SLOTS - 1}), s -> array_position({held}, s) - 1)"
     beside = f"transform(filter(top, (x, i) -> array_position({held}, x.slot) != i + 1), x -> x.rank - 1)"
@@ -123,9 +130,9 @@ def quality(docs: DataFrame) -> DataFrame:
     made = (*MEASURES, "base_failed", "class_distance", "word_distance", "kept")
     columns = docs.columns
     docs = aside(docs, text="text", lang="lang")
-    ref = references(docs.select("text", "lang"))
+    ref = cut(references(docs.select("text", "lang")))
     measured = _measured(docs)
-    languages = docs.select("lang").distinct().count()
+    languages = ref.count()
     if languages <= MOST_LANGUAGES:
         joined = measured.join(F.broadcast(ref), F.col("lang").cast("string").eqNullSafe(F.col("_lang")), "left")
     else:  # a salted join: no language's texts meet in one task
