@@ -1,10 +1,12 @@
 """HTML extraction by site template removal.
 
 Each page is parsed once into a tree whose elements carry a hash of their subtree (tag, class and id, text, children). Spark counts
-the pages of a host that hold each subtree; those that recur on at least MIN_PAGES pages and on SHARE of the host's pages (beyond
-SMALL pages, SHARE of sqrt(SMALL * pages), so that the bar grows slowly) are templates, and the extraction deletes them. Elements that say by tag, role, class or id that they are not the article are
+the different pages of a host that hold each subtree (pages with one and the same tree count once, so an article is no template for being
+served at many addresses); those that recur on at least MIN_PAGES pages and on SHARE of the host's pages (beyond
+SMALL pages, SHARE of sqrt(SMALL * pages), so that the bar grows slowly) are templates, and the extraction deletes them: a page of
+nothing but its site's frame is empty. Elements that say by tag, role, class or id that they are not the article are
 deleted as well. Where a page marks its article (article, main, role=main), only that counts, and prose in it (paragraphs, headings,
-lists, quotes and the like) is never taken for a template: articles may quote each other.
+lists, quotes and the like) is neither taken for a template, as articles may quote each other, nor judged by its class.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ import html as entities
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -31,11 +34,16 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre table tbody thead tr td th caption figure figcaption".split()) | INLINE
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 SIBLINGS = {"li": ("li", ("ul", "ol")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr td th", ("table",)), "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "option": ("option", ("select",))}
+#: A class or id says so if it is made of these words and, beside one of them, of BESIDE.
 NOT_ARTICLE = frozenset(
     """ad ads adv advert adverts advertisement advertising adbox adsense banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies
     disqus footer gdpr menu menubar modal nav navbar navigation newsletter notice notices notification pager pagination popup promo promotion recommended
     related replies reply share sharing sidebar social sponsor sponsored subscribe subscription toolbar widget widgets""".split()
 )
+BESIDE = frozenset(
+    """area bar block bottom box btn button buttons center col column container content form global group holder inner item items left link links
+    list main mobile outer overlay page panel primary right row secondary section side site slot sticky top unit wrap wrapper""".split()
+)
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)([^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>""", re.DOTALL)
@@ -43,29 +51,40 @@ _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*
 _NAMES = re.compile(r"[a-z]+")
 
 
+@lru_cache(maxsize=1 << 14)
+def _no_article(names: str) -> bool:
+    """Whether one of the names of a class or id consists of words that mark what is not the article."""
+    for name in names.split():
+        words = set(_NAMES.findall(name))
+        if words & NOT_ARTICLE and words <= NOT_ARTICLE | BESIDE:
+            return True
+    return False
+
+
 class Node:
-    __slots__ = ("tag", "named", "drop", "items", "hash", "article")
+    __slots__ = ("tag", "named", "drop", "items", "hash", "article", "classed")
 
-    def __init__(self, tag: str, named: str = "", drop: bool = False, article: bool = False):
-        self.tag, self.named, self.drop, self.article = tag, named, drop, article
+    def __init__(self, tag: str, named: str = "", drop: bool = False, article: bool = False, classed: bool = False):
+        """classed: its class or id says that it is not the article."""
+        self.tag, self.named, self.drop, self.article, self.classed = tag, named, drop, article, classed
         self.items: list[str | Node] = []
         self.hash = 0
 
 
 def _opened(tag: str, attributes: str) -> Node:
-    drop, main, named = tag in DROP, tag in ("article", "main"), ""
+    drop, main, named, classed = tag in DROP, tag in ("article", "main"), "", False
     if attributes and "=" in attributes or "hidden" in attributes:
         for name, *value in _ATTRIBUTE.findall(attributes):
             name, text = name.lower(), "".join(value).lower()
             named += f"{name}={text};"
             if name in ("class", "id"):
-                drop |= tag not in ("html", "body") and any(x in NOT_ARTICLE for x in _NAMES.findall(text))
+                classed |= tag not in ("html", "body") and _no_article(text)
             elif name == "role":
                 drop |= text in ROLES
                 main |= text == "main"
             else:
                 drop |= name == "hidden" or text == "true"
-    return Node(tag, named, drop, main and not drop)
+    return Node(tag, named, drop, main and not drop and not classed, classed)
 
 
 def _close(node: Node) -> None:
@@ -157,15 +176,16 @@ def _walk(root: Node, templates: frozenset | set, collect: set | None = None) ->
         x, wanted = stack.pop()
         if isinstance(x, str):
             if wanted:
-                yield x
+                yield entities.unescape(x)
             continue
-        if x.drop or x.tag == "header" and not (inside_marked and wanted):
+        marked = inside_marked and wanted
+        prose = marked and x.tag in PROSE
+        if x.drop or x.classed and not prose or x.tag == "header" and not marked:
             if collect is not None:
                 collect.add(x.hash)
             yield " "
             continue
-        marked = inside_marked and wanted
-        if x.tag not in ("#root", "html", "body", "br") and not x.article and not (marked and x.tag in PROSE) and x.tag not in INLINE:
+        if x.tag not in ("#root", "html", "body", "br") and not x.article and not prose and x.tag not in INLINE:
             if collect is not None:
                 collect.add(x.hash)
             elif x.hash in templates:
@@ -186,24 +206,22 @@ def _marked(root: Node) -> bool:
         x = stack.pop()
         if x.article:
             return True
-        if not x.drop:
+        if not x.drop and not x.classed:
             stack.extend(y for y in x.items if isinstance(y, Node))
     return False
 
 
-def subtrees(page: str) -> set[int]:
+def subtrees(root: Node) -> set[int]:
     """Hashes of the subtrees that may be templates."""
     found: set[int] = set()
-    for _ in _walk(parse(page), frozenset(), found):
+    for _ in _walk(root, frozenset(), found):
         pass
     return found
 
 
 def extract(page: str, templates: frozenset | set = frozenset()) -> str:
-    """The text of a page without templates; a page that is nothing but templates (a copy of many others) keeps its text."""
-    root = parse(page)
-    text = " ".join(entities.unescape("".join(_walk(root, templates))).split())
-    return text if text or not templates else " ".join(entities.unescape("".join(_walk(root, frozenset()))).split())
+    """The text of a page without templates; references are decoded in each run of text by itself."""
+    return " ".join("".join(_walk(parse(page), templates)).split())
 
 
 def host_of(url: str = "url") -> F.Column:
@@ -211,16 +229,23 @@ def host_of(url: str = "url") -> F.Column:
 
 
 def templates_of(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
-    """(host, hash) of subtrees that recur on many pages of a host. Counts are pre-aggregated, so a hot host meets no single task."""
+    """(host, hash) of subtrees that recur on many different pages of a host. Counts are pre-aggregated, so a hot host meets no single task."""
+
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
 
     def run(batches):
         for batch in batches:
-            rows = [[h - (1 << 64) if h >> 63 else h for h in subtrees(x or "")] for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int64()))], ["host", "hashes"])
+            trees = [parse(x or "") for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([signed(t.hash) for t in trees], pa.int64()), pa.array([[signed(h) for h in subtrees(t)] for t in trees], pa.list_(pa.int64()))],
+                ["host", "page", "hashes"],
+            )
 
     hosted = pages.select(host_of().alias("host"), F.col("html").cast("string").alias("html"))
-    counts = hosted.mapInArrow(run, "host string, hashes array<bigint>").select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n"))
-    sizes = hosted.groupBy("host").agg(F.count("*").alias("pages"))
+    # pages with the same tree have the same subtrees
+    different = hosted.mapInArrow(run, "host string, page long, hashes array<bigint>").groupBy("host", "page").agg(F.any_value("hashes").alias("hashes"))
+    counts = different.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n"))
+    sizes = different.groupBy("host").agg(F.count("*").alias("pages"))
     bar = share * F.least(F.col("pages").cast("double"), F.sqrt(SMALL * F.col("pages")))
     return counts.filter(F.col("n") >= min_pages).join(sizes, "host").filter(F.col("n") >= bar).select("host", "hash")
 
@@ -228,7 +253,7 @@ def templates_of(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SH
 def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE, most: int = MOST_TEMPLATES) -> DataFrame:
     """(page_id, url, text, n_chars) for each row of pages (page_id, url, html; other columns are ignored).
 
-    Null or empty html has the empty text. Pages without a host form one. Repeated rows count as pages each. Text is decoded, each
+    Null or empty html has the empty text. Pages without a host form one. Repeated rows count as one page. Text is decoded, each
     run of white space is one space, and nothing is cut.
     """
     from .common import cut

@@ -347,6 +347,9 @@ def test_language_id_frames(spark, clashing, empty):
         ("<article><header><h1>H</h1></header><p>x</p><div role='dialog'>n</div></article><header>site</header>", "H x"),
         ("<p>unbalanced <b>bold</p><p>next</b> end", "unbalanced bold next end"),
         ("<div hidden>h</div><div>" * 3000 + "deep", "deep"),
+        ("<article><p class='share-price'>up</p><div class='related-work'>b</div><p class=notice>c</p><div class='cookie-notice box'>d</div></article>", "up b c"),
+        ("<body><nav>a</nav><header>b</header><footer>c</footer></body>", ""),
+        ("<p>&<b>lt;</b> &am<!-- -->p; &lt<i>x</i></p>", "&lt; &amp; <x"),
     ],
 )
 def test_extract(page, text):
@@ -359,17 +362,74 @@ def test_templates(spark):
     own = [sentence(r, 12) for _ in range(30)]
     rows = [(i, f"http://h{i % 2}.example/{i}", frame.format(t)) for i, t in enumerate(own)]
     rows += [(90, "http://few.example/1", frame.format("alone")), (91, None, None), (92, "http://h0.example/x", ""), (0, "http://h0.example/0", frame.format(own[0]))]
+    rows += [(93, "http://h1.example/empty", frame.format("")), *((i, "http://often.example/", frame.format("served often")) for i in range(94, 100))]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"host": html_text.F.lit(1), "hash": html_text.F.lit(2)})
     got = html_text.main_text(pages).collect()
     assert len(got) == len(rows) and all(x.n_chars == len(x.text) for x in got)
     by = {x.page_id: x.text for x in got}
     assert all(by[i] == t for i, t in enumerate(own))
-    assert by[90] == "Welcome to our site Best prices alone All rights kept" and by[91] == by[92] == ""
+    assert by[90] == "Welcome to our site Best prices alone All rights kept" and by[91] == by[92] == by[93] == ""
+    # a page served five times over is one page, and so no template
+    assert all(by[i] == "Welcome to our site Best prices served often All rights kept" for i in range(94, 100))
+    # it is the count that decides: without it every frame stays
+    off = {x.page_id: x.text for x in html_text.main_text(pages, min_pages=10**6).collect()}
+    assert all(off[i] == f"Welcome to our site Best prices {t} All rights kept" for i, t in enumerate(own)) and off[93]
     joined = html_text.main_text(pages, most=0).collect()
     assert sorted((x.page_id, x.text) for x in joined) == sorted((x.page_id, x.text) for x in got)
     assert html_text.main_text(pages.limit(0)).count() == 0
 
 
+def test_templates_against_brute_force(spark):
+    """Subtrees as nested tuples, read by another parser, counted by host over different pages; many unmarked frames on many hosts."""
+    from html.parser import HTMLParser
+
+    class Tree(HTMLParser):
+        def __init__(self, page):
+            super().__init__()
+            self.stack = [["#root"]]
+            self.feed(page)
+
+        def handle_starttag(self, tag, attrs):
+            self.stack.append([tag])
+
+        def handle_endtag(self, tag):
+            own = tuple(self.stack.pop())
+            self.stack[-1].append(own)
+
+        def handle_data(self, data):
+            self.stack[-1].append(data)
+
+    r = random.Random(44)
+    blocks = [f"<div><p>{sentence(r, 3)}</p><ul><li>{sentence(r, 2)}</li></ul></div>" for _ in range(6)]
+    rows = []
+    for i in range(300):
+        held = [b for k, b in enumerate(blocks) if r.random() < (k + 1) / 10]
+        rows.append((i, f"http://h{i % 7}.example/{i}", f"<body>{''.join(held)}<div><p>own text {i if i % 9 else 'again'}</p></div></body>"))
+    trees = {i: Tree(page).stack[0] for i, _, page in rows}
+
+    def below(node):
+        for x in node[1:]:
+            if not isinstance(x, str):
+                yield x
+                yield from below(x)
+
+    def text(node, templates):
+        return " ".join(x if isinstance(x, str) else text(x, templates) for x in node[1:] if isinstance(x, str) or x not in templates)
+
+    different, held = collections.defaultdict(set), collections.defaultdict(set)
+    for i, t in trees.items():
+        different[i % 7].add(repr(t))
+        for x in below(t):
+            if x[0] != "body":
+                held[i % 7, x].add(repr(t))
+    want = {}
+    for i, t in trees.items():
+        templates = {x for (host, x), pages in held.items() if host == i % 7 and len(pages) >= max(html_text.MIN_PAGES, html_text.SHARE * len(different[host]))}
+        want[i] = " ".join(text(t, templates).split())
+    got = {x.page_id: x.text for x in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want and any(got[i] != " ".join(text(t, ()).split()) for i, t in trees.items())
+
+
 def test_html_templates_of_a_part_of_a_large_host(spark):
     """A block on a fifth of a large host's pages is a template, one on a hundredth is not."""
     block = lambda i: "<div>section menu</div>" if i % 5 == 0 else "<div>a passage that few pages share</div>" if i % 100 == 1 else ""
