@@ -128,7 +128,11 @@ def secrets(docs: DataFrame) -> DataFrame:
 
 
 def mask(docs: DataFrame) -> DataFrame:
-    """docs with every finding in text replaced by [kind], and n_chars (if docs has it) that of the new text; a null text stays null."""
+    """docs with every finding in text replaced by [kind], and n_chars (if docs has it) that of the new text.
+
+    A null text stays null, an empty or clean one as it is. Of findings that overlap, the part behind an earlier one goes with it. Whole texts
+    are scanned whatever their length; repeated rows and other columns stay; no rows give no rows.
+    """
     columns = docs.columns
     where = columns.index("text")
 

@@ -109,7 +109,11 @@ def counter(path: str) -> Unigram:
 
 
 def token_counts(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_tokens) for each row of docs (doc_id, text; other columns are ignored); a null or empty text has none."""
+    """(doc_id, n_tokens) for each row of docs (doc_id, text; other columns are ignored).
+
+    A null or empty text has none. Whole texts are counted, unit by unit with numbers alone, so a very long one takes a few bytes for each
+    character of its longest unit. Repeated rows give repeated rows; no rows give no rows.
+    """
 
     def run(batches):
         model = counter(path)

@@ -447,10 +447,10 @@ def unigram(pieces, **how):
     return Tokenizer(models.Unigram([(p or f"\0{i}", s) for i, (p, s) in enumerate(pieces)], unk_id=0, **how))
 
 
-def test_token_counts_against_tokenizer(docs, empty, rows):
+def test_token_counts_against_tokenizer(clashing, empty, rows):
     path = public_tokenizers.path("piece_bpe_32k.model")
     tokenizer = unigram(token_counts.pieces_of(path), byte_fallback=True)
-    got = sorted((r.doc_id or -1, r.n_tokens) for r in token_counts.token_counts(docs, path).collect())
+    got = sorted((r.doc_id or -1, r.n_tokens) for r in token_counts.token_counts(clashing, path).collect())
     want = sorted((i or -1, len(tokenizer.encode("▁" + t.replace(" ", "▁")).ids) if t else 0) for i, t, *_ in rows)
     assert got == want and token_counts.token_counts(empty, path).count() == 0
 
@@ -921,10 +921,60 @@ def test_edits_are_located():
     assert fingerprints.likeness(fingerprints.fingerprint(text), fingerprints.fingerprint(other)) > 0.9
 
 
+def brute_tree(text):
+    """The tree by its description: lines, cut behind chosen words where longer than LONGEST; sections behind chosen leaves and empty lines."""
+    import xxhash
+
+    lines = re.findall(r"[^\n]*\n+|[^\n]+", text)
+    out, sections = [], [[]]
+    for line in lines:
+        own = [""]
+        for word in [line] if len(line) <= fingerprints.LONGEST else re.findall(r"\S+\s*|\s+", line):
+            own[-1] += word
+            if len(line) > fingerprints.LONGEST and len(word) < 64 and xxhash.xxh32_intdigest(word.encode()) % fingerprints.WORDS == 0:
+                own.append("")
+        out += [x for x in own if x]
+    digest = lambda x: xxhash.xxh3_128_digest(x if isinstance(x, bytes) else x.encode())
+    for leaf in out:
+        sections[-1].append(leaf)
+        if digest(leaf)[-1] % fingerprints.LEAVES == 0 or "\n\n" in leaf:
+            sections.append([])
+    sections = [x for x in sections if x]
+    tops = [digest(b"".join(map(digest, x))) for x in sections]
+    shown = ";".join(f"{t.hex()[:16]}={','.join(f'{digest(leaf).hex()[:8]}.{len(leaf)}' for leaf in x)}" for t, x in zip(tops, sections))
+    return f"{digest(b''.join(tops)).hex()}|{shown}", out
+
+
+def brute_likeness(a, b):
+    """Code points in leaves that both have, over those of the longer text."""
+    x, y = (collections.Counter(brute_tree(t)[1]) for t in (a, b))
+    return sum(len(leaf) * n for leaf, n in (x & y).items()) / max(len(a), len(b)) if a != b else 1.0
+
+
+def test_fingerprints_against_brute_force(rows):
+    r = random.Random(45)
+    texts = [t or "" for _, t, *_ in rows] + ["".join(r.choice(["a ", "river ", "stone. ", "\n", "\n\n", "x" * 70 + " ", "é😀 "]) for _ in range(r.randrange(200))) for _ in range(60)]
+    for a, b in zip(texts, texts[1:]):
+        edited = a[: len(a) - len(a) // 3] + b[: len(a) // 3]
+        for t in (a, edited):
+            assert fingerprints.fingerprint(t) == brute_tree(t)[0] and "".join(fingerprints.leaves(t)) == t
+        for x in (b, edited):
+            assert fingerprints.likeness(fingerprints.fingerprint(a), fingerprints.fingerprint(x)) == pytest.approx(brute_likeness(a, x))
+
+
+def test_an_edit_changes_the_leaves_it_touches():
+    """Nothing but the touched paragraph's leaves, wherever it is: a sentence in front of a text leaves all others as they were."""
+    r = random.Random(46)
+    text = "\n".join(sentence(r, 30) for _ in range(40))
+    before, after = fingerprints.leaves(text), fingerprints.leaves("Now this comes first.\n" + text)
+    assert after[1:] == before
+    assert fingerprints.leaves("Now this. " + text)[-len(before) + 1 :] == before[1:]
+
+
 @pytest.mark.parametrize("bucket_rows", [fingerprints.BUCKET_ROWS, 20])
-def test_edited_pairs(docs, empty, rows, bucket_rows, monkeypatch):
+def test_edited_pairs(clashing, empty, rows, bucket_rows, monkeypatch):
     monkeypatch.setattr(fingerprints, "BUCKET_ROWS", bucket_rows)
-    got = fingerprints.edited_pairs(docs).collect()
+    got = fingerprints.edited_pairs(clashing).collect()
     assert len(got) == len(rows)
     once = collections.Counter(r[0] for r in rows)
     ids = sorted((r[0] for r in rows if r[0] is not None), reverse=True)
@@ -992,3 +1042,22 @@ def test_pipeline(spark, tmp_path):
     assert set(mixed) <= deduped and max(mixed.values()) <= 3
     packed = collections.Counter(x.doc_id for x in kept["packing"] if x.piece == 0)
     assert packed == mixed
+
+
+@pytest.mark.parametrize("with_rows", [False, True])
+def test_pipeline_run(spark, tmp_path, with_rows):
+    """run() itself: on empty tables, and on columns whose names an operator could use."""
+    import corpus_pipeline
+
+    d = str(tmp_path)
+    rows, labels = toxic_rows(80) if with_rows else ([], [])
+    docs = spark.createDataFrame(rows, SCHEMA)
+    if with_rows:
+        docs = docs.selectExpr("*", *(f"cast(null as {kind}) as {name}" for name, kind in (x.split() for x in EXTRA.split(", "))), "1 as uid", "2 as copies", "3 as rep")
+    docs.write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+    got = corpus_pipeline.run(spark, d).collect()
+    assert bool(got) == with_rows
+    if with_rows:
+        toxic = {i for i, _, y in labels if y}
+        assert len({x.doc_id for x in got} & toxic) <= 0.3 * len(toxic) and max(x.offset + x.length for x in got) <= 2048
