@@ -52,6 +52,7 @@ ADDRESS_FORMS = {
 #: What Unicode calls white space, as a character class.
 SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 _EDGE = (r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])")
+# Fixed value: words that a landmark follows, and its length.
 LANDMARK = _EDGE[0] + r"(?i:near|opposite|opp\.?|behind|next to|adjacent to)" + SPACE + r"+((?i)[a-z0-9 ]{3,40})"
 PIN = _EDGE[0] + r"(\p{Nd}{6})" + _EDGE[1]
 ZIP = _EDGE[0] + r"(\p{Nd}{5})(?:-\p{Nd}{4})?" + _EDGE[1]

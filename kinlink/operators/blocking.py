@@ -8,20 +8,22 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 S1, CAND = "source1_entity_id", "candidate_entity_id"
 #: Bytes of pool vectors up to which each task holds them all; beyond, pool and queries meet by cell.
 BROADCAST_BYTES = 64 << 20
+#: Pool records of one token or code that meet its queries in one task.
+PART = 1000
+#: Bytes of the sample that the cells' centres are learned from, and similarities held at once.
+SAMPLE_BYTES, SIMILARITIES = 256 << 20, 1 << 23
 
 
-def _cap(pool: DataFrame, given: int | None, least: int, share: float) -> Column | DataFrame:
-    """A one-row table with the cap: as given, else a share of the pool's rows, but least at least."""
-    if given is not None:
-        return pool.sparkSession.range(1).select(F.lit(given).cast("long").alias("cap"))
-    return pool.agg(F.greatest(F.lit(least), F.floor(F.lit(share) * F.count("*"))).cast("long").alias("cap"))
+def _cap(pool: DataFrame, given: int | None, least: int, share: float) -> int:
+    """The cap: as given, else a share of the pool's rows (which are counted), but least at least. A literal lets Spark limit ranks before the shuffle."""
+    return given if given is not None else max(least, int(share * pool.count()))
 
 
 def _tokens(records: DataFrame, key: str, column: str) -> DataFrame:
@@ -35,44 +37,60 @@ def token_frequencies(pool: DataFrame, column: str = "name_core_tokens") -> Data
 
 def postings(pool: DataFrame, max_doc_freq: int | None = None, column: str = "name_core_tokens") -> DataFrame:
     """(token, ids): the index as lists, for inspection; blocking itself joins on the long form. No list is longer than the cap."""
-    kept = token_frequencies(pool, column).crossJoin(F.broadcast(_cap(pool, max_doc_freq, 50, 0.01))).filter("df <= cap").select("token")
+    kept = token_frequencies(pool, column).filter(F.col("df") <= _cap(pool, max_doc_freq, 50, 0.01)).select("token")
     return _tokens(pool, CAND, column).join(kept, "token").groupBy("token").agg(F.sort_array(F.collect_list(CAND)).alias("ids"))
 
 
 def frequent_tokens(pool: DataFrame, max_doc_freq: int | None = None, column: str = "name_core_tokens") -> DataFrame:
     """Tokens that blocking leaves out: df above the cap, by default 1 % of the pool and 50 at least."""
-    return token_frequencies(pool, column).crossJoin(F.broadcast(_cap(pool, max_doc_freq, 50, 0.01))).filter("df > cap").select("token", "df")
+    return token_frequencies(pool, column).filter(F.col("df") > _cap(pool, max_doc_freq, 50, 0.01))
 
 
 def token_candidates(source1: DataFrame, pool: DataFrame, max_doc_freq: int | None = None, min_shared: int = 1, limit: int = 200, column: str = "name_core_tokens") -> DataFrame:
     """(S1, CAND, n_shared): the `limit` candidates of each S1 record with the most shared tokens, ties by id.
 
-    Frequent tokens go before the join, so a token's list is no longer than the cap and no single one swamps a task.
+    Frequent tokens go before the join. The list of one that stays is dealt over parts of about PART pool records, each met by all
+    queries with the token, so that no task makes all of a token's pairs.
     """
-    kept = token_frequencies(pool, column).crossJoin(F.broadcast(_cap(pool, max_doc_freq, 50, 0.01))).filter("df <= cap").select("token")
-    index = _tokens(pool, CAND, column).join(kept, "token")
-    pairs = _tokens(source1, S1, column).join(index, "token").groupBy(S1, CAND).agg(F.count("*").cast("int").alias("n_shared"))
+    parts = F.ceil(F.col("df") / PART).cast("int")
+    kept = token_frequencies(pool, column).filter(F.col("df") <= _cap(pool, max_doc_freq, 50, 0.01)).select("token", parts.alias("parts"))
+    index = _tokens(pool, CAND, column).join(kept, "token").select("token", CAND, F.pmod(F.xxhash64(CAND), F.col("parts")).cast("int").alias("part"))
+    asked = _tokens(source1, S1, column).join(kept, "token").select("token", S1, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    pairs = asked.join(index, ["token", "part"]).groupBy(S1, CAND).agg(F.count("*").cast("int").alias("n_shared"))
     ranked = pairs.filter(F.col("n_shared") >= min_shared).withColumn("rank", F.row_number().over(W.partitionBy(S1).orderBy(F.desc("n_shared"), CAND)))
     return ranked.filter(F.col("rank") <= limit).drop("rank")
 
 
 def postal_index(pool: DataFrame, max_bucket: int | None = None) -> DataFrame:
     """(postal_code, CAND): the first records of each code in pool order, by default 2 % of the pool and 200 at least."""
+    return _ranked_codes(pool, max_bucket).select("postal_code", CAND)
+
+
+def _ranked_codes(pool: DataFrame, max_bucket: int | None) -> DataFrame:
     order = F.col("pos") if "pos" in pool.columns else F.col("entity_id")
     coded = pool.filter("postal_code != ''").select("postal_code", F.col("entity_id").alias(CAND), order.alias("pos"))
     ranked = coded.withColumn("rank", F.row_number().over(W.partitionBy("postal_code").orderBy("pos", CAND)))
-    return ranked.crossJoin(F.broadcast(_cap(pool, max_bucket, 200, 0.02))).filter("rank <= cap").select("postal_code", CAND)
+    return ranked.filter(F.col("rank") <= _cap(pool, max_bucket, 200, 0.02))
 
 
 def postal_candidates(source1: DataFrame, pool: DataFrame, max_bucket: int | None = None) -> DataFrame:
-    """(S1, CAND) with equal, non-empty postal codes; countries are not compared."""
-    return source1.filter("postal_code != ''").select(F.col("entity_id").alias(S1), "postal_code").join(postal_index(pool, max_bucket), "postal_code").select(S1, CAND)
+    """(S1, CAND) with equal, non-empty postal codes; countries are not compared.
+
+    A code's records are dealt over parts of PART, each met by all queries with the code.
+    """
+    index = _ranked_codes(pool, max_bucket).select("postal_code", CAND, F.floor((F.col("rank") - 1) / PART).cast("int").alias("part"))
+    parts = index.groupBy("postal_code").agg(F.max("part").alias("last"))
+    asked = source1.filter("postal_code != ''").select(F.col("entity_id").alias(S1), "postal_code").join(parts, "postal_code")
+    return asked.select("postal_code", S1, F.explode(F.sequence(F.lit(0), "last")).alias("part")).join(index, ["postal_code", "part"]).select(S1, CAND)
+
+
+def _unit(column: pa.Array | pa.ChunkedArray, kind: type = np.float32) -> np.ndarray:
+    """The rows of a list column, all of one length, scaled to length 1 (zeros stay)."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return _scaled(column.flatten().to_numpy(zero_copy_only=False).astype(kind).reshape(len(column), -1) if len(column) else np.zeros((0, 0), kind))
 
 
-def _unit(rows: list, kind: type = np.float32) -> np.ndarray:
-    m = np.array(rows, kind)
-    if m.ndim != 2:
-        return np.zeros((len(rows), 0), kind)
+def _scaled(m: np.ndarray) -> np.ndarray:
     norm = np.linalg.norm(m, axis=1, keepdims=True)
     return m / np.where(norm == 0, 1, norm)
 
@@ -106,13 +124,13 @@ def knn_candidates(source1: DataFrame, pool: DataFrame, k: int = 15, column: str
         return spark.createDataFrame([], schema)
     if exact if exact is not None else n * dim * 8 <= BROADCAST_BYTES:
         rows = vectors.orderBy(CAND).toArrow()
-        held = spark.sparkContext.broadcast((np.array(rows.column(CAND).to_pylist(), object), _unit(rows.column("v").to_pylist(), float)))
+        held = spark.sparkContext.broadcast((np.array(rows.column(CAND).to_pylist(), object), _unit(rows.column("v"), float)))
 
         def search(batches):
             ids, matrix = held.value
             for batch in batches:
                 own = batch.column(0).to_pylist()
-                out = [(own[i], c, float(s)) for i, cands, sims in _top(_unit(batch.column(1).to_pylist(), float), matrix, ids, k) for c, s in zip(cands, sims, strict=True)]
+                out = [(own[i], c, float(s)) for i, cands, sims in _top(_unit(batch.column(1), float), matrix, ids, k) for c, s in zip(cands, sims, strict=True)]
                 a, b, c = zip(*out, strict=True) if out else ((), (), ())
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(c, pa.float64())], [S1, CAND, "sim"])
 
@@ -123,9 +141,12 @@ def knn_candidates(source1: DataFrame, pool: DataFrame, k: int = 15, column: str
     def nearest(name: str, many: int):
         def run(batches):
             for batch in batches:
-                unit = _unit(batch.column(1).to_pylist())
-                sims = unit @ centres.value.T
-                best = np.argsort(-sims, axis=1, kind="stable")[:, :many]
+                unit = _unit(batch.column(1))
+                step, best = max(1, SIMILARITIES // len(centres.value)), [np.zeros((0, 1), np.int64)]
+                for a in range(0, len(unit), step):
+                    sims = unit[a : a + step] @ centres.value.T
+                    best.append(sims.argmax(1)[:, None] if many == 1 else np.argpartition(-sims, min(many, sims.shape[1]) - 1, axis=1)[:, :many])
+                best = np.concatenate(best[1:] or best)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(unit), pa.list_(pa.float32())), pa.array(list(best), pa.list_(pa.int32()))], [name, "u", "cells"])
 
         return run
@@ -141,7 +162,7 @@ def knn_candidates(source1: DataFrame, pool: DataFrame, k: int = 15, column: str
         if left.num_rows and right.num_rows:
             right = right.sort_by(CAND)
             own, ids = left.column(S1).to_pylist(), np.array(right.column(CAND).to_pylist(), object)
-            found = _top(np.array(left.column("u").to_pylist(), np.float32), np.array(right.column("u").to_pylist(), np.float32), ids, k)
+            found = _top(_unit(left.column("u")), _unit(right.column("u")), ids, k)
             out = [(own[i], c, float(s)) for i, cands, sims in found for c, s in zip(cands, sims, strict=True)]
         a, b, c = zip(*out, strict=True) if out else ((), (), ())
         return pa.table({S1: pa.array(a, pa.string()), CAND: pa.array(b, pa.string()), "sim": pa.array(c, pa.float64())})
@@ -151,17 +172,18 @@ def knn_candidates(source1: DataFrame, pool: DataFrame, k: int = 15, column: str
 
 
 def _centres(vectors: DataFrame, cells: int, n: int, rounds: int = 10) -> np.ndarray:
-    """Spherical k-means on a sample of at most 39 rows for each cell (100,000 at least), chosen by a hash of the id."""
-    most = max(39 * cells, 100_000)
+    """Spherical k-means on a sample, chosen by a hash of the id: 39 rows for each cell (100,000 at least), within SAMPLE_BYTES."""
+    dim = max(1, vectors.select(F.max(F.size("v"))).first()[0])
+    most = max(cells, min(max(39 * cells, 100_000), SAMPLE_BYTES // (4 * dim)))
     chosen = vectors.filter(F.pmod(F.xxhash64(CAND, F.lit(1)), F.lit(1_000_000)) < max(1, int(1e6 * min(1.0, most / n)))) if n > most else vectors
-    sample = _unit(chosen.orderBy(F.xxhash64(CAND)).select("v").toArrow().column("v").to_pylist())
-    centres = sample[:cells].copy()
+    sample = _unit(chosen.orderBy(F.xxhash64(CAND)).select(F.col("v").cast("array<float>")).toArrow().column("v"))
+    centres, step = sample[:cells].copy(), max(1, SIMILARITIES // cells)
     for _ in range(rounds):
-        own = np.concatenate([(sample[a : a + 8192] @ centres.T).argmax(1) for a in range(0, len(sample), 8192)])
+        own = np.concatenate([(sample[a : a + step] @ centres.T).argmax(1) for a in range(0, len(sample), step)])
         sums = np.zeros_like(centres)
         np.add.at(sums, own, sample)
         many = np.bincount(own, minlength=len(centres))
-        centres[many > 0] = _unit(sums[many > 0])
+        centres[many > 0] = _scaled(sums[many > 0])
     return centres
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .blocking import CAND, S1
 from .features import FEATURES
-from .split import group_folds
+from .split import group_folds, stratified_folds
 
 
 def labelled(pairs: DataFrame, truth: DataFrame) -> DataFrame:
@@ -47,7 +47,10 @@ def _weighted(rows: DataFrame) -> DataFrame:
 
 
 def train(features: DataFrame, rounds: int = 50, seed: int = 42) -> PipelineModel:
-    """A gradient-boosted classifier of rows with FEATURES and label."""
+    """A gradient-boosted classifier of rows with FEATURES and label; there must be rows of both labels."""
+    classes = sorted(r.label for r in features.select("label").distinct().collect())
+    if classes != [0, 1]:
+        raise ValueError(f"training needs pairs of both labels; there are pairs of {classes or 'none'}")
     return _estimator(rounds, seed).fit(_weighted(features))
 
 
@@ -56,13 +59,21 @@ def score(model: PipelineModel, features: DataFrame) -> DataFrame:
     return model.transform(features).withColumn("match_probability", vector_to_array("probability")[1]).drop("vector", "rawPrediction", "probability", "prediction")
 
 
-def out_of_fold(features: DataFrame, folds: int = 5, rounds: int = 50, seed: int = 42) -> DataFrame:
-    """features with fold and the match_probability of a model that saw none of the fold's entities."""
-    dealt = group_folds(features, folds)
-    parts = [score(train(dealt.filter(F.col("fold") != r.fold), rounds, seed), dealt.filter(F.col("fold") == r.fold)) for r in dealt.select("fold").distinct().orderBy("fold").collect()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+def out_of_fold(features: DataFrame, folds: int = 5, rounds: int = 50, seed: int = 42, groups: str | None = S1) -> DataFrame:
+    """features with fold and the match_probability of a model that saw none of the fold's groups (entities).
+
+    Without groups the folds are stratified by label. Where all other folds have one label, that is the probability; no rows give none.
+    """
+    dealt = group_folds(features, folds, groups) if groups else stratified_folds(features, [S1, CAND], "label", folds, seed)
+    counts = dealt.groupBy("fold", "label").count().collect()
+    out = dealt.withColumn("match_probability", F.lit(0.0)).limit(0)
+    for fold in sorted({r.fold for r in counts}):
+        own, rest = dealt.filter(F.col("fold") == fold), {r.label for r in counts if r.fold != fold}
+        if rest == {0, 1}:
+            part = score(train(dealt.filter(F.col("fold") != fold), rounds, seed), own)
+        else:
+            part = own.withColumn("match_probability", F.lit(float(min(rest, default=0))))
+        out = out.unionByName(part)
     return out
 
 

@@ -60,24 +60,21 @@ def summary(predictions: DataFrame, truth: DataFrame, ids: DataFrame) -> DataFra
 def threshold_sweep(scored: DataFrame, truth: DataFrame, ids: DataFrame, thresholds: tuple[float, ...] = THRESHOLDS, score: str = "match_probability", beta: float = 0.5) -> DataFrame:
     """(threshold, macro_f0_5) for every threshold in one pass.
 
-    Each pair counts for the thresholds up to its score, so a pair becomes one row for the highest of those, and a running sum
-    over the grid gives the counts at every threshold: the pairs are aggregated once, not once for each threshold.
+    Each pair is placed at the highest threshold it meets; an entity's counts at all thresholds are one row, and so are the means.
     """
-    from pyspark.sql import Window as W
-
     grid = F.array(*map(F.lit, thresholds))
     level = F.size(F.filter(grid, lambda t: F.col(score) >= t))
     entities = ids.select(F.col("entity_id").alias(S1)).distinct()
     hits = truth.select(S1, CAND).distinct().withColumn("hit", F.lit(1))
     placed = scored.groupBy(S1, CAND).agg(F.max(score).alias(score)).join(hits, [S1, CAND], "left").withColumn("level", level).filter("level > 0")
-    per_level = placed.groupBy(S1, "level").agg(F.count("*").alias("p"), F.count("hit").alias("tp"))
+    steps = range(1, len(thresholds) + 1)
+    at = lambda i: F.col("level") >= i
+    counts = placed.groupBy(S1).agg(*(F.count_if(at(i)).alias(f"p{i}") for i in steps), *(F.count_if(at(i) & F.col("hit").isNotNull()).alias(f"h{i}") for i in steps))
     totals = truth.select(S1, CAND).distinct().groupBy(S1).agg(F.count("*").alias("t"))
-    rows = entities.join(totals, S1, "left").select(S1, F.coalesce("t", F.lit(0)).alias("t"), F.explode(F.sequence(F.lit(1), F.lit(len(thresholds)))).alias("level"))
-    counted = rows.join(per_level, [S1, "level"], "left").na.fill(0, ["p", "tp"])
-    above = W.partitionBy(S1).orderBy(F.desc("level"))
-    at = counted.select("level", "t", F.sum("p").over(above).alias("p"), F.sum("tp").over(above).alias("tp"))
-    scores = at.withColumn("f", f_beta(F.col("tp"), F.col("p"), F.col("t"), beta)).groupBy("level").agg(F.avg("f").alias("macro_f0_5"))
-    return scores.select(F.element_at(grid, F.col("level")).alias("threshold"), "macro_f0_5")
+    rows = entities.join(totals, S1, "left").join(counts, S1, "left").na.fill(0)
+    means = rows.agg(*(F.avg(f_beta(F.col(f"h{i}"), F.col(f"p{i}"), F.col("t"), beta)).alias(f"f{i}") for i in steps))
+    each = F.explode(F.array(*(F.struct(F.lit(t).alias("threshold"), F.col(f"f{i}").alias("macro_f0_5")) for i, t in zip(steps, thresholds, strict=True))))
+    return means.select(each.alias("x")).select("x.*").filter("macro_f0_5 is not null")
 
 
 def best_threshold(sweep: DataFrame) -> DataFrame:

@@ -13,6 +13,8 @@ from ..operators import blocking, features, matcher, metrics, split, validate
 from ..sources import tables
 
 RECALL_GATE = 0.85
+#: Encoders by name; each makes a function from a text column to a vector column. The first needs no model file.
+ENCODERS = {"hashed-char-ngrams": hashed_encoder}
 
 
 def load_sources(spark: SparkSession, folder: str, name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -34,14 +36,15 @@ def _blocked(source1: DataFrame, pool: DataFrame, config: dict, encoder) -> Data
 
 
 def _config(**given) -> dict:
-    base = {"max_candidates_per_entity": 30, "max_token_doc_freq": None, "max_postal_bucket_size": None, "max_candidates_per_token_query": 200, "embedding_top_k": 15, "val_fraction": 0.2, "seed": 42, "rounds": 50}
+    base = {"max_candidates_per_entity": 30, "max_token_doc_freq": None, "max_postal_bucket_size": None, "max_candidates_per_token_query": 200, "embedding_top_k": 15, "val_fraction": 0.2, "seed": 42, "rounds": 50, "folds": 5, "embedding_model_name": next(iter(ENCODERS))}
     return base | given
 
 
 def train(spark: SparkSession, source1: DataFrame, source2: DataFrame, source3: DataFrame, truth: DataFrame, encoder=None, **given):
     """(model, idf, config) from records and truth pairs; config holds the tuned threshold and the measures.
 
-    encoder maps a text column to a vector column (array<float>); without one there is no neighbour search.
+    encoder maps a text column to a vector column (array<float>); without one there is no neighbour search. cv_metrics are the means over
+    folds of entities, each scored by a model of the others. Without candidates of both labels this raises.
     """
     config = _config(**given)
     queries, pool = normalized(source1, source2, source3)
@@ -55,12 +58,14 @@ def train(spark: SparkSession, source1: DataFrame, source2: DataFrame, source3:
     idf = {k: v.persist() for k, v in features.fit_vectorizers(learn, pool).items()}
     rows = matcher.labelled(features.pair_features(learn, pool, pairs, idf), truth).persist()
     model = matcher.train(rows, config["rounds"], config["seed"])
+    measures = matcher.fold_metrics(matcher.out_of_fold(rows, config["folds"], config["rounds"], config["seed"])).drop("fold")
     scored = matcher.score(model, features.pair_features(val, pool, _blocked(val, pool, config, encoder), idf)).persist()
     best = metrics.best_threshold(metrics.threshold_sweep(scored, truth, val)).first()
     own = truth.join(val.select(F.col("entity_id").alias(blocking.S1)), blocking.S1, "left_semi")
     config |= {
         "threshold": best.threshold,
         "use_embeddings": encoder is not None,
+        "cv_metrics": measures.agg(*(F.avg(c).alias(c) for c in measures.columns)).first().asDict(),
         "blocking_recall_train_split": recall,
         "validation_summary": metrics.summary(matcher.decide(scored, best.threshold), own, val).first().asDict(),
     }
@@ -86,9 +91,11 @@ def main(args: list[str] | None = None) -> int:
             p.add_argument("--artifacts-dir", default="artifacts")
         if name != "validate":
             p.add_argument("--no-embeddings", action="store_true")
+            p.add_argument("--embedding-model", choices=[*ENCODERS])
         if name == "train":
             p.add_argument("--val-fraction", type=float, default=0.2)
             p.add_argument("--rounds", type=int, default=50)
+            p.add_argument("--folds", type=int, default=5)
         if name != "validate":
             for flag in ("--max-candidates", "--max-token-doc-freq", "--max-postal-bucket-size", "--max-candidates-per-token-query"):
                 p.add_argument(flag, type=int)
@@ -105,19 +112,23 @@ def main(args: list[str] | None = None) -> int:
         checks = validate.report(tables.read_output(spark, a.matching), tables.read_output(spark, a.candidate), *own)
         checks.show(50, False)
         return 0 if validate.valid(checks) else 1
-    encoder = None if a.no_embeddings else hashed_encoder()
+    name = a.embedding_model or next(iter(ENCODERS))
     limits = {"max_candidates_per_entity": a.max_candidates, "max_token_doc_freq": a.max_token_doc_freq, "max_postal_bucket_size": a.max_postal_bucket_size, "max_candidates_per_token_query": a.max_candidates_per_token_query}
     limits = {k: v for k, v in limits.items() if v is not None}
     if a.command == "train":
         truth = tables.truth_pairs(tables.read_truth(spark, f"{a.data_dir}/train_ground_truth.tsv"))
-        model, idf, config = train(spark, *load_sources(spark, a.data_dir, "train"), truth, encoder, val_fraction=a.val_fraction, rounds=a.rounds, **limits)
+        model, idf, config = train(spark, *load_sources(spark, a.data_dir, "train"), truth, None if a.no_embeddings else ENCODERS[name](), val_fraction=a.val_fraction, rounds=a.rounds, folds=a.folds, embedding_model_name=name, **limits)
         matcher.save(a.artifacts_dir, model, idf, config)
         return 0
     model, idf, config = matcher.load(spark, a.artifacts_dir)
     sources = load_sources(spark, a.data_dir, "test")
-    pairs, matches = predict(spark, *sources, model, idf, config | limits, a.threshold, encoder if config["use_embeddings"] else None)
+    encoder = ENCODERS[a.embedding_model or config["embedding_model_name"]]() if config["use_embeddings"] and not a.no_embeddings else None
+    pairs, matches = predict(spark, *sources, model, idf, config | limits, a.threshold, encoder)
     tables.write_id_lists(sources[0], pairs, "candidate_entity_ids", f"{a.output_dir}/candidate_pairs.tsv")
     tables.write_id_lists(sources[0], matches, "matched_entity_ids", f"{a.output_dir}/matching_results.tsv")
+    written = (tables.read_output(spark, f"{a.output_dir}/{x}.tsv") for x in ("matching_results", "candidate_pairs"))
+    if outside := validate.subset_violations(*written).count():
+        print(f"warning: {outside} entities have matches that are no candidates")
     return 0
 
 

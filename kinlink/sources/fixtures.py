@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The legal suffixes that the fixture's names end in, by id.
 SUFFIXES = ("Pvt Ltd", "Ltd", "Corp", "Inc", "LLC", "Co")
 
 
@@ -39,8 +40,8 @@ def stress_records(spark: SparkSession, prefix: str, rows: int, common: float =
     often = F.pmod(F.xxhash64("id"), F.lit(1000)) < int(common * 1000)
     return spark.range(rows).select(
         F.concat(F.lit(prefix + "-"), F.lpad(i, 7, "0")).alias("entity_id"),
-        F.concat(F.lit("uniquebiz"), i, F.when(often, " trading company").otherwise(" enterprises")).alias("business_name"),
-        F.concat(i, F.lit(" Main Road, City"), (F.col("id") % 50).cast("string"), F.lit(", "), (600000 + F.col("id") % 900).cast("string")).alias("business_address"),
+        F.concat(F.lit("maker"), i, F.when(often, " harbour works").otherwise(" studio")).alias("business_name"),
+        F.concat(F.lit("Quay "), i, F.lit(", Port "), (F.col("id") % 64).cast("string"), F.lit(" "), (700000 + F.col("id") % 1024).cast("string")).alias("business_address"),
         F.lit("India").alias("country"),
     )
 
@@ -69,8 +70,8 @@ def made_records(spark: SparkSession, rows: int, seed: int = 0, matched: float =
     """
     pick = lambda tag, n: F.pmod(F.xxhash64(F.col("id"), F.lit(tag), F.lit(seed)), F.lit(n)).cast("int")
     word = lambda tag, *values: F.element_at(F.array(*map(F.lit, values)), pick(tag, len(values)) + 1)
-    first = word("first", "Silver", "Golden", "Northern", "Coastal", "Royal", "Prime", "Metro", "United", "Delta", "Apex")
-    second = word("second", "Textiles", "Traders", "Foods", "Hardware", "Logistics", "Exports", "Motors", "Farms", "Shipping", "Widgets")
+    first = word("first", "Amber", "Birch", "Cobalt", "Dune", "Ember", "Fjord", "Granite", "Heron")
+    second = word("second", "Bakery", "Cartography", "Dyeworks", "Glassworks", "Joinery", "Nursery", "Pottery", "Tannery")
     india = pick("country", 2) == 0
     number = (pick("number", 99) + 1).cast("string")
     base = spark.range(rows).select(
@@ -79,12 +80,12 @@ def made_records(spark: SparkSession, rows: int, seed: int = 0, matched: float =
     )
     country = F.when(F.col("india"), "India").otherwise("US").alias("country")
     key = lambda prefix: F.concat(F.lit(prefix), F.lpad(F.col("id").cast("string"), 7, "0")).alias("entity_id")
-    road = lambda long: F.concat_ws(" ", "number", F.when(F.col("india"), "Gandhi Road," if long else "Gandhi Rd").otherwise("Main St," if long else "Main Street"), "code").alias("business_address")
+    road = lambda long: F.concat_ws(" ", "number", F.when(F.col("india"), "Lantern Road," if long else "Lantern Rd").otherwise("Orchard St," if long else "Orchard Street"), "code").alias("business_address")
     s1 = base.select(key("S1-"), F.concat_ws(" ", "name", "suffix").alias("business_name"), road(True), country)
     has = F.col("m") < int(matched * 1000)
     other = F.regexp_replace(F.regexp_replace(F.concat_ws(" ", "name", "suffix"), "Pvt Ltd$", "Private Limited"), "Ltd$", "Limited").alias("business_name")
     in2, in3 = has & ((F.col("side") == 0) | (F.col("two") == 0)), has & ((F.col("side") == 1) | (F.col("two") == 0))
-    extra = lambda prefix: spark.range(noise).select(F.concat(F.lit(prefix), F.col("id").cast("string")).alias("entity_id"), F.concat(F.lit("Noise House "), F.col("id").cast("string")).alias("business_name"), F.lit("1 Other Ave").alias("business_address"), F.lit("US").alias("country"))
+    extra = lambda prefix: spark.range(noise).select(F.concat(F.lit(prefix), F.col("id").cast("string")).alias("entity_id"), F.concat(F.lit("Stray Workshop "), F.col("id").cast("string")).alias("business_name"), F.lit("77 Nowhere Lane").alias("business_address"), F.lit("US").alias("country"))
     side = lambda prefix, where: base.filter(where).select(key(prefix), other, road(False), country).unionByName(extra(f"{prefix}N"))
     pairs = lambda prefix, where: base.filter(where).select(key("S1-").alias("source1_entity_id"), key(prefix).alias("candidate_entity_id"))
     return s1, side("S2-", in2), side("S3-", in3), pairs("S2-", in2).unionByName(pairs("S3-", in3))
