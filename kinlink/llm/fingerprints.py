@@ -1,7 +1,7 @@
 """Document fingerprints: a Merkle tree over paragraphs and sections.
 
 A paragraph is a line with its line break, so together the paragraphs are the whole text. A paragraph of over LONGEST code points
-is cut further, behind each word whose hash says so (one in WORDS); the parts are its leaves, a shorter paragraph is one. A
+is cut further, behind each word whose last three letters' hash says so (one in WORDS); the parts are its leaves, a shorter paragraph is one. A
 section ends at a leaf whose hash says so (one in LEAVES) or that holds an empty line. No rule looks at a place in the text, so edges
 follow the content: an edit changes the leaves of the paragraphs it touches, their sections and the root, and nothing else. The digest of
 a section is that of its leaves' digests, the root that of the sections'. Equal roots mean equal texts (128 bits).
@@ -14,42 +14,40 @@ count whole, unequal sections are compared leaf by leaf.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections import Counter
-from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import mix
+
 LONGEST, WORDS, LEAVES = 32, 5, 8
 #: Row groups in order of id, each streamed by one task.
 BUCKETS, BUCKET_ROWS = 65536, 5000
-_PARAGRAPH = re.compile(r"[^\n]*\n+|[^\n]+")
-_WORD = re.compile(r"\S+\s*|\s+")
-
-
-@lru_cache(maxsize=1 << 17)
-def _ends(word: str) -> bool:
-    return xxhash.xxh32_intdigest(word.encode()) % WORDS == 0
 
 
 def leaves(text: str) -> list[str]:
-    out: list[str] = []
-    for paragraph in _PARAGRAPH.findall(text):
-        if len(paragraph) <= LONGEST:
-            out.append(paragraph)
-            continue
-        held: list[str] = []
-        for word in _WORD.findall(paragraph):
-            held.append(word)
-            if len(word) < 64 and _ends(word):
-                out.append("".join(held))
-                held.clear()
-        if held:
-            out.append("".join(held))
-    return out
+    if len(text) <= LONGEST and "\n" not in text:
+        return [text] if text else []
+    c = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    line = np.flatnonzero((c[:-1] == 10) & (c[1:] != 10)) + 1  # paragraphs but the first
+    space = (c == 32) | (c - 9 < 5)
+    first = np.flatnonzero(~space & np.concatenate(([True], space[:-1])))
+    last = np.flatnonzero(~space & np.concatenate((space[1:], [True])))
+    # a cut lies before a word that follows a chosen one in its paragraph, and this must be long
+    own = np.searchsorted(line, first, "right")
+    edges = np.concatenate(([0], line, [len(c)]))
+    fits = np.flatnonzero((own[:-1] == own[1:]) & (np.diff(edges)[own[:-1]] > LONGEST))
+    end, size = last[fits], last[fits] - first[fits]
+    key = c[end].astype(np.uint64)
+    for back in (1, 2):
+        key |= np.where(size >= back, c[np.maximum(end - back, 0)], 0).astype(np.uint64) << np.uint64(21 * back)
+    cuts = first[fits[mix(key) % np.uint64(WORDS) == 0] + 1]
+    edges = np.unique(np.concatenate((edges, cuts))).tolist()
+    return [text[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
 
 def fingerprint(text: str | None) -> str:
@@ -75,40 +73,43 @@ def fingerprint(text: str | None) -> str:
     return f"{xxhash.xxh3_128_hexdigest(b''.join(digests))}|{';'.join(sections)}"
 
 
-def _unlike(a: str, b: str) -> tuple[Counter, Counter, list[str], list[str]]:
-    x, y = a.split("|", 1)[1].split(";"), b.split("|", 1)[1].split(";")
-    p, q = Counter(x), Counter(y)
-    return p - q, q - p, x, y
+def _sections(tree: str) -> list[str]:
+    return tree[33:].split(";")
 
 
 def _size(section: str) -> int:
-    return sum(int(leaf.rpartition(".")[2]) for leaf in section.partition("=")[2].split(",") if leaf)
+    return sum(int(leaf[9:]) for leaf in _leaves_of(section))
+
+
+def _leaves_of(section: str) -> list[str]:
+    """Names of a section's leaves: eight digits, a point, the length."""
+    return section[17:].split(",") if len(section) > 17 else []
 
 
 def likeness(a: str, b: str) -> float:
     """The share of the longer text that lies in leaves both have, from 0 to 1; 1 for equal roots."""
     if a[:32] == b[:32]:
         return 1.0
-    only_a, only_b, x, y = _unlike(a, b)
-    size = max(sum(map(_size, x)), sum(map(_size, y)))
-    same = sum(map(_size, x)) - sum(_size(s) * n for s, n in only_a.items())
-    rest_a = Counter(leaf for s, n in only_a.items() for leaf in s.partition("=")[2].split(",") * n if leaf)
-    rest_b = Counter(leaf for s, n in only_b.items() for leaf in s.partition("=")[2].split(",") * n if leaf)
-    same += sum(int(leaf.rpartition(".")[2]) * n for leaf, n in (rest_a & rest_b).items())
+    p, q = Counter(_sections(a)), Counter(_sections(b))
+    same = sum(_size(s) * n for s, n in (p & q).items())
+    rest_a, rest_b = (Counter(leaf for s, n in only.items() for leaf in _leaves_of(s) * n) for only in (p - q, q - p))
+    size = same + max(sum(int(leaf[9:]) * n for leaf, n in rest.items()) for rest in (rest_a, rest_b))
+    same += sum(int(leaf[9:]) * min(n, rest_b[leaf]) for leaf, n in rest_a.items() if leaf in rest_b)
     return min(1.0, same / size) if size else 1.0
 
 
 def edits(a: str, b: str) -> list[tuple[int, int]]:
     """(start, end) of the parts of text a, in code points, whose leaves text b lacks."""
-    only_a, only_b, x, _ = _unlike(a, b)
-    spare = Counter(leaf for s, n in only_b.items() for leaf in s.partition("=")[2].split(",") * n if leaf)
+    x, y = _sections(a), _sections(b)
+    only_a, only_b = Counter(x) - Counter(y), Counter(y) - Counter(x)
+    spare = Counter(leaf for s, n in only_b.items() for leaf in _leaves_of(s) * n)
     at, out = 0, []
     for section in x:
         differs = only_a[section] > 0
         only_a[section] -= differs
-        for leaf in section.partition("=")[2].split(","):
-            n = int(leaf.rpartition(".")[2]) if leaf else 0
-            if differs and leaf:
+        for leaf in _leaves_of(section):
+            n = int(leaf[9:])
+            if differs:
                 if spare[leaf] > 0:
                     spare[leaf] -= 1
                 elif out and out[-1][1] == at:

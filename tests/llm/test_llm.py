@@ -925,15 +925,20 @@ def brute_tree(text):
     """The tree by its description: lines, cut behind chosen words where longer than LONGEST; sections behind chosen leaves and empty lines."""
     import xxhash
 
-    lines = re.findall(r"[^\n]*\n+|[^\n]+", text)
+    def chosen(word):
+        x = sum(ord(c) << 21 * i for i, c in enumerate(word[:-4:-1]))
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            x = (x ^ x >> shift) * factor % 2**64
+        return (x ^ x >> 31) % fingerprints.WORDS == 0
+
     out, sections = [], [[]]
-    for line in lines:
-        own = [""]
-        for word in [line] if len(line) <= fingerprints.LONGEST else re.findall(r"\S+\s*|\s+", line):
-            own[-1] += word
-            if len(line) > fingerprints.LONGEST and len(word) < 64 and xxhash.xxh32_intdigest(word.encode()) % fingerprints.WORDS == 0:
-                own.append("")
-        out += [x for x in own if x]
+    for line in re.findall(r"[^\n]*\n+|[^\n]+", text):
+        at, found = 0, list(WORD.finditer(line))
+        for m, after in zip(found, found[1:]):
+            if len(line) > fingerprints.LONGEST and chosen(m[0]):
+                out.append(line[at : after.start()])
+                at = after.start()
+        out.append(line[at:])
     digest = lambda x: xxhash.xxh3_128_digest(x if isinstance(x, bytes) else x.encode())
     for leaf in out:
         sections[-1].append(leaf)
