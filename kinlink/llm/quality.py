@@ -96,17 +96,17 @@ def references(docs: DataFrame) -> DataFrame:
     lengths = own.groupBy("lang").agg(F.sum(F.length("_t")).alias("n"))
     word = own.select("lang", F.explode(F.split("_t", r"[\x20\x09-\x0D]+")).alias("word")).filter("word != ''")
     counts = word.groupBy("lang", "word").agg(F.count("*").alias("k"))
-    each = _classed(counts.withColumn("text", F.col("word"))).withColumn("low", F.lower("word"))
+    each = _classed(counts.withColumn("text", F.col("word")))
     classes = (F.sum(F.col("k") * F.col(f"_{c}")).alias(f"c{i}") for i, c in enumerate(CLASSES))
-    lower = each.groupBy("lang", "low").agg(F.sum("k").alias("n"), *classes, F.sum(F.col("k") * F.col("_n")).alias("chars"))
-    in_words = lower.groupBy("lang").agg(F.sum("n").alias("total"), F.sum("chars").alias("chars"), *(F.sum(f"c{i}").alias(f"c{i}") for i in range(len(CLASSES))))
+    in_words = each.groupBy("lang").agg(F.sum("k").alias("total"), F.sum(F.col("k") * F.col("_n")).alias("chars"), *classes)
+    lower = counts.groupBy("lang", F.lower("word").alias("word")).agg(F.sum("k").alias("n"))
     sums = lengths.join(in_words.withColumnRenamed("lang", "_l"), F.col("lang").eqNullSafe(F.col("_l")), "left").drop("_l").na.fill(0, ["total", "chars", *(f"c{i}" for i in range(len(CLASSES)))])
     sums = sums.withColumn(f"c{CLASSES.index('space')}", F.col("n") - F.col("chars"))
     known = [F.col(f"c{i}") for i in range(len(CLASSES))]
     size = F.greatest(F.col("n"), F.lit(1))
     classes = sums.select("lang", "total", F.array(*((x / size).cast("double") for x in known), (F.greatest(F.lit(0), F.col("n") - sum(known[1:], known[0])) / size).cast("double")).alias("class_ref"))
     slot = F.pmod(F.xxhash64("word"), F.lit(SLOTS)).cast("int")
-    top = lower.select("lang", F.col("low").alias("word"), "n").withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "word"))).filter(F.col("rank") <= COMMON)
+    top = lower.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "word"))).filter(F.col("rank") <= COMMON)
     listed = top.withColumn("slot", slot).groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "slot", "word", "n"))).alias("top"))
     out = classes.join(listed.withColumnRenamed("lang", "_l"), F.col("lang").eqNullSafe(F.col("_l")), "left").select("lang", "class_ref", "top", "total")
     held = "transform(top, x -> x.slot)"
