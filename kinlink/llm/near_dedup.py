@@ -45,6 +45,8 @@ BLOCK = 500_000
 HUBS = 32
 #: Sketches that one task compares with each other.
 SUBLIST = 8192
+#: Parts of an inverted list; they change no result.
+SALTS = 256
 #: Bits of the set of wanted ids, at most (32 MB); a fuller set only lets more texts through.
 MOST_BITS = 1 << 28
 _FULL = np.uint64(2**64 - 1)
@@ -312,8 +314,12 @@ def clusters(sets: DataFrame, percent: int) -> DataFrame:
     per = W.partitionBy("rep")
     prefix = index.join(often, "v").select("rep", "v", "n", F.row_number().over(per.orderBy("df", "v")).alias("rank"), F.count("*").over(per).alias("many")).filter(F.col("rank") <= F.col("many") - need + 1)
     prefix = cut(prefix.select("rep", "v", "n"))
-    head = prefix.groupBy("v").agg(F.min(F.struct("rep", "n")).alias("head"), F.count("*").alias("many")).filter("many > 1")
-    lists = prefix.join(head, "v").filter("rep != head.rep")
+    # a list is met in SALTS parts, each with its own copy of the list's head, so that no task holds all of a long list
+    salt = F.pmod(F.xxhash64("rep", F.lit(3)), F.lit(SALTS)).cast("int")
+    prefix = prefix.withColumn("salt", salt)
+    part = prefix.groupBy("v", "salt").agg(F.min(F.struct("rep", "n")).alias("head"), F.count("*").alias("many"))
+    head = part.groupBy("v").agg(F.min("head").alias("head"), F.sum("many").alias("many")).filter("many > 1")
+    lists = prefix.join(part.select("v", "salt").join(head, "v"), ["v", "salt"]).drop("salt").filter("rep != head.rep")
     linked = cut(_alike(lists.select(F.col("head.rep").alias("a"), F.col("rep").alias("b"), F.col("head.n").alias("na"), F.col("n").alias("nb")), sets, percent))
     label = components(linked)
     labelled = lambda label: lists.filter("many > 2").select("v", "rep", "n").join(label.select(F.col("node").alias("rep"), "label"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
