@@ -45,8 +45,8 @@ BLOCK = 500_000
 HUBS = 32
 #: Sketches that one task compares with each other.
 SUBLIST = 8192
-#: Parts of an inverted list; they change no result.
-SALTS = 256
+#: Parts in which inverted lists meet their heads, and documents in a part where they meet their majority; they change no result.
+SALTS, PART = 256, 1000
 #: Bits of the set of wanted ids, at most (32 MB); a fuller set only lets more texts through.
 MOST_BITS = 1 << 28
 _FULL = np.uint64(2**64 - 1)
@@ -276,22 +276,26 @@ def _alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _majority(rest: DataFrame) -> DataFrame:
-    """(v, many, few, top, pick) for lists (v, rep, n, label) of several labels: documents, those outside the commonest label, that label, one of its documents."""
+    """rest (v, rep, n, label, parts), lists that hold documents of several labels, with what is known of each list.
+
+    many, few, top, pick, least: its documents, those outside the commonest label, that label, one of its documents, the list's smallest document.
+    """
     # a document of many lists meets another pick in each
-    by = rest.groupBy("v", "label").agg(F.count("*").alias("c"), F.min(F.struct(F.xxhash64("v", "rep"), "rep", "n")).alias("pick"))
-    top = by.groupBy("v").agg(F.sum("c").alias("many"), F.count("*").alias("labels"), F.max(F.struct("c", "label", "pick")).alias("top")).filter("labels > 1")
-    return top.select("v", "many", (F.col("many") - F.col("top.c")).alias("few"), F.col("top.label").alias("top"), F.col("top.pick").alias("pick"))
+    by = rest.groupBy("v", "label").agg(F.count("*").alias("c"), F.min("rep").alias("least"), F.max("parts").alias("parts"), F.min(F.struct(F.xxhash64("v", "rep"), "rep", "n")).alias("pick"))
+    top = by.groupBy("v").agg(F.sum("c").alias("many"), F.count("*").alias("labels"), F.min("least").alias("least"), F.max("parts").alias("parts"), F.max(F.struct("c", "label", "pick")).alias("top")).filter("labels > 1")
+    known = top.select("v", "many", "least", (F.col("many") - F.col("top.c")).alias("few"), F.col("top.label").alias("top"), F.col("top.pick").alias("pick"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    dealt = rest.withColumn("part", F.expr("cast(pmod(xxhash64(rep, 4), parts) as int)"))
+    return dealt.join(known, ["v", "part"]).drop("part", "parts")
 
 
-def _sublists(rest: DataFrame, mixed: DataFrame) -> DataFrame:
-    """(task, part, rep, n, label) from lists (v, rep, n, label) and their _majority().
+def _sublists(mixed: DataFrame) -> DataFrame:
+    """(task, part, rep, n, label) from the lists of _majority().
 
     Lists that hang together and have up to SUBLIST documents in all are one task, each document in it once. Other lists are tasks of their
     own; of a list longer than SUBLIST, every sub-list meets each part of what is outside the commonest label, and nothing else.
     """
-    rows = cut(rest.join(mixed.drop("pick"), "v"))
-    first = rows.groupBy("v").agg(F.min("rep").alias("a"))
-    chain = components(rows.join(first, "v").select("a", F.col("rep").alias("b")))
+    rows = cut(mixed.drop("pick"))
+    chain = components(rows.select(F.col("least").alias("a"), F.col("rep").alias("b")))
     held = rows.join(chain.withColumnRenamed("node", "rep").withColumnRenamed("label", "chain"), "rep", "left").withColumn("chain", F.coalesce("chain", "rep"))
     docs = held.select("chain", "rep", "n", "label").distinct()
     sizes = docs.groupBy("chain").agg(F.count("*").alias("size"))
@@ -322,14 +326,14 @@ def clusters(sets: DataFrame, percent: int) -> DataFrame:
     lists = prefix.join(part.select("v", "salt").join(head, "v"), ["v", "salt"]).drop("salt").filter("rep != head.rep")
     linked = cut(_alike(lists.select(F.col("head.rep").alias("a"), F.col("rep").alias("b"), F.col("head.n").alias("na"), F.col("n").alias("nb")), sets, percent))
     label = components(linked)
-    labelled = lambda label: lists.filter("many > 2").select("v", "rep", "n").join(label.select(F.col("node").alias("rep"), "label"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    labelled = lambda label: lists.filter("many > 2").select("v", "rep", "n", F.ceil(F.col("many") / PART).cast("int").alias("parts")).join(label.select(F.col("node").alias("rep"), "label"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     # what the smallest document of its lists didn't join is tried against one of the commonest label in each
     rest = labelled(label)
-    tried = rest.join(_majority(rest), "v").filter("label != top").select(F.col("pick.rep").alias("a"), F.col("rep").alias("b"), F.col("pick.n").alias("na"), F.col("n").alias("nb"))
+    tried = _majority(rest).filter("label != top").select(F.col("pick.rep").alias("a"), F.col("rep").alias("b"), F.col("pick.n").alias("na"), F.col("n").alias("nb"))
     linked = linked.unionByName(cut(_alike(tried, sets, percent)))
     label = components(linked)
     rest = labelled(label)
-    inside = _sublists(rest, _majority(rest)).join(sets.select("rep", "vals"), "rep")
+    inside = _sublists(_majority(rest)).join(sets.select("rep", "vals"), "rep")
     more = cut(inside.groupBy("task", "part").applyInArrow(_sketch_links(percent), LINK))
     joined = label if more.isEmpty() else components(linked.unionByName(more))
     joined = joined.unionByName(joined.select(F.col("label").alias("node"), "label").distinct())
