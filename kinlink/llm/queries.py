@@ -81,6 +81,12 @@ def op10_fingerprint(spark, sf_dir):
     return edited_pairs(table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark, sf_dir):
+    from .collocations import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def queries():
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
@@ -153,5 +159,20 @@ f AS (SELECT base.*, n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > 50 * n_wo
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND class_distance <= {q.MAX_CLASSES} + {q.SLACK} / sqrt(greatest(1, n_words)) AND word_distance <= {q.MAX_WORDS} + {q.SLACK} / sqrt(greatest(1, n_words)) AS kept, round(class_distance, 6) AS class_distance, round(word_distance, 6) AS word_distance FROM f"""
 
 
+_OP13 = r"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, list_filter(string_split_regex(unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[\x20\x09]+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM (SELECT lang, w, unnest([1, 2, 3]) AS m FROM p) WHERE len(w) >= m),
+f AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS f FROM g GROUP BY 1, 2, 3),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY 1),
+c AS (SELECT lang, m, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE m > 1 AND f >= 10),
+k AS (SELECT *, unnest(range(1, m)) AS k FROM c),
+s AS (SELECT k.lang, k.m, k.phrase, k.w, k.a, k.k, x.f AS l, y.f AS r, ((1000000::HUGEINT * k.a * k.a) // (x.f::HUGEINT * y.f))::BIGINT AS score FROM k
+  JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(k.w[1:k.k], ' ') JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(k.w[k.k + 1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+e AS (SELECT lang, unnest([array_to_string(w[1:m - 1], ' '), array_to_string(w[2:m], ' ')]) AS phrase, a FROM c WHERE m = 3),
+o AS (SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.lang = b.lang AND e.phrase = b.phrase AND 100 * e.a >= 50 * b.a)),
+t AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o)
+SELECT lang, rank, phrase, a, l, r, n, score FROM t JOIN n USING (lang) WHERE rank <= 2000"""
+
+
 def oracle_sql():
-    return {"op1_secret_scan": _OP1, "op7_near_dedup": _OP7, "op9_quality": _op9()}
+    return {"op1_secret_scan": _OP1, "op7_near_dedup": _OP7, "op9_quality": _op9(), "op13_collocations": _OP13}
