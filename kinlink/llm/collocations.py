@@ -22,15 +22,13 @@ BLOCK = 1000
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def ngrams(words: Column, first: Column, max_n: int) -> Column:
-    """All n-grams of 1 to max_n words, space-joined, that start at one of the first `first` words of an array."""
-
-    def of(n: int) -> Column:
-        starts = F.least(first, F.size(words) - (n - 1))
-        at = lambda i: F.concat_ws(" ", *(F.get(words, i + j) for j in range(n)))
-        return F.when(starts > 0, F.transform(F.sequence(F.lit(0), starts - 1), at)).otherwise(F.array().cast("array<string>"))
-
-    return F.concat(F.when(F.size(words) > first, F.slice(words, F.lit(1), first)).otherwise(words), *(of(n) for n in range(2, max_n + 1)))
+def ngrams(rows: DataFrame, max_n: int) -> DataFrame:
+    """(lang, phrase): the n-grams of 1 to max_n words, space-joined, that start at one of the first BLOCK words of each row's array w."""
+    starts = F.sequence(F.lit(0), F.least(F.size("w"), F.lit(BLOCK)) - 1)
+    word = lambda j: F.get("w", F.col("i") + j)
+    joined = lambda n: F.concat(word(0), *(x for j in range(1, n) for x in (F.lit(" "), word(j))))  # noqa: E731  # null beyond the end
+    at = rows.select("lang", "w", F.explode(starts).alias("i"))
+    return at.select("lang", F.explode(F.array(*(joined(n) for n in range(1, max_n + 1)))).alias("phrase")).filter("phrase is not null")
 
 
 def phrase_counts(docs: DataFrame, max_n: int, least: int) -> DataFrame:
@@ -41,7 +39,7 @@ def phrase_counts(docs: DataFrame, max_n: int, least: int) -> DataFrame:
     blocks = F.when(F.size("words") <= BLOCK, F.array("words")).otherwise(F.transform(F.sequence(F.lit(0), F.size("words") - 1, F.lit(BLOCK)), lambda s: F.slice("words", s + 1, F.lit(BLOCK + max_n - 1))))
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), piece.alias("piece")).filter("piece != ''").select("lang", words.alias("words"))
     rows = rows.filter(F.size("words") > 0).select("lang", F.explode(blocks).alias("w"))
-    counted = rows.select("lang", F.explode(ngrams(F.col("w"), F.lit(BLOCK), max_n)).alias("phrase")).groupBy("lang", "phrase").agg(F.count("*").alias("f"))
+    counted = ngrams(rows, max_n).groupBy("lang", "phrase").agg(F.count("*").alias("f"))
     single = F.when(~F.col("phrase").contains(" "), F.col("f"))
     # what is rare falls together into one row for each language and task, which only brings its words' total
     often = counted.groupBy("lang", F.when(F.col("f") >= least, F.col("phrase")).alias("phrase")).agg(F.sum("f").alias("f"), F.sum(single).alias("words"))
