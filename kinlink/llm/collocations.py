@@ -5,8 +5,7 @@ that occur often enough meet the counts of their two parts at each cut by joins,
 phrase that mostly occurs inside a longer one goes by an anti-join with the one-word extensions, and a window ranks the rest.
 
 A null text has no words, a null language is `und`. Repeated rows count as often as they occur; an empty table, or one without frequent
-phrases, gives no rows; other columns are ignored. Pieces of any length are cut into overlapping blocks of BLOCK words, so no row holds the
-n-grams of a whole text.
+phrases, gives no rows; other columns are ignored. N-grams leave their piece one by one, so no row holds those of a long one.
 """
 
 from __future__ import annotations
@@ -17,32 +16,29 @@ from pyspark.sql import Window as W
 
 from .common import cut
 
-#: Words whose n-grams are made in one row.
-BLOCK = 1000
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def ngrams(rows: DataFrame, max_n: int) -> DataFrame:
-    """(lang, phrase): the n-grams of 1 to max_n words, space-joined, that start at one of the first BLOCK words of each row's array w."""
-    starts = F.sequence(F.lit(0), F.least(F.size("w"), F.lit(BLOCK)) - 1)
+def ngrams(docs: DataFrame, max_n: int) -> DataFrame:
+    """(key): a row for each n-gram of 1 to max_n words of docs (lang, text), its space-joined words, a tab (no word has one) and the language."""
+    lower = F.translate(F.coalesce("text", F.lit("")), _UPPER, _UPPER.lower())
+    pieces = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.explode(F.split(lower, r"[.,;:!?\x0A-\x0D]+")).alias("piece"))
+    bare = pieces.select("lang", F.btrim("piece", F.lit(" \t")).alias("piece")).filter("piece != ''")
+    words = bare.select("lang", F.split("piece", r"[\x20\x09]+").alias("w"))
+    at = words.select("lang", "w", F.explode(F.sequence(F.lit(0), F.size("w") - 1)).alias("i"))
     word = lambda j: F.get("w", F.col("i") + j)
-    joined = lambda n: F.concat(word(0), *(x for j in range(1, n) for x in (F.lit(" "), word(j))))  # noqa: E731  # null beyond the end
-    at = rows.select("lang", "w", F.explode(starts).alias("i"))
-    return at.select("lang", F.explode(F.array(*(joined(n) for n in range(1, max_n + 1)))).alias("phrase")).filter("phrase is not null")
+    joined = lambda n: F.concat(word(0), *(x for j in range(1, n) for x in (F.lit(" "), word(j))), F.lit("\t"), "lang")  # noqa: E731  # null beyond the end
+    return at.select(F.explode(F.array(*(joined(n) for n in range(1, max_n + 1)))).alias("key")).filter("key is not null")
 
 
 def phrase_counts(docs: DataFrame, max_n: int, least: int) -> DataFrame:
-    """(lang, phrase, f, n): phrases of up to max_n words with at least `least` occurrences; n, the language's words, stands at the null phrase of each language."""
-    lower = F.translate(F.coalesce("text", F.lit("")), _UPPER, _UPPER.lower())
-    piece = F.explode(F.split(lower, r"[.,;:!?\x0A-\x0D]+"))
-    words = F.filter(F.split("piece", r"[\x20\x09]+"), lambda w: w != "")
-    blocks = F.when(F.size("words") <= BLOCK, F.array("words")).otherwise(F.transform(F.sequence(F.lit(0), F.size("words") - 1, F.lit(BLOCK)), lambda s: F.slice("words", s + 1, F.lit(BLOCK + max_n - 1))))
-    rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), piece.alias("piece")).filter("piece != ''").select("lang", words.alias("words"))
-    rows = rows.filter(F.size("words") > 0).select("lang", F.explode(blocks).alias("w"))
-    counted = ngrams(rows, max_n).groupBy("lang", "phrase").agg(F.count("*").alias("f"))
+    """(lang, phrase, f, words): phrases of up to max_n words with at least `least` occurrences, and the words among all occurrences; a null phrase of each language holds its rare words."""
+    counted = ngrams(docs, max_n).groupBy("key").agg(F.count("*").alias("f"))
+    space, tab = F.instr("key", " "), F.instr("key", "\t")
+    seen = counted.filter((F.col("f") >= least) | (space == 0) | (space > tab))  # a rare word still counts for n
+    split = seen.select(F.expr("substring(key, instr(key, '\t') + 1)").alias("lang"), F.substring_index("key", "\t", 1).alias("phrase"), "f")
     single = F.when(~F.col("phrase").contains(" "), F.col("f"))
-    # what is rare falls together into one row for each language and task, which only brings its words' total
-    often = counted.groupBy("lang", F.when(F.col("f") >= least, F.col("phrase")).alias("phrase")).agg(F.sum("f").alias("f"), F.sum(single).alias("words"))
+    often = split.groupBy("lang", F.when(F.col("f") >= least, F.col("phrase")).alias("phrase")).agg(F.sum("f").alias("f"), F.sum(single).alias("words"))
     return cut(often)
 
 
