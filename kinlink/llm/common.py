@@ -8,8 +8,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 #: The white space of every word rule here: 0x20 and 0x09-0x0D; a word is a maximal run of anything else.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -59,6 +62,35 @@ def back(columns: list[str], without: tuple[str, ...] = ()) -> list[F.Column]:
     return [F.col(f"_in{i}").alias(c) for i, c in enumerate(columns) if c.lower() not in without]
 
 
+def numbered(rows: DataFrame, key: str, *then: F.Column) -> DataFrame:
+    """rows with `at`, each row's place (from 1) among those of equal key (a long column without nulls) in the order of `then`.
+
+    One global sort; a key may span partitions. Each partition continues at most one key of the one before, so what is added to its places is a table
+    of no more rows than partitions.
+    """
+    schema = T.StructType([*rows.schema.fields, T.StructField("_part", T.IntegerType()), T.StructField("_own", T.LongType())])
+    number = rows.columns.index(key)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, last, seen = TaskContext.get().partitionId(), None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = batch.column(number).to_numpy(zero_copy_only=False)
+            start = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            own = np.arange(len(keys)) - np.repeat(start, np.diff(np.append(start, len(keys)))) + 1
+            if keys[0] == last:
+                own[: start[1] if len(start) > 1 else len(keys)] += seen
+            last, seen = keys[-1], own[-1]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(keys), part, np.int32)), pa.array(own)], schema.names)
+
+    placed = cut(rows.orderBy(key, *then).mapInArrow(run, schema))
+    spans = placed.groupBy(key, "_part").agg(F.max("_own").alias("_many"))
+    before = F.sum("_many").over(W.partitionBy(key).orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
+    later = spans.select(key, "_part", before.alias("_before")).filter("_before is not null")
+    return placed.join(F.broadcast(later), [key, "_part"], "left").select(*rows.columns, (F.col("_own") + F.coalesce("_before", F.lit(0))).alias("at"))
+
+
 # --- words of many texts at once -------------------------------------------------------------
 
 _SPACE = np.zeros(256, bool)

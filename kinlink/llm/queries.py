@@ -81,6 +81,12 @@ def op10_fingerprint(spark, sf_dir):
     return edited_pairs(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark, sf_dir):
+    from .prefix_trie import prefix_trie
+
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_collocations(spark, sf_dir):
     from .collocations import collocations
 
@@ -159,6 +165,21 @@ f AS (SELECT base.*, n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > 50 * n_wo
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND class_distance <= {q.MAX_CLASSES} + {q.SLACK} / sqrt(greatest(1, n_words)) AND word_distance <= {q.MAX_WORDS} + {q.SLACK} / sqrt(greatest(1, n_words)) AS kept, round(class_distance, 6) AS class_distance, round(word_distance, 6) AS word_distance FROM f"""
 
 
+_OP12 = """WITH RECURSIVE bits(i, j, c) AS (SELECT i, 0, i FROM range(256) r(i) UNION ALL SELECT i, j + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE j < 8),
+tab AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE j = 8),
+o AS (SELECT conv_id AS c, coalesce(text, '') AS x, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS p FROM conversations WHERE conv_id IS NOT NULL),
+s AS (SELECT c, count(*) AS n, c - c % 100 AS b, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), lambda a, x: xor(a >> 8, any_value(t)[(xor(a, x) & 255) + 1])), 4294967295) % 6 AS h FROM o, tab GROUP BY c),
+m AS (SELECT s.*, least(s.h, coalesce(least(z.n, 5), 0)) AS k FROM s LEFT JOIN s z ON z.c = s.b),
+r AS (SELECT m.c, o.p AS d, o.k, length(o.x) AS chars FROM m JOIN o ON o.c = m.b AND o.p <= m.k UNION ALL SELECT m.c, o.p - m.h + m.k, o.k, length(o.x) FROM m JOIN o ON o.c = m.c AND o.p > m.h),
+w AS (SELECT c, d, chars, string_agg(k, '') OVER (PARTITION BY c ORDER BY d) AS path FROM r UNION ALL SELECT c, 0, 0, '' FROM m),
+e AS (SELECT c, d, chars, min(c) OVER (PARTITION BY d, path) AS rep, count(*) OVER (PARTITION BY d, path) AS n, d = max(d) OVER (PARTITION BY c) AS last FROM w),
+nodes AS (SELECT d, rep, n, chars FROM e WHERE c = rep),
+up AS (SELECT nodes.*, e.rep AS parent FROM nodes LEFT JOIN e ON e.c = nodes.rep AND e.d = nodes.d - 1),
+kids AS (SELECT d - 1 AS d, parent AS rep, count(*) AS many FROM up WHERE d > 0 GROUP BY 1, 2),
+roll AS (SELECT e.d, e.rep, count(*) FILTER (kids.many IS NULL) AS leaves, sum((nodes.n - 1) * nodes.chars) AS saved FROM nodes JOIN e ON e.c = nodes.rep AND e.d <= nodes.d LEFT JOIN kids ON kids.d = nodes.d AND kids.rep = nodes.rep GROUP BY 1, 2),
+ends AS (SELECT d, rep, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS sha FROM e WHERE last GROUP BY 1, 2)
+SELECT up.rep AS conv_id, up.d AS depth, up.parent AS parent_conv_id, up.n AS n_convs, coalesce(kids.many, 0) AS n_children, leaves AS n_leaves, saved::BIGINT AS saved_tokens, coalesce(sha, sha256('')) AS ends_sha256 FROM up JOIN roll ON roll.d = up.d AND roll.rep = up.rep LEFT JOIN kids ON kids.d = up.d AND kids.rep = up.rep LEFT JOIN ends ON ends.d = up.d AND ends.rep = up.rep"""
+
 _OP13 = r"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, list_filter(string_split_regex(unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[\x20\x09]+'), lambda x: x <> '') AS w FROM documents),
 g AS (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM (SELECT lang, w, unnest([1, 2, 3]) AS m FROM p) WHERE len(w) >= m),
 f AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS f FROM g GROUP BY 1, 2, 3),
@@ -175,4 +196,4 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM t JOIN n USING (lang) WHERE ra
 
 
 def oracle_sql():
-    return {"op1_secret_scan": _OP1, "op7_near_dedup": _OP7, "op9_quality": _op9(), "op13_collocations": _OP13}
+    return {"op1_secret_scan": _OP1, "op7_near_dedup": _OP7, "op9_quality": _op9(), "op12_prefix_trie": _OP12, "op13_collocations": _OP13}
