@@ -81,6 +81,14 @@ def op10_fingerprint(spark, sf_dir):
     return edited_pairs(table(spark, sf_dir, "documents"))
 
 
+def op11_tiered_packing(spark, sf_dir):
+    import public_tokenizers
+
+    from .tiered_packing import tiered_packing
+
+    return tiered_packing(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op12_prefix_trie(spark, sf_dir):
     from .prefix_trie import prefix_trie
 
