@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -26,6 +27,8 @@ GROUP, HEADS = 100, 6
 BLOCK = 1024
 #: A node is large if it has more than this part of all conversations; those are met by broadcast, and there are fewer of them than this.
 LARGE = 500
+#: Rows (a conversation's next BLOCK levels each) up to which a round is one task's, without shuffles.
+FEW = 20_000
 #: Ids digested in one string.
 CHUNK = 8192
 EMPTY = hashlib.sha256(b"").hexdigest()
@@ -43,7 +46,7 @@ def turns(conversations: DataFrame) -> DataFrame:
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     key = F.unhex(F.sha2(F.concat(F.char_length(role).cast("string"), F.lit(":"), role, text), 256))
     own = conversations.filter("conv_id is not null").select(F.col("conv_id").cast("long").alias("conv_id"), "turn", key.alias("key"), F.char_length(text).cast("long").alias("chars"))
-    return cut(numbered(cut(own), "conv_id", F.asc_nulls_first("turn"), F.asc("key")).select("conv_id", "at", "key", "chars"))
+    return cut(numbered(own, "conv_id", F.asc_nulls_first("turn"), F.asc("key")).select("conv_id", "at", "key", "chars"))
 
 
 def rebuilt(own: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -75,6 +78,11 @@ def blocks_of(convs: DataFrame, made: DataFrame) -> DataFrame:
     return cut(grouped.withColumns({c: F.sum(c).over(onward) for c in ("rest", *_RESTS)}).join(convs, "conv_id"))
 
 
+def _small(rows: DataFrame, many: int) -> DataFrame:
+    """In one partition if there are few, so that groups and joins of what comes of them need no shuffle."""
+    return rows.coalesce(1) if many <= FEW else rows
+
+
 def _joined(live: DataFrame, nodes: DataFrame, bound: int) -> DataFrame:
     """live rows with their nodes by (parent, key): nodes of more than bound members by broadcast, so that none is one task's."""
     named = ["parent", "key", "node", "n_convs", "chain"]
@@ -85,16 +93,16 @@ def _joined(live: DataFrame, nodes: DataFrame, bound: int) -> DataFrame:
     return others.select(*live.columns, *named[2:]).unionByName(met)
 
 
-def _levels(blocks: DataFrame, root: int, total: int) -> tuple[list[DataFrame], list[DataFrame]]:
-    """The nodes of each depth from 1, and (conv_id, depth, node) of the conversations that end at nodes with company."""
+def _levels(blocks: DataFrame, root: int, total: int) -> tuple[list[tuple[DataFrame, int]], list[DataFrame]]:
+    """The nodes of each depth from 1 with the conversations that came that far, and (conv_id, depth, node) of the conversations that end at nodes with company."""
     live = blocks.filter("block = 0").withColumn("parent", F.lit(root).cast("long"))
-    levels: list[DataFrame] = []
+    levels: list[tuple[DataFrame, int]] = []
     ends: list[DataFrame] = []
-    depth, bound = 0, max(1, total // LARGE)
+    depth, bound, many = 0, max(1, total // LARGE), total
     while True:
         at, depth = depth % BLOCK, depth + 1
         if at == 0 and depth > 1:
-            live = live.select("conv_id", "parent").join(blocks.filter(F.col("block") == depth // BLOCK), "conv_id")
+            live = _small(live.select("conv_id", "parent").join(blocks.filter(F.col("block") == depth // BLOCK), "conv_id"), many)
         turn = F.col("turns")[at]
         marks = _marks(F.lit(depth).cast("long"), F.col("key"))
         now = live.withColumns({"key": turn["key"], "chars": turn["chars"]}).withColumns({r: F.col(r) - marks[r] for r in _RESTS} | {"rest": F.col("rest") - F.col("chars")})
@@ -103,12 +111,14 @@ def _levels(blocks: DataFrame, root: int, total: int) -> tuple[list[DataFrame],
             F.max(F.struct(*_RESTS)).alias("most"), F.min(F.struct(*_RESTS)).alias("least"),
         )
         nodes = cut(grouped.withColumn("chain", F.col("most") == F.col("least")).drop("most", "least"))
-        levels.append(nodes)
+        levels.append((nodes, many))
         moved = cut(_joined(now.drop("chars"), nodes, bound))
         ends.append(moved.filter(F.col("chain") | (F.col("length") == depth)).select("conv_id", F.col("length").alias("depth"), "node"))
         live = moved.filter(~F.col("chain") & (F.col("length") > depth)).drop("parent", "key", "n_convs", "chain").withColumnRenamed("node", "parent")
-        if live.isEmpty():
+        many = nodes.filter(~F.col("chain")).agg(F.coalesce(F.sum("n_convs"), F.lit(0))).first()[0]
+        if not many:
             return levels, ends
+        live = _small(live, many)
 
 
 def _digests(ends: DataFrame) -> DataFrame:
@@ -155,15 +165,14 @@ def _digests(ends: DataFrame) -> DataFrame:
     return dealt.mapInArrow(digest, "depth long, conv_id long, ends_sha256 string")
 
 
-def _under_tops(blocks: DataFrame, tops: DataFrame) -> DataFrame:
-    """The nodes below the tops (conv_id, depth, n_convs) of chains: their smallest member's further turns."""
+def _under_tops(blocks: DataFrame, tops: DataFrame, alike: bool) -> DataFrame:
+    """The nodes below the tops (conv_id, depth, n_convs) of chains: their smallest member's further turns. Only alike conversations save anything there."""
     top = tops.select("conv_id", F.col("depth").alias("top"), "n_convs")
     below = blocks.join(top, "conv_id").filter((F.col("block") + 1) * BLOCK > F.col("top"))
     each = below.select("conv_id", "block", "length", "n_convs", "top", "rest", F.explode("turns").alias("t")).select("*", "t.depth", "t.chars").drop("t")
     before = F.coalesce(F.sum("chars").over(W.partitionBy("conv_id", "block").orderBy("depth").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    alone = each.filter("n_convs = 1").withColumn("saved_tokens", F.lit(0).cast("long"))
-    alike = each.filter("n_convs > 1").withColumn("saved_tokens", (F.col("n_convs") - 1) * (F.col("rest") - before))
-    every = alone.unionByName(alike).filter(F.col("depth") > F.col("top"))
+    saved = (F.col("n_convs") - 1) * (F.col("rest") - before) if alike else F.lit(0).cast("long")
+    every = each.withColumn("saved_tokens", saved).filter(F.col("depth") > F.col("top"))
     return every.select("conv_id", "depth", F.col("conv_id").alias("parent_conv_id"), "n_convs", (F.col("depth") < F.col("length")).cast("long").alias("n_children"), F.lit(1).cast("long").alias("n_leaves"), "saved_tokens")
 
 
@@ -181,28 +190,26 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     levels, ends = _levels(blocks, root, total)
     out, kids = [], None
     for depth in range(len(levels), 0, -1):
-        nodes, chain = levels[depth - 1].withColumn("depth", F.lit(depth).cast("long")), F.col("chain")
+        nodes, many = levels[depth - 1]
+        nodes, chain = _small(nodes, many).withColumn("depth", F.lit(depth).cast("long")), F.col("chain")
         own = nodes.filter(chain).select("node", "depth", "parent", "n_convs", (F.col("length") > depth).cast("long").alias("n_children"), F.lit(1).cast("long").alias("n_leaves"), ((F.col("n_convs") - 1) * (F.col("chars") + F.col("rest"))).alias("saved_tokens"))
         if kids is not None:
             saved = (F.col("n_convs") - 1) * F.col("chars") + F.col("saved")
             parted = nodes.filter(~chain).join(kids, "node").select("node", "depth", "parent", "n_convs", F.col("many").alias("n_children"), F.col("leaves").alias("n_leaves"), saved.alias("saved_tokens"))
-            own = own.unionByName(cut(parted))
+            own = _small(own.unionByName(cut(parted)), many)
         out.append(own.select(F.col("node").alias("conv_id"), "depth", F.col("parent").alias("parent_conv_id"), "n_convs", "n_children", "n_leaves", "saved_tokens"))
         kids = own.groupBy(F.col("parent").alias("node")).agg(F.count("*").alias("many"), F.sum("n_leaves").alias("leaves"), F.sum("saved_tokens").alias("saved"))
     none = F.lit(0).cast("long")
     zero = convs.agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_convs")).select("conv_id", none.alias("depth"), F.lit(None).cast("long").alias("parent_conv_id"), "n_convs")
     children = kids.agg(F.sum("many").alias("many"), F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved"))
     out.append(zero.crossJoin(F.broadcast(children)).select("*", F.coalesce("many", none).alias("n_children"), F.coalesce("leaves", none + 1).alias("n_leaves"), F.coalesce("saved", none).alias("saved_tokens")).drop("many", "leaves", "saved"))
-    tops = levels[0].limit(0).select(F.col("node").alias("conv_id"), F.lit(0).cast("long").alias("depth"), "n_convs")
-    for i, nodes in enumerate(levels):
-        tops = tops.unionByName(nodes.filter("chain").select(F.col("node").alias("conv_id"), F.lit(i + 1).cast("long").alias("depth"), "n_convs"))
-    every = _under_tops(blocks, tops)
-    for rows in out:
-        every = every.unionByName(rows)
+    single, company = F.col("n_convs") == 1, F.col("n_convs") > 1
+    tops = [nodes.filter("chain").select(F.col("node").alias("conv_id"), F.lit(i + 1).cast("long").alias("depth"), "n_convs") for i, (nodes, _) in enumerate(levels)]
+    union = lambda frames: reduce(DataFrame.unionByName, frames)
     # a node's only member ends there if nothing follows; all others meet their digests
-    alone = every.filter((F.col("n_convs") == 1) & (F.col("depth") > 0)).withColumn("ends_sha256", F.when(F.col("n_children") == 0, F.sha2(F.col("conv_id").cast("string"), 256)).otherwise(EMPTY))
+    alone = union([_under_tops(blocks, union([x.filter(single) for x in tops]), False), *(x.filter(single) for x in out[:-1])])
+    alone = alone.withColumn("ends_sha256", F.when(F.col("n_children") == 0, F.sha2(F.col("conv_id").cast("string"), 256)).otherwise(EMPTY))
+    others = union([_under_tops(blocks, union([x.filter(company) for x in tops]), True), *(x.filter(company) for x in out[:-1]), out[-1]])
     ended = convs.filter("length = 0").select("conv_id", F.col("length").alias("depth"), F.lit(root).cast("long").alias("node"))
-    for rows in ends:
-        ended = ended.unionByName(rows)
-    others = every.filter((F.col("n_convs") > 1) | (F.col("depth") == 0)).join(_digests(ended), ["depth", "conv_id"], "left").withColumn("ends_sha256", F.coalesce("ends_sha256", F.lit(EMPTY)))
+    others = others.join(_digests(union([ended, *ends])), ["depth", "conv_id"], "left").withColumn("ends_sha256", F.coalesce("ends_sha256", F.lit(EMPTY)))
     return alone.select(*COLUMNS).unionByName(others.select(*COLUMNS))
