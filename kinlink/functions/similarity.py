@@ -8,6 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import batch
+
 
 def common_subsequence(a: str, b: str) -> int:
     """Length of the longest common subsequence, a bit for each character of a."""
@@ -82,26 +84,12 @@ def token_set_ratio(a: str, b: str) -> float:
 def _udf(f):
     @F.pandas_udf(T.DoubleType())
     def run(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([f(x or "", y or "") for x, y in zip(a, b, strict=True)], dtype="float64")
+        return pd.Series(f(a.fillna("").tolist(), b.fillna("").tolist()), dtype="float64")
 
     return run
 
 
-indel, jaro, token_sort, token_set = map(_udf, (indel_ratio, jaro_winkler, token_sort_ratio, token_set_ratio))
-
-
-_STRINGS = ("name_levenshtein_ratio", "name_jaro_winkler", "name_token_sort_ratio", "name_token_set_ratio", "addr_levenshtein_ratio", "addr_jaro_winkler", "addr_token_sort_ratio")
-
-
-# types are objects here: workers import this module, and a type's text needs a session
-@F.pandas_udf(T.StructType([T.StructField(c, T.DoubleType()) for c in _STRINGS]))
-def string_features(name_a: pd.Series, name_b: pd.Series, addr_a: pd.Series, addr_b: pd.Series) -> pd.DataFrame:
-    """All string ratios of a pair in one crossing to Python."""
-    rows = [
-        (indel_ratio(n, m), jaro_winkler(n, m), token_sort_ratio(n, m), token_set_ratio(n, m), indel_ratio(a, b), jaro_winkler(a, b), token_sort_ratio(a, b))
-        for n, m, a, b in zip(name_a.fillna(""), name_b.fillna(""), addr_a.fillna(""), addr_b.fillna(""), strict=True)
-    ]
-    return pd.DataFrame(rows, columns=_STRINGS)
+indel, jaro, token_sort, token_set = map(_udf, (batch.indel_ratios, batch.jaro_winklers, batch.token_sort_ratios, batch.token_set_ratios))
 
 
 @F.pandas_udf(T.DoubleType())

@@ -477,3 +477,40 @@ def test_string_ratios_of_all_pairs_against_brute_force(spark, crowded, crowded_
         assert x.addr_token_sort_ratio == pytest.approx(brute_indel(order(a.addr_norm), order(b.addr_norm)), abs=1e-6)
         assert x.name_jaro_winkler == pytest.approx(brute_jaro_winkler(a.name_norm, b.name_norm), abs=1e-6)
     assert tall > 500 and foreign > 100
+
+
+# --- ratios of many pairs at once, the grid ---------------------------------------------------
+
+
+def test_batch_ratios_equal_single_ones():
+    """Non-ASCII letters, lengths around a word of 64 bits and beyond, prefixes, equal and empty strings."""
+    r = random.Random(8)
+    made = lambda n: "".join(r.choice("abcde é日\U0001f600") for _ in range(n))
+    a = [made(r.choice([0, 1, 3, 20, 63, 64, 65, 130, 200])) for _ in range(3000)]
+    b = [x if r.random() < 0.05 else x[: r.randrange(len(x) + 1)] + made(5) if r.random() < 0.4 else made(r.choice([0, 2, 40, 64, 129])) for x in a]
+    for many, one in ((batch.indel_ratios, similarity.indel_ratio), (batch.jaro_winklers, similarity.jaro_winkler), (batch.token_sort_ratios, similarity.token_sort_ratio), (batch.token_set_ratios, similarity.token_set_ratio)):
+        assert many(a, b).tolist() == [one(x, y) for x, y in zip(a, b, strict=True)]
+        assert many([], []).tolist() == []
+        assert many(["", "a"], ["", ""]).tolist() == [one("", ""), one("a", "")]
+
+
+def test_rows_give_the_cosines_of_vectors(spark):
+    texts = ["acme tools", "acme acme", "tools of acme", "", "zebra", "a"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    idf = tfidf.fit(df.filter("id < 4"), "t")  # zebra's n-grams have no weight
+    weights = {x.id: np.array(x.w) for x in tfidf.aligned(df, "id", "t", idf, "w").collect()}
+    rows = tfidf.Rows()
+    side = rows.add(texts, [weights.get(i, np.zeros(0)) for i in range(len(texts))])
+    vectors = {x.id: dict(zip(x.grams, x.weights, strict=True)) for x in tfidf.vectors(df, "id", "t", idf).collect()}
+    a, b = (np.array(x) for x in zip(*((i, j) for i in range(6) for j in range(6)), strict=True))
+    want = [sum(w * vectors.get(j, {}).get(g, 0) for g, w in vectors.get(i, {}).items()) for i, j in zip(a, b, strict=True)]
+    assert rows.dots(side, side, a, b) == pytest.approx(want)
+    assert rows.dots(side, side, a[:0], b[:0]).tolist() == []
+
+
+def test_grids_of_any_size_give_the_same_features(spark, crowded, crowded_features):
+    s1, pool = queries._sides(spark, crowded)
+    small = queries._six(features.pair_features(s1, pool, queries._capped(spark, crowded), block=7, columns=3), *features.FEATURES)
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, crowded_features))
+    none = features.pair_features(s1.limit(0), pool, queries._capped(spark, crowded).limit(0))
+    assert none.count() == 0 and none.columns == [S1, CAND, *features.FEATURES]
