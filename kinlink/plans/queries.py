@@ -14,6 +14,7 @@ from ..functions.encoding import hashed_encoder
 from ..operators import blocking, features, matcher, metrics, split, validate
 from ..operators.blocking import CAND, S1
 from ..sources import fixtures, tables
+from ..sources.lineage import once
 
 # the operators' own caps, in SQL
 MAX_DF, BUCKET = "greatest(50, floor(0.01 * (SELECT count(*) FROM pool)))", "greatest(200, floor(0.02 * (SELECT count(*) FROM pool)))"
@@ -364,9 +365,7 @@ def _(spark, sf_dir):
 
 @query("flag_features", f"WITH {_pair_sql()} SELECT {S1}, {CAND}, (pa <> '' AND pa = pb)::INT::DOUBLE AS postal_code_match, (pa <> '' AND pb <> '')::INT::DOUBLE AS postal_code_both_present, (ya = yb)::INT::DOUBLE AS country_match FROM pairs")
 def _(spark, sf_dir):
-    s1, pool = _sides(spark, sf_dir)
-    made = features.pair_features(s1, pool, _capped(spark, sf_dir))
-    return made.select(S1, CAND, "postal_code_match", "postal_code_both_present", "country_match")
+    return _featured(spark, sf_dir).select(S1, CAND, "postal_code_match", "postal_code_both_present", "country_match")
 
 
 @query("char_ngram_idf", f"WITH {_NORM}{_grams_sql('name')} SELECT gram, round(idf, 6) AS idf FROM idf")
@@ -379,8 +378,7 @@ def _cosine_sql(field: str) -> str:
 
 
 def _cosine(spark, sf_dir, field):
-    s1, pool = _sides(spark, sf_dir)
-    return _six(features.pair_features(s1, pool, _capped(spark, sf_dir)).select(S1, CAND, f"{field}_tfidf_cosine"), f"{field}_tfidf_cosine")
+    return _six(_featured(spark, sf_dir).select(S1, CAND, f"{field}_tfidf_cosine"), f"{field}_tfidf_cosine")
 
 
 @query("name_tfidf_cosine", _cosine_sql("name"))
@@ -449,10 +447,15 @@ def _(spark, sf_dir):
     return _pairs(spark, sf_dir).select(S1, CAND, F.round(similarity.jaro("a_addr_norm", "b_addr_norm"), 6).alias("addr_jaro_winkler"))
 
 
+def _featured(spark, sf_dir):
+    """The candidates' features; records are normalised and candidates found once, as several steps read both."""
+    s1, pool = fixtures.sides(once(T.normalize(_records(spark, sf_dir))))
+    return features.pair_features(s1, pool, once(blocking.candidates(s1, pool).select(S1, CAND, "sim")))
+
+
 @query("pair_features")
 def _(spark, sf_dir):
-    s1, pool = _sides(spark, sf_dir)
-    return _six(features.pair_features(s1, pool, _capped(spark, sf_dir)), *features.FEATURES)
+    return _six(_featured(spark, sf_dir), *features.FEATURES)
 
 
 # --- labels and metrics -----------------------------------------------------------------------
@@ -631,9 +634,7 @@ def _(spark, sf_dir):
 
 def _out_of_fold(spark, sf_dir):
     """All pairs, scored at the operator's default folds and rounds."""
-    s1, pool = _sides(spark, sf_dir)
-    rows = matcher.labelled(features.pair_features(s1, pool, _capped(spark, sf_dir)), _truth(spark, sf_dir))
-    return matcher.out_of_fold(rows.persist())
+    return matcher.out_of_fold(once(matcher.labelled(_featured(spark, sf_dir), _truth(spark, sf_dir))))
 
 
 @query("out_of_fold_metrics")

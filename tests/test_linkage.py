@@ -4,12 +4,13 @@ import math
 import random
 import unicodedata
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from kinlink.functions import similarity, text, tfidf
+from kinlink.functions import batch, similarity, text, tfidf
 from kinlink.operators import blocking, features, matcher, metrics, split, validate
 from kinlink.operators.blocking import CAND, S1
 from kinlink.plans import linkage, queries
@@ -426,8 +427,7 @@ def test_out_of_fold_queries_score_every_entity(spark, monkeypatch):
     monkeypatch.setattr(matcher, "out_of_fold", out_of_fold)
     monkeypatch.setattr(queries, "_sides", lambda *_: (s1, None))
     monkeypatch.setattr(queries, "_truth", lambda *_: rows)
-    monkeypatch.setattr(queries, "_capped", lambda *_: rows)
-    monkeypatch.setattr(features, "pair_features", lambda *_: rows)
+    monkeypatch.setattr(queries, "_featured", lambda *_: rows)
     got = {x[S1]: x.matched_entity_ids for x in queries.queries()["matched_entities"](spark, "").collect()}
     assert got == {f"S1-{i}": f"S2-{i}" for i in range(20)}
     assert queries.queries()["out_of_fold_metrics"](spark, "").count() == 1
