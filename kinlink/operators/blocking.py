@@ -26,8 +26,8 @@ def _cap(pool: DataFrame, given: int | None, least: int, share: float) -> int:
     return given if given is not None else max(least, int(share * pool.count()))
 
 
-def _tokens(records: DataFrame, key: str, column: str) -> DataFrame:
-    return records.select(F.col("entity_id").alias(key), F.explode(F.array_distinct(column)).alias("token"))
+def _tokens(records: DataFrame, key: str, column: str, *more: str) -> DataFrame:
+    return records.select(F.col("entity_id").alias(key), *more, F.explode(F.array_distinct(column)).alias("token"))
 
 
 def token_frequencies(pool: DataFrame, column: str = "name_core_tokens") -> DataFrame:
@@ -46,17 +46,20 @@ def frequent_tokens(pool: DataFrame, max_doc_freq: int | None = None, column: st
     return token_frequencies(pool, column).filter(F.col("df") > _cap(pool, max_doc_freq, 50, 0.01))
 
 
-def token_candidates(source1: DataFrame, pool: DataFrame, max_doc_freq: int | None = None, min_shared: int = 1, limit: int = 200, column: str = "name_core_tokens") -> DataFrame:
-    """(S1, CAND, n_shared): the `limit` candidates of each S1 record with the most shared tokens, ties by id.
+def token_candidates(source1: DataFrame, pool: DataFrame, max_doc_freq: int | None = None, min_shared: int = 1, limit: int = 200, column: str = "name_core_tokens", code: str | None = None) -> DataFrame:
+    """(S1, CAND, n_shared): the `limit` candidates of each S1 record with the most shared tokens, ties by id; with the name of a code column, also postal_hit, equal and not ''.
 
     Frequent tokens go before the join. The list of one that stays is dealt over parts of about PART pool records, each met by all
-    queries with the token, so that no task makes all of a token's pairs.
+    queries with the token, so that no task makes all of a token's pairs. Pairs are shuffled once, by S1: counts and ranks need no more.
     """
     parts = F.ceil(F.col("df") / PART).cast("int")
     kept = token_frequencies(pool, column).filter(F.col("df") <= _cap(pool, max_doc_freq, 50, 0.01)).select("token", parts.alias("parts"))
-    index = _tokens(pool, CAND, column).join(kept, "token").select("token", CAND, F.pmod(F.xxhash64(CAND), F.col("parts")).cast("int").alias("part"))
-    asked = _tokens(source1, S1, column).join(kept, "token").select("token", S1, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    pairs = asked.join(index, ["token", "part"]).groupBy(S1, CAND).agg(F.count("*").cast("int").alias("n_shared"))
+    mine, theirs = ([F.col(code).alias(f"_{side}")] if code else [] for side in "qp")
+    index = _tokens(pool, CAND, column, *theirs).join(kept, "token").select("token", CAND, *(["_p"] if code else []), F.pmod(F.xxhash64(CAND), F.col("parts")).cast("int").alias("part"))
+    asked = _tokens(source1, S1, column, *mine).join(kept, "token").select("token", S1, *(["_q"] if code else []), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    hit = [F.coalesce((F.col("_q") != "") & (F.col("_q") == F.col("_p")), F.lit(False)).alias("postal_hit")] if code else []
+    met = asked.join(index, ["token", "part"]).select(S1, CAND, *hit).repartition(S1)
+    pairs = met.groupBy(S1, CAND).agg(F.count("*").cast("int").alias("n_shared"), *([F.max("postal_hit").alias("postal_hit")] if code else []))
     ranked = pairs.filter(F.col("n_shared") >= min_shared).withColumn("rank", F.row_number().over(W.partitionBy(S1).orderBy(F.desc("n_shared"), CAND)))
     return ranked.filter(F.col("rank") <= limit).drop("rank")
 
@@ -188,14 +191,15 @@ def _centres(vectors: DataFrame, cells: int, n: int, rounds: int = 10) -> np.nda
 
 
 def union_candidates(tokens: DataFrame | None, postal: DataFrame | None, knn: DataFrame | None) -> DataFrame:
-    """Each pair once, with its signals: sim (null unless retrieved as a neighbour), n_shared, postal_hit."""
+    """Each pair once, with its signals: sim (null unless retrieved as a neighbour), n_shared, postal_hit (of tokens and knn, if they know it)."""
+    none, unknown, hit = F.lit(0).alias("n_shared"), F.lit(None).cast("double").alias("sim"), lambda df: "postal_hit" if "postal_hit" in df.columns else F.lit(False).alias("postal_hit")
     parts = []
     if tokens is not None:
-        parts.append(tokens.select(S1, CAND, F.lit(None).cast("double").alias("sim"), "n_shared", F.lit(False).alias("postal_hit")))
+        parts.append(tokens.select(S1, CAND, unknown, "n_shared", hit(tokens)))
     if postal is not None:
-        parts.append(postal.select(S1, CAND, F.lit(None).cast("double").alias("sim"), F.lit(0).alias("n_shared"), F.lit(True).alias("postal_hit")))
+        parts.append(postal.select(S1, CAND, unknown, none, F.lit(True).alias("postal_hit")))
     if knn is not None:
-        parts.append(knn.select(S1, CAND, F.col("sim").cast("double"), F.lit(0).alias("n_shared"), F.lit(False).alias("postal_hit")))
+        parts.append(knn.select(S1, CAND, F.col("sim").cast("double"), none, hit(knn)))
     every = parts[0]
     for p in parts[1:]:
         every = every.unionByName(p)
@@ -209,9 +213,25 @@ def cap_candidates(union: DataFrame, limit: int = 30) -> DataFrame:
 
 
 def candidates(source1: DataFrame, pool: DataFrame, knn: DataFrame | None = None, max_doc_freq: int | None = None, max_bucket: int | None = None, per_token_query: int = 200, limit: int = 30) -> DataFrame:
-    """All of it for normalised records; knn is the neighbours' table, if any."""
-    tokens = token_candidates(source1, pool, max_doc_freq, limit=per_token_query)
-    return cap_candidates(union_candidates(tokens, postal_candidates(source1, pool, max_bucket), knn), limit)
+    """All of it for normalised records; knn is the neighbours' table, if any.
+
+    The union of all signals, capped, without the pairs of the postal join: a pair that has nothing but its code ranks by id, so of each code only the
+    `limit` smallest ids can stay, and on other pairs the hit is a comparison. Neighbours of negative similarity rank below such
+    pairs and must not use up their places: each code gives as many more ids as a record has of those at most.
+    """
+    index = _ranked_codes(pool, max_bucket).select("postal_code", CAND)
+    codes = index.withColumnsRenamed({"postal_code": "_code"})
+    own = source1.withColumn("_code", F.coalesce("postal_code", F.lit("")))
+    tokens = token_candidates(own, pool.join(codes.withColumnRenamed(CAND, "entity_id"), "entity_id", "left"), max_doc_freq, limit=per_token_query, code="_code")
+    below = 0
+    if knn is not None:
+        asked = own.filter("_code != ''").select(F.col("entity_id").alias(S1), F.col("_code").alias("_q"))
+        knn = knn.join(asked, S1, "left").join(codes, CAND, "left").withColumn("postal_hit", F.coalesce(F.col("_q") == F.col("_code"), F.lit(False))).select(S1, CAND, "sim", "postal_hit")
+        below = knn.filter("postal_hit and sim < 0").groupBy(S1).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    place = F.row_number().over(W.partitionBy("postal_code").orderBy(CAND))
+    first = index.withColumn("place", place).filter(F.col("place") <= limit + below).drop("place")
+    fill = own.filter("_code != ''").select(F.col("entity_id").alias(S1), F.col("_code").alias("postal_code")).join(first, "postal_code").select(S1, CAND)
+    return cap_candidates(union_candidates(tokens, fill, knn), limit)
 
 
 def long_candidates(source1: DataFrame, pairs: DataFrame) -> DataFrame:

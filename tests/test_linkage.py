@@ -514,3 +514,19 @@ def test_grids_of_any_size_give_the_same_features(spark, crowded, crowded_featur
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, crowded_features))
     none = features.pair_features(s1.limit(0), pool, queries._capped(spark, crowded).limit(0))
     assert none.count() == 0 and none.columns == [S1, CAND, *features.FEATURES]
+
+
+def test_late_fill_keeps_the_capped_union(spark):
+    """Against the union of all signals' pairs: hot codes, caps of buckets, neighbours of negative similarity among the smallest ids, repeats."""
+    r = random.Random(12)
+    made = lambda side, n: spark.createDataFrame([(f"{side}-{i:04d}", [r.choice(["red", "blue", "oak", f"w{r.randrange(9)}"]) for _ in range(2)], r.choice(["1", "1", "2", "", "3"])) for i in range(n)], "entity_id string, name_core_tokens array<string>, postal_code string").cache()
+    s1, pool = made("S1", 40), made("S2", 120)
+    near = [(f"S1-{i:04d}", f"S2-{j:04d}", r.choice([-0.5, -0.1, 0.0, 0.3])) for i in range(40) for j in r.sample(range(120), 7)] + [(f"S1-{i:04d}", f"S2-{j:04d}", -0.9) for i in range(5) for j in range(120, 122)]
+    near = spark.createDataFrame(near, f"{S1} string, {CAND} string, sim double").dropDuplicates([S1, CAND]).cache()
+    for knn in (None, near):
+        for df, bucket, top, limit in ((40, 200, 200, 5), (60, 25, 6, 9), (5, 8, 3, 30), (1, 200, 200, 3)):
+            full = blocking.union_candidates(blocking.token_candidates(s1, pool, df, limit=top), blocking.postal_candidates(s1, pool, bucket), knn)
+            want = blocking.cap_candidates(full, limit).collect()
+            got = blocking.candidates(s1, pool, knn, df, bucket, top, limit).collect()
+            key = lambda x: tuple((c, str(x[c])) for c in (S1, CAND, "sim", "n_shared", "postal_hit"))
+            assert sorted(map(key, got)) == sorted(map(key, want)) and got
