@@ -1013,7 +1013,7 @@ def test_edited_pairs_wrap_around(spark):
 
 
 def test_queries_are_registered():
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in queries.queries()) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in queries.queries()) == list(range(1, 14))
 
 
 def test_pipeline(spark, tmp_path):
