@@ -1,21 +1,24 @@
 """Candidate generation: shared tokens, postal codes and nearest neighbours, then union and cap.
 
-Candidates are long tables (source1_entity_id, candidate_entity_id, signals). The inverted index is the join itself: exploded
-tokens meet on the token, counts are aggregated, ranked caps are window limits that Spark applies before the shuffle.
+Candidates are long tables (source1_entity_id, candidate_entity_id, signals). Shared tokens and neighbours are found on grids: blocks of
+query records meet blocks of the pool, each cell keeps the best of its own, and only those are shuffled and ranked.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 S1, CAND = "source1_entity_id", "candidate_entity_id"
-#: Bytes of pool vectors up to which each task holds them all; beyond, pool and queries meet by cell.
-BROADCAST_BYTES = 64 << 20
-#: Pool records of one token or code that meet its queries in one task.
+#: Query and pool records of a cell in which shared tokens are counted, bytes of a side's vectors in a tile, and the least blocks of queries.
+QUERIES, POOL, TILE_BYTES, LEAST = 8000, 200_000, 32 << 20, 8
+#: Pool records of one code that meet its queries in one task.
 PART = 1000
 #: Bytes of the sample that the cells' centres are learned from, and similarities held at once.
 SAMPLE_BYTES, SIMILARITIES = 256 << 20, 1 << 23
@@ -46,22 +49,102 @@ def frequent_tokens(pool: DataFrame, max_doc_freq: int | None = None, column: st
     return token_frequencies(pool, column).filter(F.col("df") > _cap(pool, max_doc_freq, 50, 0.01))
 
 
-def token_candidates(source1: DataFrame, pool: DataFrame, max_doc_freq: int | None = None, min_shared: int = 1, limit: int = 200, column: str = "name_core_tokens", code: str | None = None) -> DataFrame:
-    """(S1, CAND, n_shared): the `limit` candidates of each S1 record with the most shared tokens, ties by id; with the name of a code column, also postal_hit, equal and not ''.
+def _most_shared(lists: list[np.ndarray], limit: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places, counts): the `limit` places that occur in most of the sorted lists, in `least` at the fewest; ties go to the smaller place. The lists come shortest first.
 
-    Frequent tokens go before the join. The list of one that stays is dealt over parts of about PART pool records, each met by all
-    queries with the token, so that no task makes all of a token's pairs. Pairs are shuffled once, by S1: counts and ranks need no more.
+    What a list is the first to hold can occur in as many lists as are left. Where that is below `least`, or `limit` places already occur in more, the list
+    is only searched for places seen before; and of the last list nothing but its first `limit` new places can stay, so the longest list is never walked.
+    """
+    seen, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for j, own in enumerate(lists):
+        left = len(lists) - j
+        counts = counts + (own[np.minimum(np.searchsorted(own, seen), len(own) - 1)] == seen)
+        if left < least or np.count_nonzero(counts > left) >= limit:
+            continue
+        new = own[: limit + len(seen)] if left == 1 else own
+        if len(seen):
+            new = new[seen[np.minimum(np.searchsorted(seen, new), len(seen) - 1)] != new]
+        seen, counts = np.concatenate([seen, new]), np.concatenate([counts, np.ones(len(new), np.int64)])
+        order = np.argsort(seen)
+        seen, counts = seen[order], counts[order]
+    seen, counts = seen[counts >= least], counts[counts >= least]
+    best = np.argsort(-counts, kind="stable")[:limit]
+    return seen[best], counts[best]
+
+
+def _sorted_ids(column: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
+    """The distinct values in the order of their bytes, and the place of each row's value."""
+    ids = column.unique()
+    ids = ids.take(pc.sort_indices(ids))
+    return ids, pc.index_in(column, ids).to_numpy().astype(np.int64)
+
+
+def _codes_of(table: pa.Table, places: np.ndarray, codes: pa.Array) -> np.ndarray:
+    """For each place the number of its code, -1 for none."""
+    out = np.full(places.max(initial=-1) + 1, -1, np.int64)
+    out[places] = pc.fill_null(pc.index_in(table.column("code"), codes), -1).to_numpy()
+    return out
+
+
+def _sharing(limit: int, least: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """What a cell does: postings of its pool records, and for each of its queries the best by shared tokens. Queries with the same tokens are answered once."""
+
+    def of_cell(asked: pa.Table, index: pa.Table) -> pa.Table:
+        (own, q), (ids, p) = _sorted_ids(asked.column(S1)), _sorted_ids(index.column(CAND))
+        tokens = index.column("token").unique()
+        t, wanted = pc.index_in(index.column("token"), tokens).to_numpy().astype(np.int64), pc.index_in(asked.column("token"), tokens)
+        token, place = np.divmod(np.unique(t * max(1, len(ids)) + p), max(1, len(ids)))
+        many = np.bincount(token, minlength=len(tokens))
+        postings = np.split(place, np.cumsum(many)[:-1]) if len(tokens) else []
+        known = wanted.is_valid().to_numpy()
+        pairs = np.unique(q[known] * max(1, len(tokens)) + wanted.drop_null().to_numpy())
+        of, token = np.divmod(pairs, max(1, len(tokens)))
+        order = np.lexsort((token, many[token], of))
+        of, token = of[order], token[order]
+        edges = np.flatnonzero(np.append(np.append(True, np.diff(of) != 0), True)) if len(of) else np.zeros(1, np.int64)
+        answers: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
+        found = []
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            key = token[a:b].tobytes()
+            if key not in answers:
+                answers[key] = _most_shared([postings[i] for i in token[a:b].tolist()], limit, least)
+            found.append(answers[key])
+        whose = np.repeat(of[edges[:-1]], [len(x) for x, _ in found]) if found else np.zeros(0, np.int64)
+        places, counts = (np.concatenate([f[i] for f in found] or [np.zeros(0, np.int64)]) for i in (0, 1))
+        codes = pa.array(sorted(set(asked.column("code").unique().to_pylist()) - {None, ""}), pa.string())
+        hit = np.zeros(0, bool)
+        if len(whose):
+            mine = _codes_of(asked, q, codes)[whose]
+            hit = (mine >= 0) & (mine == _codes_of(index, p, codes)[places])
+        return pa.table({S1: own.take(pa.array(whose)), CAND: ids.take(pa.array(places)), "n_shared": pa.array(counts.astype(np.int32)), "postal_hit": pa.array(hit)})
+
+    return of_cell
+
+
+def token_candidates(
+    source1: DataFrame, pool: DataFrame, max_doc_freq: int | None = None, min_shared: int = 1, limit: int = 200, column: str = "name_core_tokens",
+    codes: DataFrame | None = None, block: tuple[int, int] = (QUERIES, POOL),
+) -> DataFrame:
+    """(S1, CAND, n_shared): the `limit` candidates of each S1 record with the most shared tokens, ties by id; given the pool's codes (CAND, code), also postal_hit: equal to the S1 record's postal_code and not ''.
+
+    A product of two sparse matrices by blocks. Frequent tokens go first; the (id, token) rows that stay are dealt by their ids over cells of about `block` query and pool
+    records. A pair lies in one cell, so its count is whole there and each cell keeps its own `limit` best of a query; only those, `limit` x queries x blocks of the pool
+    at most, are shuffled for the last rank. No pair of a token is ever a row. Ids are keys: rows that repeat one count as one record, those without one are left out.
     """
-    parts = F.ceil(F.col("df") / PART).cast("int")
-    kept = token_frequencies(pool, column).filter(F.col("df") <= _cap(pool, max_doc_freq, 50, 0.01)).select("token", parts.alias("parts"))
-    mine, theirs = ([F.col(code).alias(f"_{side}")] if code else [] for side in "qp")
-    index = _tokens(pool, CAND, column, *theirs).join(kept, "token").select("token", CAND, *(["_p"] if code else []), F.pmod(F.xxhash64(CAND), F.col("parts")).cast("int").alias("part"))
-    asked = _tokens(source1, S1, column, *mine).join(kept, "token").select("token", S1, *(["_q"] if code else []), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    hit = [F.coalesce((F.col("_q") != "") & (F.col("_q") == F.col("_p")), F.lit(False)).alias("postal_hit")] if code else []
-    met = asked.join(index, ["token", "part"]).select(S1, CAND, *hit).repartition(S1)
-    pairs = met.groupBy(S1, CAND).agg(F.count("*").cast("int").alias("n_shared"), *([F.max("postal_hit").alias("postal_hit")] if code else []))
-    ranked = pairs.filter(F.col("n_shared") >= min_shared).withColumn("rank", F.row_number().over(W.partitionBy(S1).orderBy(F.desc("n_shared"), CAND)))
-    return ranked.filter(F.col("rank") <= limit).drop("rank")
+    n, rows = pool.count(), max(LEAST, -(-source1.count() // block[0]))
+    columns = max(1, -(-n // block[1]))
+    kept = token_frequencies(pool, column).filter(F.col("df") <= (max_doc_freq if max_doc_freq is not None else max(50, int(0.01 * n)))).select("token")
+    none = F.lit(None).cast("string")
+    mine = source1.filter("entity_id is not null").withColumn("code", F.col("postal_code") if codes is not None else none)
+    theirs = pool.filter("entity_id is not null").select("entity_id", column)
+    theirs = theirs.withColumn("code", none) if codes is None else theirs.join(codes.withColumnRenamed(CAND, "entity_id"), "entity_id", "left")
+    at, to = F.pmod(F.xxhash64(S1), F.lit(rows)), F.pmod(F.xxhash64(CAND), F.lit(columns))
+    every = lambda many, cell: F.explode(F.transform(F.sequence(F.lit(0), F.lit(many - 1)), cell)).alias("cell")
+    asked = _tokens(mine, S1, column, "code").join(kept, "token").select(S1, "token", "code", every(columns, lambda c: at * columns + c))
+    index = _tokens(theirs, CAND, column, "code").join(kept, "token").select(CAND, "token", "code", every(rows, lambda r: r * columns + to))
+    best = asked.groupBy("cell").cogroup(index.groupBy("cell")).applyInArrow(_sharing(limit, min_shared), f"{S1} string, {CAND} string, n_shared int, postal_hit boolean")
+    ranked = best.withColumn("rank", F.row_number().over(W.partitionBy(S1).orderBy(F.desc("n_shared"), CAND))).filter(F.col("rank") <= limit)
+    return ranked.drop("rank", *([] if codes is not None else ["postal_hit"]))
 
 
 def postal_index(pool: DataFrame, max_bucket: int | None = None) -> DataFrame:
@@ -98,11 +181,12 @@ def _scaled(m: np.ndarray) -> np.ndarray:
     return m / np.where(norm == 0, 1, norm)
 
 
-def _top(queries: np.ndarray, pool: np.ndarray, ids: np.ndarray, k: int):
-    """For each query the k most similar pool rows; ids are sorted, so equal similarities go to the smaller id."""
-    for a in range(0, len(queries), 1024):
-        sims = queries[a : a + 1024] @ pool.T
-        for i, row in enumerate(sims):
+def _top(queries: np.ndarray, pool: np.ndarray, ids: np.ndarray, k: int, digits: int | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each query the k most similar pool rows; ids are sorted, so equal similarities (of so many digits) go to the smaller id."""
+    step = max(1, SIMILARITIES // max(1, len(pool)))
+    for a in range(0, len(queries), step):
+        sims = queries[a : a + step] @ pool.T
+        for i, row in enumerate(sims if digits is None else sims.round(digits)):
             best = np.argsort(-row, kind="stable")[:k] if len(row) <= 4 * k else None
             if best is None:
                 edge = np.partition(row, len(row) - k)[len(row) - k]
@@ -111,12 +195,28 @@ def _top(queries: np.ndarray, pool: np.ndarray, ids: np.ndarray, k: int):
             yield a + i, ids[best], row[best]
 
 
-def knn_candidates(source1: DataFrame, pool: DataFrame, k: int = 15, column: str = "embedding", probes: int = 64, exact: bool | None = None) -> DataFrame:
-    """(S1, CAND, sim): the k most similar pool records by cosine, ties by id.
+def _meeting(k: int, kind: type, digits: int | None = None) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """What a tile does: the k best of its pool vectors for each of its queries."""
+
+    def of_part(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        if left.num_rows and right.num_rows:
+            right = right.sort_by(CAND)
+            own, ids = left.column(S1).to_pylist(), np.array(right.column(CAND).to_pylist(), object)
+            found = _top(_unit(left.column("u"), kind), _unit(right.column("u"), kind), ids, k, digits)
+            out = [(own[i], c, float(s)) for i, cands, sims in found for c, s in zip(cands, sims, strict=True)]
+        a, b, c = zip(*out, strict=True) if out else ((), (), ())
+        return pa.table({S1: pa.array(a, pa.string()), CAND: pa.array(b, pa.string()), "sim": pa.array(c, pa.float64())})
+
+    return of_part
+
 
-    A pool whose vectors fit BROADCAST_BYTES (its rows are counted) is searched exactly, each task holding it. A larger one is split
-    into about 8 * sqrt(n) cells by k-means on a bounded sample; queries go to their `probes` nearest cells, cells of many
-    vectors are split into parts, and the parts' best are merged.
+def knn_candidates(source1: DataFrame, pool: DataFrame, k: int = 15, column: str = "embedding", probes: int | None = None, tile: int | None = None) -> DataFrame:
+    """(S1, CAND, sim): the k most similar pool records by cosine, ties (to 12 digits) by id. Records without a vector are left out.
+
+    The search is exact at every size: tiles of `tile` pool vectors (TILE_BYTES of them by default) meet tiles of queries, each keeps its k best, and those are
+    merged. With `probes` it is approximate: the pool is split into about 8 * sqrt(n) cells by k-means on a bounded sample, queries
+    go to their `probes` nearest cells, and cells of many vectors are split into parts.
     """
     spark = pool.sparkSession
     vectors = pool.filter(F.col(column).isNotNull()).select(F.col("entity_id").alias(CAND), F.col(column).alias("v"))
@@ -125,19 +225,15 @@ def knn_candidates(source1: DataFrame, pool: DataFrame, k: int = 15, column: str
     schema = f"{S1} string, {CAND} string, sim double"
     if not n:
         return spark.createDataFrame([], schema)
-    if exact if exact is not None else n * dim * 8 <= BROADCAST_BYTES:
-        rows = vectors.orderBy(CAND).toArrow()
-        held = spark.sparkContext.broadcast((np.array(rows.column(CAND).to_pylist(), object), _unit(rows.column("v"), float)))
-
-        def search(batches):
-            ids, matrix = held.value
-            for batch in batches:
-                own = batch.column(0).to_pylist()
-                out = [(own[i], c, float(s)) for i, cands, sims in _top(_unit(batch.column(1), float), matrix, ids, k) for c, s in zip(cands, sims, strict=True)]
-                a, b, c = zip(*out, strict=True) if out else ((), (), ())
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(c, pa.float64())], [S1, CAND, "sim"])
-
-        return queries.mapInArrow(search, schema)
+    if probes is None:
+        size = tile or max(1, TILE_BYTES // (8 * max(1, dim)))
+        rows, columns = max(LEAST, -(-queries.count() // size)), -(-n // size)
+        of = lambda key, many: F.pmod(F.xxhash64(key), F.lit(many))
+        every = lambda many: F.explode(F.sequence(F.lit(0), F.lit(many - 1)))
+        asked = queries.select(S1, F.col("q").alias("u"), of(S1, rows).cast("int").alias("row"), every(columns).alias("column"))
+        held = vectors.select(CAND, F.col("v").alias("u"), every(rows).alias("row"), of(CAND, columns).cast("int").alias("column"))
+        met = asked.groupBy("row", "column").cogroup(held.groupBy("row", "column")).applyInArrow(_meeting(k, float, 12), schema)
+        return met.withColumn("rank", F.row_number().over(W.partitionBy(S1).orderBy(F.desc("sim"), CAND))).filter(F.col("rank") <= k).drop("rank")
     cells = int(np.clip(8 * np.sqrt(n), 64, 65536))
     centres = spark.sparkContext.broadcast(_centres(vectors, min(cells, n), n))
 
@@ -160,17 +256,7 @@ def knn_candidates(source1: DataFrame, pool: DataFrame, k: int = 15, column: str
     asked = queries.mapInArrow(nearest(S1, probes), f"{S1} string, u array<float>, cells array<int>").select(S1, "u", F.explode("cells").alias("cell"))
     asked = asked.join(F.broadcast(parts), "cell").select(S1, "u", "cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
 
-    def of_part(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
-        if left.num_rows and right.num_rows:
-            right = right.sort_by(CAND)
-            own, ids = left.column(S1).to_pylist(), np.array(right.column(CAND).to_pylist(), object)
-            found = _top(_unit(left.column("u")), _unit(right.column("u")), ids, k)
-            out = [(own[i], c, float(s)) for i, cands, sims in found for c, s in zip(cands, sims, strict=True)]
-        a, b, c = zip(*out, strict=True) if out else ((), (), ())
-        return pa.table({S1: pa.array(a, pa.string()), CAND: pa.array(b, pa.string()), "sim": pa.array(c, pa.float64())})
-
-    every = asked.groupBy("cell", "part").cogroup(placed.groupBy("cell", "part")).applyInArrow(of_part, schema)
+    every = asked.groupBy("cell", "part").cogroup(placed.groupBy("cell", "part")).applyInArrow(_meeting(k, np.float32), schema)
     return every.withColumn("rank", F.row_number().over(W.partitionBy(S1).orderBy(F.desc("sim"), CAND))).filter(F.col("rank") <= k).drop("rank")
 
 
@@ -220,17 +306,15 @@ def candidates(source1: DataFrame, pool: DataFrame, knn: DataFrame | None = None
     pairs and must not use up their places: each code gives as many more ids as a record has of those at most.
     """
     index = _ranked_codes(pool, max_bucket).select("postal_code", CAND)
-    codes = index.withColumnsRenamed({"postal_code": "_code"})
-    own = source1.withColumn("_code", F.coalesce("postal_code", F.lit("")))
-    tokens = token_candidates(own, pool.join(codes.withColumnRenamed(CAND, "entity_id"), "entity_id", "left"), max_doc_freq, limit=per_token_query, code="_code")
+    tokens = token_candidates(source1, pool, max_doc_freq, limit=per_token_query, codes=index.withColumnRenamed("postal_code", "code"))
     below = 0
     if knn is not None:
-        asked = own.filter("_code != ''").select(F.col("entity_id").alias(S1), F.col("_code").alias("_q"))
-        knn = knn.join(asked, S1, "left").join(codes, CAND, "left").withColumn("postal_hit", F.coalesce(F.col("_q") == F.col("_code"), F.lit(False))).select(S1, CAND, "sim", "postal_hit")
+        asked = source1.filter("postal_code != ''").select(F.col("entity_id").alias(S1), F.col("postal_code").alias("_q"))
+        knn = knn.join(asked, S1, "left").join(index, CAND, "left").withColumn("postal_hit", F.coalesce(F.col("_q") == F.col("postal_code"), F.lit(False))).select(S1, CAND, "sim", "postal_hit")
         below = knn.filter("postal_hit and sim < 0").groupBy(S1).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     place = F.row_number().over(W.partitionBy("postal_code").orderBy(CAND))
     first = index.withColumn("place", place).filter(F.col("place") <= limit + below).drop("place")
-    fill = own.filter("_code != ''").select(F.col("entity_id").alias(S1), F.col("_code").alias("postal_code")).join(first, "postal_code").select(S1, CAND)
+    fill = source1.filter("postal_code != ''").select(F.col("entity_id").alias(S1), "postal_code").join(first, "postal_code").select(S1, CAND)
     return cap_candidates(union_candidates(tokens, fill, knn), limit)
 
 

@@ -257,10 +257,10 @@ def _(spark, sf_dir):
 
 @query("knn_by_cells")
 def _(spark, sf_dir):
-    """The path for large pools, with its recall against the exact one."""
+    """The approximate path, with its recall against the exact one."""
     queries, pool = _vectors(spark, sf_dir)
     exact = blocking.knn_candidates(queries, pool, NEIGHBOURS).select(S1, CAND, F.lit(1).alias("hit"))
-    found = blocking.knn_candidates(queries, pool, NEIGHBOURS, exact=False)
+    found = blocking.knn_candidates(queries, pool, NEIGHBOURS, probes=64)
     return found.join(exact, [S1, CAND], "left").withColumn("hit", F.coalesce("hit", F.lit(0)))
 
 

@@ -3,8 +3,10 @@
 import math
 import random
 import unicodedata
+from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -170,6 +172,48 @@ def test_union_and_cap(spark, records):
     assert (sizes.entities, sizes.with_candidates, sizes.pairs, sizes.most) == (4, 4, union.count(), 4)
 
 
+def test_most_shared_places_against_all_counts():
+    """Bounds leave out no place: random sorted lists, ties, small limits, least counts."""
+    r = random.Random(31)
+    for _ in range(600):
+        size, many = r.choice([3, 30, 200]), r.randrange(1, 6)
+        lists = sorted((np.array(sorted(r.sample(range(size), r.randrange(1, size + 1)))) for _ in range(many)), key=len)
+        limit, least = r.choice([1, 2, 5, 50]), r.choice([1, 1, 2, 3])
+        count = Counter(x for own in lists for x in own.tolist())
+        want = sorted((-n, x) for x, n in count.items() if n >= least)[:limit]
+        places, counts = blocking._most_shared(lists, limit, least)
+        assert [(-n, x) for x, n in zip(places.tolist(), counts.tolist(), strict=True)] == want
+
+
+def test_token_overlap_by_cells_of_any_size(spark):
+    """Small cells give what one cell gives, and what counting by hand gives: hot tokens, repeats, nulls, records without tokens."""
+    r = random.Random(5)
+    words = ["hot", *(f"w{i}" for i in range(12))]
+    rows = lambda p, n: [(f"{p}-{i:04d}", sorted({"hot", *r.choices(words, k=r.randrange(4))} if i % 3 else set(r.choices(words, k=3)))) for i in range(n)]
+    asked, held = rows("S1", 50), rows("S2", 300)
+    kind = "entity_id string, name_core_tokens array<string>"
+    s1 = spark.createDataFrame([*asked, asked[0], (None, ["hot"]), ("S1-x", []), ("S1-y", None), ("S1-z", ["nowhere"])], kind)
+    pool = spark.createDataFrame([*held, held[1], (None, ["hot"]), ("S2-x", [])], kind)
+    for limit, least in ((4, 1), (200, 2), (1000, 1)):
+        want = set()
+        for a, x in asked:
+            count = {b: len(set(x) & set(y)) for b, y in held}
+            best = sorted((-n, b) for b, n in count.items() if n >= least)[:limit]
+            want |= {(a, b, -n) for n, b in best}
+        for block in ((8000, 200_000), (5, 40)):
+            got = blocking.token_candidates(s1, pool, 5000, least, limit, block=block)
+            assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert blocking.token_candidates(s1.limit(0), pool).count() == blocking.token_candidates(s1, pool.limit(0)).count() == 0
+
+
+def test_a_cell_gives_no_more_than_the_limit_of_a_query():
+    """One word in all records of a cell: each query leaves with its `limit` best, not with the word's pairs."""
+    asked = pa.table({S1: [f"S1-{i}" for i in range(300)] * 2, "token": ["harbour"] * 300 + [f"w{i % 7}" for i in range(300)], "code": pa.nulls(600, pa.string())})
+    index = pa.table({CAND: [f"S2-{i:05}" for i in range(20_000)] * 2, "token": ["harbour"] * 20_000 + [f"w{i % 11}" for i in range(20_000)], "code": pa.nulls(40_000, pa.string())})
+    out = blocking._sharing(200, 1)(asked, index)
+    assert out.num_rows == 300 * 200 and set(out.column("n_shared").to_pylist()) == {2} and not any(out.column("postal_hit").to_pylist())
+
+
 def test_frequent_word_stays_bounded(spark):
     s1, pool = (text.normalize(fixtures.stress_records(spark, p, 2000)) for p in ("S1", "S2"))
     got = blocking.token_candidates(s1, pool)
@@ -184,11 +228,11 @@ def test_hot_tokens_and_codes_are_dealt_over_tasks(spark, monkeypatch):
     row = lambda p, i: (f"{p}-{i:05}", ["hot", f"w{i % 50}"], "60001")
     kind = "entity_id string, name_core_tokens array<string>, postal_code string"
     s1, pool = spark.createDataFrame([row("S1", i) for i in range(30)], kind), spark.createDataFrame([row("S2", i) for i in range(2000)], kind)
-    calls = {"token": lambda: blocking.token_candidates(s1, pool, max_doc_freq=5000, limit=5000), "code": lambda: blocking.postal_candidates(s1, pool, 5000)}
-    whole = {k: pairs_of(f()) for k, f in calls.items()}
+    calls = {"token": lambda n: blocking.token_candidates(s1, pool, max_doc_freq=5000, limit=5000, block=(8000, n)), "code": lambda _: blocking.postal_candidates(s1, pool, 5000)}
+    whole = {k: pairs_of(f(200_000)) for k, f in calls.items()}
     assert all(len(x) == 60_000 for x in whole.values())
     monkeypatch.setattr(blocking, "PART", 100)
-    assert {k: pairs_of(f()) for k, f in calls.items()} == whole
+    assert {k: pairs_of(f(100)) for k, f in calls.items()} == whole
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         plan = blocking.postal_candidates(s1, pool, 5000).select(F.spark_partition_id().alias("task")).groupBy("task").count().collect()
@@ -202,13 +246,34 @@ def test_neighbours(spark):
     vectors = lambda p, n: spark.createDataFrame([(f"{p}-{i:04d}", [r.gauss(0, 1) for _ in range(8)]) for i in range(n)], "entity_id string, embedding array<float>")
     s1, pool = vectors("S1", 60).cache(), vectors("S2", 900).cache()
     exact = blocking.knn_candidates(s1, pool, 5)
-    cells = blocking.knn_candidates(s1, pool, 5, exact=False)
+    cells = blocking.knn_candidates(s1, pool, 5, probes=64)
     assert exact.count() == cells.count() == 300
     assert len(set(pairs_of(exact)) & set(pairs_of(cells))) >= 0.9 * 300
     assert blocking.knn_candidates(s1, pool.limit(0), 5).count() == 0
     assert blocking.knn_candidates(s1, pool.limit(3), 5).count() == 180
 
 
+def test_tiles_find_the_exact_neighbours(spark):
+    """Tiles of 100 rows against all similarities: the same vector many times over many tiles, zeros, nulls."""
+    r = random.Random(8)
+    hot = [r.gauss(0, 1) for _ in range(12)]
+    made = lambda p, n: [(f"{p}-{i:04d}", None if i % 41 == 7 else [0.0] * 12 if i % 53 == 9 else hot if i % 3 == 0 else [r.gauss(0, 1) for _ in range(12)]) for i in range(n)]
+    asked, held = made("S1", 90), made("S2", 450)
+    kind = "entity_id string, embedding array<double>"
+    s1, pool = spark.createDataFrame(asked, kind), spark.createDataFrame(held, kind)
+    unit = lambda rows: (np.array([k for k, v in rows if v]), (m := np.array([v for _, v in rows if v])) / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300))
+    (own, q), (ids, p) = unit(asked), unit(held)
+    want = {}
+    for a, sims in zip(own, (q @ p.T).round(12), strict=True):
+        want[a] = [(b, s) for s, b in sorted(zip((-sims).tolist(), ids, strict=True))[:15]]
+    for tile in (100, 7, None):
+        got = defaultdict(list)
+        for x in blocking.knn_candidates(s1, pool, 15, tile=tile).orderBy(S1, F.desc("sim"), CAND).collect():
+            got[x[S1]].append((x[CAND], -x.sim))
+        assert {a: [b for b, _ in x] for a, x in got.items()} == {a: [b for b, _ in x] for a, x in want.items()}
+        assert all(abs(s - t) < 1e-9 for a in want for (_, s), (_, t) in zip(want[a], got[a], strict=True))
+
+
 # --- features, metrics, splits ----------------------------------------------------------------
 
 
