@@ -6,7 +6,8 @@ served at many addresses); those that recur on at least MIN_PAGES pages and on S
 SMALL pages, SHARE of sqrt(SMALL * pages), so that the bar grows slowly) are templates, and the extraction deletes them: a page of
 nothing but its site's frame is empty. Elements that say by tag, role, class or id that they are not the article are
 deleted as well. Where a page marks its article (article, main, role=main), only that counts, and prose in it (paragraphs, headings,
-lists, quotes and the like) is neither taken for a template, as articles may quote each other, nor judged by its class.
+lists, quotes and the like) is not taken for a template, as articles may quote each other, and judged by its class only if it is a list or a table or
+its class names an advert. Of articles side by side the one with the most text counts; the others are another page's.
 """
 
 from __future__ import annotations
@@ -29,21 +30,27 @@ MOST_TEMPLATES = 200_000
 # Elements by role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-DROP = frozenset("head nav footer aside form script style noscript template iframe svg canvas button select textarea dialog menu object audio video title math".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+DROP = frozenset("head nav footer aside form script style noscript template iframe svg canvas button select textarea dialog menu object audio video title annotation annotation-xml".split())
+INLINE = frozenset(
+    """a abbr acronym b bdi bdo big blink cite code data del dfn em font i img input ins kbd label mark nobr output q rb rp rt rtc ruby s samp small span strike strong sub sup time tt u
+    var wbr math maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics""".split()
+)
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre table tbody thead tr td th caption figure figcaption".split()) | INLINE
+LISTS = frozenset("ul ol dl table".split())
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 SIBLINGS = {"li": ("li", ("ul", "ol")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr td th", ("table",)), "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "option": ("option", ("select",))}
 #: A class or id says so if it is made of these words and, beside one of them, of BESIDE.
 NOT_ARTICLE = frozenset(
     """ad ads adv advert adverts advertisement advertising adbox adsense banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies
     disqus footer gdpr menu menubar modal nav navbar navigation newsletter notice notices notification pager pagination popup promo promotion recommended
-    related replies reply share sharing sidebar social sponsor sponsored subscribe subscription toolbar widget widgets""".split()
+    related replies reply respond share sharing sidebar social sponsor sponsored subscribe subscription toolbar widget widgets""".split()
 )
 BESIDE = frozenset(
-    """area bar block bottom box btn button buttons center col column container content form global group holder inner item items left link links
-    list main mobile outer overlay page panel primary right row secondary section side site slot sticky top unit wrap wrapper""".split()
+    """area article bar blog block bottom box btn button buttons center col column container content form global group holder inner item items left link links
+    list main mobile outer overlay page panel post primary reader readers right row secondary section side site slot sticky top unit user users wrap wrapper""".split()
 )
+#: Words that mark an advert even where they are said of prose.
+ADVERT = frozenset("ad ads adv advert adverts advertisement advertising adbox adsense sponsored".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)([^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>""", re.DOTALL)
@@ -52,33 +59,34 @@ _NAMES = re.compile(r"[a-z]+")
 
 
 @lru_cache(maxsize=1 << 14)
-def _no_article(names: str) -> bool:
-    """Whether one of the names of a class or id consists of words that mark what is not the article."""
+def _no_article(names: str) -> int:
+    """1 if one of the names of a class or id consists of words that mark what is not the article, 2 if one of these marks an advert, else 0."""
+    found = 0
     for name in names.split():
         words = set(_NAMES.findall(name))
         if words & NOT_ARTICLE and words <= NOT_ARTICLE | BESIDE:
-            return True
-    return False
+            found = max(found, 2 if words & ADVERT else 1)
+    return found
 
 
 class Node:
     __slots__ = ("tag", "named", "drop", "items", "hash", "article", "classed")
 
-    def __init__(self, tag: str, named: str = "", drop: bool = False, article: bool = False, classed: bool = False):
-        """classed: its class or id says that it is not the article."""
+    def __init__(self, tag: str, named: str = "", drop: bool = False, article: bool = False, classed: int = 0):
+        """classed: what its class or id says, as _no_article tells."""
         self.tag, self.named, self.drop, self.article, self.classed = tag, named, drop, article, classed
         self.items: list[str | Node] = []
         self.hash = 0
 
 
 def _opened(tag: str, attributes: str) -> Node:
-    drop, main, named, classed = tag in DROP, tag in ("article", "main"), "", False
+    drop, main, named, classed = tag in DROP, tag in ("article", "main"), "", 0
     if attributes and "=" in attributes or "hidden" in attributes:
         for name, *value in _ATTRIBUTE.findall(attributes):
             name, text = name.lower(), "".join(value).lower()
             named += f"{name}={text};"
             if name in ("class", "id"):
-                classed |= tag not in ("html", "body") and _no_article(text)
+                classed = classed if tag in ("html", "body") else max(classed, _no_article(text))
             elif name == "role":
                 drop |= text in ROLES
                 main |= text == "main"
@@ -171,16 +179,16 @@ def parse(page: str) -> Node:
 def _walk(root: Node, templates: frozenset | set, collect: set | None = None) -> Iterator[str]:
     """Text of what is left, a space for each block's edge; with collect, the hashes that may be templates instead."""
     inside_marked = _marked(root)
-    stack: list[tuple[str | Node, bool]] = [(root, not inside_marked)]
+    stack: list[tuple[str | Node, bool, bool]] = [(root, not inside_marked, False)]  # and whether it is wanted, and within an article
     while stack:
-        x, wanted = stack.pop()
+        x, wanted, within = stack.pop()
         if isinstance(x, str):
             if wanted:
                 yield entities.unescape(x)
             continue
         marked = inside_marked and wanted
         prose = marked and x.tag in PROSE
-        if x.drop or x.classed and not prose or x.tag == "header" and not marked:
+        if x.drop or x.classed and not (prose and x.classed == 1 and x.tag not in LISTS) or x.tag == "header" and not marked:
             if collect is not None:
                 collect.add(x.hash)
             yield " "
@@ -191,13 +199,35 @@ def _walk(root: Node, templates: frozenset | set, collect: set | None = None) ->
             elif x.hash in templates:
                 yield " "
                 continue
-        wanted = wanted or x.article
-        edge = x.tag not in INLINE
+        wanted, within = wanted or x.article, within or x.tag == "article"
+        edge = x.tag not in INLINE and "-" not in x.tag  # an element of a site's own making is inline
         if edge:
-            stack.append((" ", True))
-        stack.extend((y, wanted) for y in reversed(x.items))
+            stack.append((" ", True, within))
+        items = x.items if within else _without_other_articles(x.items)
+        stack.extend((y, wanted, within) for y in reversed(items))
         if edge:
-            stack.append((" ", True))
+            stack.append((" ", True, within))
+
+
+def _without_other_articles(items: list) -> list:
+    """items with the article that has the most text (the first of equals) and no other, if there are several side by side."""
+    articles = [x for x in items if isinstance(x, Node) and x.article and x.tag == "article"]
+    if len(articles) < 2:
+        return items
+    best = max(articles, key=_length)
+    return [" " if isinstance(x, Node) and x is not best and x.article and x.tag == "article" else x for x in items]
+
+
+def _length(node: Node) -> int:
+    """Characters in the words of what its tags and classes leave of an element."""
+    n, stack = 0, [node]
+    while stack:
+        for x in stack.pop().items:
+            if isinstance(x, str):
+                n += sum(map(len, x.split()))
+            elif not x.drop and not x.classed:
+                stack.append(x)
+    return n
 
 
 def _marked(root: Node) -> bool:

@@ -347,6 +347,14 @@ def test_language_id_frames(spark, clashing, empty):
         ("<article><header><h1>H</h1></header><p>x</p><div role='dialog'>n</div></article><header>site</header>", "H x"),
         ("<p>unbalanced <b>bold</p><p>next</b> end", "unbalanced bold next end"),
         ("<div hidden>h</div><div>" * 3000 + "deep", "deep"),
+        ("<article><p>Real.</p><ul class='comments'><li>first!</li></ul></article>", "Real."),
+        ("<article><p>Real.</p><ol class='commentlist'><li>first!</ol><dl id=comments><dt>a<dd>b</dl><p>On.</p></article>", "Real. On."),
+        ("<article><p>a</p><p class='advert'>buy</p><table class='ad'><tr><td>buy</table><blockquote class='sponsored-box'>buy</blockquote><p class='comment'>b</p></article>", "a b"),
+        ("<div><p>a</p><div class='post-comments'>x</div><div class='user-comments'>y</div><div id='respond'>z</div><section class='reader_comments'>w</section><p>b</p></div>", "a b"),
+        ("<main><article><h1>H</h1><p>The whole story.</p></article><article><h2><a href=x>Next</a></h2></article></main>", "H The whole story."),
+        ("<article><h2>Next</h2></article><article><p>The whole story.</p><article>A reply's place.</article><article>Two.</article></article>", "The whole story. A reply's place. Two."),
+        ("<article><p>Let <math><mi>x</mi><mo>=</mo><msup><mn>2</mn><mi>n</mi></msup><annotation>x=2^n</annotation></math> be.</p></article>", "Let x=2n be."),
+        ("<article><p>soft<nobr>ware</nobr> <ruby>kan<rt>ji</rt></ruby> a<x-mark>b</x-mark>c<x-box><p>d</p></x-box>e</article>", "software kanji abc d e"),
         ("<article><p class='share-price'>up</p><div class='related-work'>b</div><p class=notice>c</p><div class='cookie-notice box'>d</div></article>", "up b c"),
         ("<body><nav>a</nav><header>b</header><footer>c</footer></body>", ""),
         ("<p>&<b>lt;</b> &am<!-- -->p; &lt<i>x</i></p>", "&lt; &amp; <x"),
