@@ -414,8 +414,11 @@ def near_dedup(docs: DataFrame, percent: int = 75) -> DataFrame:
 def one_of_each(docs: DataFrame, percent: int = 75) -> DataFrame:
     """The rows of docs that near_dedup keeps; of equal rows of a kept doc_id one stays. All rows without a doc_id stay.
 
-    An id that occurs with different texts (or other columns) keeps each of those rows, so nothing is lost by chance.
+    An id that occurs with different texts (or other columns, of any type) keeps each of those rows, so nothing is lost by chance. Rows are equal
+    if their JSON is; the join has them by id already, so repeats go without a second shuffle where it was not a broadcast.
     """
+    whole = F.sha2(F.to_json(F.struct(*(F.col(f"`{c}`") for c in docs.columns)), {"ignoreNullFields": "false"}), 256)
     kept = near_dedup(docs, percent).filter("kept and doc_id is not null").select("doc_id").distinct()
-    with_id = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").distinct()
+    with_id = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").withColumn("_of_whole_row", whole).dropDuplicates(["doc_id", "_of_whole_row"])
+    with_id = with_id.select(*(F.col(f"`{c}`") for c in docs.columns))
     return with_id.unionByName(docs.filter("doc_id is null"))

@@ -28,6 +28,10 @@ CLASSES = ("upper", "letter", "digit", "space", "point", "symbol")
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
+#: Bits for a window's place in a text; places beyond go another way.
+PLACE_BITS = 26
+
+
 def _classed(docs: DataFrame) -> DataFrame:
     """docs with the text (null: empty), its length and its class counts.
 
@@ -50,22 +54,21 @@ def _classed(docs: DataFrame) -> DataFrame:
     ).drop("_r1", "_r2")
 
 
-def _measured(docs: DataFrame) -> DataFrame:
-    """docs with the base measures, words and class counts."""
+def _measured(docs: DataFrame, bits: int = PLACE_BITS) -> DataFrame:
+    """docs with the base measures, words and class counts. Windows are sorted by a hash above `bits` bits of their place; a text with more places, or with hashes that collide, has the windows themselves sorted."""
     step = _classed(docs).withColumn("_w", F.expr(r"filter(split(_t, '[\\x20\\x09-\\x0D]+'), x -> x != '')"))
     step = step.withColumns(
         {
             "n_words": F.size("_w").cast("long"),
             "_lines": F.expr(r"filter(split(_t, '\n', -1), x -> rlike(x, '[^\\x20\\x09-\\x0D]'))"),
-            # 38 bits of the window's hash above 26 bits of its place
-            "_keys": F.expr("sort_array(transform(if(size(_w) < 3, cast(array() as array<int>), sequence(0, size(_w) - 3)), i -> (shiftleft(xxhash64(_w[i], _w[i + 1], _w[i + 2]), 26) | cast(i as bigint))))"),
+            "_keys": F.expr(f"sort_array(transform(if(size(_w) < 3, cast(array() as array<int>), sequence(0, size(_w) - 3)), i -> (shiftleft(xxhash64(_w[i], _w[i + 1], _w[i + 2]), {bits}) | cast(i as bigint))))"),
         }
     )
-    step = step.withColumn("_near", F.expr("filter(if(size(_keys) < 2, cast(array() as array<int>), sequence(0, size(_keys) - 2)), j -> shiftrightunsigned(_keys[j] ^ _keys[j + 1], 26) = 0)"))
-    step = step.withColumn("_pairs", F.expr("transform(_near, j -> array(cast(_keys[j] & 67108863 as int), cast(_keys[j + 1] & 67108863 as int)))"))
+    step = step.withColumn("_near", F.expr(f"filter(if(size(_keys) < 2, cast(array() as array<int>), sequence(0, size(_keys) - 2)), j -> shiftrightunsigned(_keys[j] ^ _keys[j + 1], {bits}) = 0)"))
+    step = step.withColumn("_pairs", F.expr(f"transform(_near, j -> array(cast(_keys[j] & {(1 << bits) - 1} as int), cast(_keys[j + 1] & {(1 << bits) - 1} as int)))"))
     same = " and ".join(f"_w[p[0] + {i}] = _w[p[1] + {i}]" for i in range(3))
-    # neighbours that only share the 38 bits may lie between equal windows; such a text's windows are sorted themselves
-    step = step.withColumn("_windows", F.expr(f"if(exists(_pairs, p -> not ({same})), sort_array(transform(sequence(0, size(_w) - 3), i -> struct(_w[i] as a, _w[i + 1] as b, _w[i + 2] as c, i as i))), null)"))
+    # neighbours that only share the hash's bits may lie between equal windows
+    step = step.withColumn("_windows", F.expr(f"if(if(size(_keys) > {1 << bits}, true, exists(_pairs, p -> not ({same}))), sort_array(transform(sequence(0, size(_w) - 3), i -> struct(_w[i] as a, _w[i + 1] as b, _w[i + 2] as c, i as i))), null)"))
     equal = " and ".join(f"_windows[j].{x} = _windows[j + 1].{x}" for x in "abc")
     exact = f"transform(filter(sequence(0, size(_windows) - 2), j -> {equal}), j -> array(_windows[j].i, _windows[j + 1].i))"
     step = step.withColumn("_at", F.expr(f"array_sort(array_distinct(flatten(if(_windows is null, _pairs, {exact}))))"))

@@ -595,6 +595,18 @@ def brute_components(rows, percent=75):
     return [(d, len(s), least.get(find(i))) for i, (d, s) in enumerate(zip([x[0] for x in rows], sets))]
 
 
+def test_one_of_each_takes_columns_of_any_type(spark):
+    """Maps, structs, arrays and odd names beside the text: equal rows go, rows that differ in any of them stay."""
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, text, {"a": 1}, (1, None), [1.5], 7), (1, text, {"a": 1}, (1, None), [1.5], 7), (1, text, {"a": 2}, (1, None), [1.5], 7), (1, text, None, (1, None), [1.5], 7)]
+    rows += [(2, text, {"a": 1}, (1, 2), None, None), (None, None, {}, None, [], 1), (None, None, {}, None, [], 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, m map<string, int>, s struct<x: int, y: int>, l array<double>, `a.b` int")
+    kept = near_dedup.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert {(r.doc_id, r.m["a"] if r.m else None) for r in kept.collect() if r.doc_id} == {(1, 1), (1, 2), (1, None)}
+    assert sum(r.doc_id is None for r in kept.collect()) == 2 and kept.count() == 5
+
+
 @pytest.mark.parametrize("block", [near_dedup.BLOCK, 150])
 def test_near_dedup(docs, clashing, empty, rows, block, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK", block)
@@ -892,6 +904,19 @@ def test_quality_counts_repeats_around_a_clash_of_hashes(spark):
     assert got == {1: 6, 2: 12, 3: 0, 4: 6}
 
 
+def test_quality_counts_repeats_beyond_the_bits_of_a_place(spark):
+    """With few bits nearly every text has more places than they hold, and the counts stay."""
+    r = random.Random(26)
+    texts = {i: " ".join(r.choice("abc") + r.choice(["", "x"]) for _ in range(i)) for i in range(60)}
+    rows = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in texts.items()], SCHEMA)
+    for bits in (2, 4, 26):
+        got = {x.doc_id: x.n_repeat_words for x in quality._measured(rows.withColumn("_t", quality.F.col("text")), bits).collect()}
+        for i, t in texts.items():
+            w = t.split()
+            windows = [tuple(w[j : j + 3]) for j in range(len(w) - 2)]
+            assert got[i] == len({j + k for j, x in enumerate(windows) if windows.count(x) > 1 for k in range(3)})
+
+
 def test_quality_has_no_python(docs):
     plan = quality.quality(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
