@@ -4,13 +4,10 @@ from __future__ import annotations
 
 import json
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import boosting
 from .blocking import CAND, S1
 from .features import FEATURES
 from .split import group_folds, stratified_folds
@@ -35,48 +32,49 @@ def blocking_recall(pairs: DataFrame, truth: DataFrame, ids: DataFrame) -> DataF
     return sums.select("total", "missed", (1 - F.try_divide("missed", "total")).alias("recall"))
 
 
-def _estimator(rounds: int, seed: int) -> Pipeline:
-    tree = GBTClassifier(featuresCol="vector", labelCol="label", weightCol="weight", lossType="logistic", stepSize=0.05, maxIter=rounds, maxDepth=5, minInstancesPerNode=20, seed=seed)
-    return Pipeline(stages=[VectorAssembler(inputCols=list(FEATURES), outputCol="vector"), tree])
+def train(features: DataFrame, rounds: int = 50, seed: int = 42) -> boosting.Model:
+    """A gradient-boosted classifier of rows with FEATURES and label; there must be rows of both labels. Nothing is drawn, so the seed changes nothing."""
+    return fit(features, 0, rounds, seed)[0]
 
 
-def _weighted(rows: DataFrame) -> DataFrame:
-    """Positives weigh as much as negatives altogether."""
-    balance = rows.agg((F.count_if(F.col("label") == 0) / F.greatest(F.lit(1), F.count_if(F.col("label") == 1))).alias("balance"))
-    return rows.crossJoin(F.broadcast(balance)).withColumn("weight", F.when(F.col("label") == 1, F.col("balance")).otherwise(1.0)).drop("balance")
-
-
-def train(features: DataFrame, rounds: int = 50, seed: int = 42) -> PipelineModel:
-    """A gradient-boosted classifier of rows with FEATURES and label; there must be rows of both labels."""
+def fit(features: DataFrame, folds: int = 5, rounds: int = 50, seed: int = 42, groups: str | None = S1) -> tuple[boosting.Model, DataFrame]:
+    """The classifier of all rows and the out-of-fold scores (see out_of_fold), grown together; without folds there are no scores."""
     classes = sorted(r.label for r in features.select("label").distinct().collect())
     if classes != [0, 1]:
         raise ValueError(f"training needs pairs of both labels; there are pairs of {classes or 'none'}")
-    return _estimator(rounds, seed).fit(_weighted(features))
+    if not folds:
+        return boosting.grow(features.withColumn("fold", F.lit(-1)), FEATURES, [None], rounds)[0], None
+    dealt, numbers = _dealt(features, folds, seed, groups)
+    models = boosting.grow(dealt, FEATURES, [None, *numbers], rounds)
+    return models[0], _by_fold(dealt, numbers, models[1:])
 
 
-def score(model: PipelineModel, features: DataFrame) -> DataFrame:
+def score(model: boosting.Model, features: DataFrame) -> DataFrame:
     """features with match_probability."""
-    return model.transform(features).withColumn("match_probability", vector_to_array("probability")[1]).drop("vector", "rawPrediction", "probability", "prediction")
-
+    return features.withColumn("match_probability", model.probability())
 
-def out_of_fold(features: DataFrame, folds: int = 5, rounds: int = 50, seed: int = 42, groups: str | None = S1) -> DataFrame:
-    """features with fold and the match_probability of a model that saw none of the fold's groups (entities).
 
-    Without groups the folds are stratified by label. Where all other folds have one label, that is the probability; no rows give none.
-    """
+def _dealt(features: DataFrame, folds: int, seed: int, groups: str | None) -> tuple[DataFrame, list[int]]:
     dealt = group_folds(features, folds, groups) if groups else stratified_folds(features, [S1, CAND], "label", folds, seed)
-    counts = dealt.groupBy("fold", "label").count().collect()
+    return dealt, sorted(r.fold for r in dealt.select("fold").distinct().collect())
+
+
+def _by_fold(dealt: DataFrame, numbers: list[int], models: list[boosting.Model]) -> DataFrame:
     out = dealt.withColumn("match_probability", F.lit(0.0)).limit(0)
-    for fold in sorted({r.fold for r in counts}):
-        own, rest = dealt.filter(F.col("fold") == fold), {r.label for r in counts if r.fold != fold}
-        if rest == {0, 1}:
-            part = score(train(dealt.filter(F.col("fold") != fold), rounds, seed), own)
-        else:
-            part = own.withColumn("match_probability", F.lit(float(min(rest, default=0))))
-        out = out.unionByName(part)
+    for fold, model in zip(numbers, models):
+        out = out.unionByName(score(model, dealt.filter(F.col("fold") == fold)))
     return out
 
 
+def out_of_fold(features: DataFrame, folds: int = 5, rounds: int = 50, seed: int = 42, groups: str | None = S1) -> DataFrame:
+    """features with fold and the match_probability of a model that saw none of the fold's groups (entities), all models grown together.
+
+    A model stops early by the loss on its own fold. Without groups the folds are stratified by label. Where all other folds have one label, that is the probability; no rows give none.
+    """
+    dealt, numbers = _dealt(features, folds, seed, groups)
+    return _by_fold(dealt, numbers, boosting.grow(dealt, FEATURES, numbers, rounds))
+
+
 def fold_metrics(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
     """accuracy, precision, recall, f1 and f0_5 of each fold; ratios without a denominator are 0."""
     hit = F.col("match_probability") >= threshold
@@ -93,14 +91,14 @@ def decide(scored: DataFrame, threshold: float) -> DataFrame:
     return scored.filter(F.col("match_probability") >= threshold).select(S1, CAND)
 
 
-def save(path: str, model: PipelineModel, idf: dict[str, DataFrame], config: dict) -> None:
+def save(path: str, model: boosting.Model, idf: dict[str, DataFrame], config: dict) -> None:
     """The model, both vectorizers and the configuration, all through Spark's writers."""
-    model.write().overwrite().save(f"{path}/model")
+    model.save(idf["name"].sparkSession, f"{path}/model")
     for field, table in idf.items():
         table.write.mode("overwrite").parquet(f"{path}/{field}_vectorizer")
     idf["name"].sparkSession.createDataFrame([(json.dumps(config),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/config")
 
 
-def load(spark: SparkSession, path: str) -> tuple[PipelineModel, dict[str, DataFrame], dict]:
+def load(spark: SparkSession, path: str) -> tuple[boosting.Model, dict[str, DataFrame], dict]:
     idf = {field: spark.read.parquet(f"{path}/{field}_vectorizer") for field in ("name", "addr")}
-    return PipelineModel.load(f"{path}/model"), idf, json.loads(spark.read.text(f"{path}/config").first()[0])
+    return boosting.load(spark, f"{path}/model"), idf, json.loads(spark.read.text(f"{path}/config").first()[0])

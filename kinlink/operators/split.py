@@ -41,15 +41,18 @@ def group_folds(pairs: DataFrame, folds: int = 5, key: str = S1) -> DataFrame:
 def stratified_folds(rows: DataFrame, keys: list[str], label: str = "label", folds: int = 5, seed: int = 42, buckets: int = 256) -> DataFrame:
     """rows with a fold, each class dealt evenly over the folds by a hash of the keys: for rows without groups to keep together.
 
+    There are no more folds than rows of the smaller class, but two at least, and two if there is one class only.
     Ranks come from sorted buckets of the hash and the buckets' running counts, as in entity_split.
     """
     own = rows.withColumn("_h", F.md5(F.concat_ws("|", *(F.col(k).cast("string") for k in keys), F.lit(str(seed)))))
     own = own.withColumn("_bucket", (F.conv(F.substring("_h", 1, 4), 16, 10).cast("int") * buckets / 65536).cast("int"))
     sizes = own.groupBy(label, "_bucket").agg(F.count("*").alias("_n"))
+    per = sizes.groupBy(label).agg(F.sum("_n").alias("_n"))
+    many = per.agg(F.when(F.count("*") > 1, F.greatest(F.lit(2), F.least(F.lit(folds), F.min("_n")))).otherwise(2).alias("_many"))
     before = F.coalesce(F.sum("_n").over(W.partitionBy(label).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     sizes = sizes.select(label, "_bucket", before.alias("_before"))
-    ranked = own.withColumn("_rank", F.row_number().over(W.partitionBy(label, "_bucket").orderBy("_h", *keys))).join(F.broadcast(sizes), [label, "_bucket"])
-    return ranked.withColumn("fold", F.pmod(F.col("_rank") + F.col("_before") - 1, F.lit(folds)).cast("int")).select(*rows.columns, "fold")
+    ranked = own.withColumn("_rank", F.row_number().over(W.partitionBy(label, "_bucket").orderBy("_h", *keys))).join(F.broadcast(sizes), [label, "_bucket"]).crossJoin(F.broadcast(many))
+    return ranked.withColumn("fold", F.pmod(F.col("_rank") + F.col("_before") - 1, F.col("_many")).cast("int")).select(*rows.columns, "fold")
 
 
 def sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:

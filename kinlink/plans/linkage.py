@@ -57,8 +57,8 @@ def train(spark: SparkSession, source1: DataFrame, source2: DataFrame, source3:
         print(f"warning: blocking finds {recall:.3f} of the true pairs, under {RECALL_GATE}")
     idf = {k: v.persist() for k, v in features.fit_vectorizers(learn, pool).items()}
     rows = matcher.labelled(features.pair_features(learn, pool, pairs, idf), truth).persist()
-    model = matcher.train(rows, config["rounds"], config["seed"])
-    measures = matcher.fold_metrics(matcher.out_of_fold(rows, config["folds"], config["rounds"], config["seed"])).drop("fold")
+    model, own_scores = matcher.fit(rows, config["folds"], config["rounds"], config["seed"])
+    measures = matcher.fold_metrics(own_scores).drop("fold")
     scored = matcher.score(model, features.pair_features(val, pool, _blocked(val, pool, config, encoder), idf)).persist()
     best = metrics.best_threshold(metrics.threshold_sweep(scored, truth, val)).first()
     own = truth.join(val.select(F.col("entity_id").alias(blocking.S1)), blocking.S1, "left_semi")
