@@ -18,12 +18,15 @@ ENCODERS = {"hashed-char-ngrams": hashed_encoder}
 
 
 def load_sources(spark: SparkSession, folder: str, name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return tuple(tables.read_records(spark, f"{folder}/{name}_source{i}.tsv") for i in (1, 2, 3))
+    """The three record tables; the pool's two with each row's place in its files."""
+    return tuple(tables.read_records(spark, f"{folder}/{name}_source{i}.tsv", position=i > 1) for i in (1, 2, 3))
 
 
 def normalized(source1: DataFrame, source2: DataFrame, source3: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Queries and pool, normalised once and kept; the pool is S2 before S3, each in order of id."""
-    pool = source2.withColumn("pos", F.concat(F.lit("2"), "entity_id")).unionByName(source3.withColumn("pos", F.concat(F.lit("3"), "entity_id")))
+    """Queries and pool, normalised once and kept; the pool is S2 before S3, each in order of its rows (column pos) or else of id."""
+    place = lambda df: F.lpad(F.col("pos").cast("string"), 19, "0") if "pos" in df.columns else F.col("entity_id")
+    placed = lambda df, first: df.withColumn("pos", F.concat(F.lit(first), place(df)))
+    pool = placed(source2, "2").unionByName(placed(source3, "3"))
     return normalize(source1).persist(), normalize(pool).persist()
 
 

@@ -650,6 +650,48 @@ def _(spark, sf_dir):
     return tables.id_lists(_sides(spark, sf_dir)[0], matcher.decide(_out_of_fold(spark, sf_dir), 0.5), "matched_entity_ids")
 
 
+# --- files ------------------------------------------------------------------------------------
+
+
+def _awkward(spark, sf_dir):
+    """Records whose fields are whole texts, with quotes, tabs, blank edges, empty fields and NA."""
+    d = _read(spark, sf_dir, "documents")
+    name = F.concat(F.lit(" \t"), F.coalesce("source", F.lit("")), F.lit(' "'), F.coalesce("lang", F.lit("")), F.lit('" '))
+    country = F.element_at(F.array(*map(F.lit, ("NA", "", " US ", '"', "null"))), (F.col("doc_id") % 5 + 1).cast("int"))
+    return d.select(F.col("doc_id").cast("string").alias("entity_id"), name.alias("business_name"), F.coalesce("text", F.lit("")).alias("business_address"), country.alias("country"))
+
+
+_AWKWARD = """awkward AS (SELECT doc_id::VARCHAR AS entity_id, ' ' || chr(9) || coalesce(source, '') || ' "' || coalesce(lang, '') || '" ' AS business_name, coalesce(text, '') AS business_address,
+  (['NA', '', ' US ', '"', 'null'])[doc_id % 5 + 1] AS country FROM documents)"""
+
+
+def _field(x: str) -> str:
+    return f"CASE WHEN regexp_matches({x}, '[\t\n\r\"]') THEN '\"' || replace({x}, '\"', '\"\"') || '\"' ELSE {x} END"
+
+
+@query("record_lines", f"WITH {_AWKWARD} SELECT entity_id, " + " || chr(9) || ".join(map(_field, tables.COLUMNS)) + " AS line FROM awkward")
+def _(spark, sf_dir):
+    return tables.record_lines(_awkward(spark, sf_dir))
+
+
+@query("records_reread", f"WITH {_AWKWARD} SELECT * FROM awkward")
+def _(spark, sf_dir):
+    return tables.records_from_lines(tables.record_lines(_awkward(spark, sf_dir)))
+
+
+@query("truth_reread", f"WITH {_NORM}{_TRUTH} SELECT s1.entity_id AS {S1}, coalesce(string_agg({CAND}, ',' ORDER BY {CAND}), '') AS ids, count({CAND}) AS n FROM s1 LEFT JOIN truth ON truth.{S1} = s1.entity_id GROUP BY 1")
+def _(spark, sf_dir):
+    """The true lists written as lines and read again; entities without a match have an empty list."""
+    lists = tables.id_lists(_sides(spark, sf_dir)[0], _truth(spark, sf_dir), "matched_entity_ids")
+    read = tables.truth_from_lines(tables.list_lines(lists, "matched_entity_ids"))
+    return read.select(S1, F.array_join("matched_entity_ids", ",").alias("ids"), F.size("matched_entity_ids").cast("long").alias("n"))
+
+
+@query("file_positions", "SELECT l_orderkey, l_linenumber, row_number() OVER () - 1 AS pos FROM lineitem")
+def _(spark, sf_dir):
+    return tables.numbered(_read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"))
+
+
 def queries() -> dict:
     return {name: f for name, (f, _) in CATALOGUE.items()}
 

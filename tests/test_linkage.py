@@ -595,3 +595,49 @@ def test_late_fill_keeps_the_capped_union(spark):
             got = blocking.candidates(s1, pool, knn, df, bucket, top, limit).collect()
             key = lambda x: tuple((c, str(x[c])) for c in (S1, CAND, "sim", "n_shared", "postal_hit"))
             assert sorted(map(key, got)) == sorted(map(key, want)) and got
+
+
+def test_places_in_files(spark, tmp_path):
+    """Several files, each in several splits: places follow the files' order, whatever the splits."""
+    for part, low in (("b", 5000), ("a", 0)):
+        rows = spark.range(low, low + 5000, 1, 1).selectExpr("id AS k", "repeat(md5(string(id)), 4) AS x")
+        rows.write.option("parquet.block.size", 65536).parquet(f"{tmp_path}/{part}")
+        rows.selectExpr("string(k) AS k", "x").write.csv(f"{tmp_path}/csv-{part}", sep="\t", header=True)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 70000)
+    try:
+        for scan in (spark.read.parquet(f"{tmp_path}/b", f"{tmp_path}/a"), spark.read.csv([f"{tmp_path}/csv-b", f"{tmp_path}/csv-a"], sep="\t", header=True)):
+            assert scan.rdd.getNumPartitions() > 3
+            got = tables.numbered(scan)
+            assert got.columns == ["k", "x", "pos"] and got.filter("pos != bigint(k)").count() == 0 and got.count() == 10000
+        assert tables.numbered(spark.read.parquet(f"{tmp_path}/a").filter("k < 0")).count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_lines_are_those_of_files(spark, tmp_path):
+    rows = [("S1-1", ' a\t"b" ', "one\ntwo\r\nthree", "NA"), ("S1-2", None, "", "null"), ("S1-3", '"', "x,y", " US "), ("S1-3", '"', "x,y", " US ")]
+    df = spark.createDataFrame(rows, tables.RECORD)
+    want = sorted(tuple(x or "" for x in r) for r in rows)
+    lines = tables.record_lines(df)
+    assert sorted(map(tuple, tables.records_from_lines(lines).collect())) == want
+    tables.write_records(df, f"{tmp_path}/r", files=1)
+    (file,) = (tmp_path / "r").glob("part-*")
+    assert sorted(x.line for x in lines.collect()) == sorted([f'S1-1\t" a\t""b"" "\t"one\ntwo\r\nthree"\tNA', "S1-2\t\t\tnull", 'S1-3\t""""\tx,y\t US ', 'S1-3\t""""\tx,y\t US '])
+    body = file.read_bytes().decode()
+    assert all(x.line in body for x in lines.collect())
+
+
+def test_pool_in_the_order_of_its_rows(spark):
+    s2 = spark.createDataFrame([("S2-b", 0), ("S2-a", 1)], "entity_id string, pos long").withColumns({c: F.lit("x 600001") for c in tables.COLUMNS[1:]})
+    s3 = s2.withColumn("entity_id", F.concat(F.lit("S3"), F.col("entity_id")))
+    _, pool = linkage.normalized(s2.drop("pos"), s2, s3)
+    assert [r.entity_id for r in pool.orderBy("pos").collect()] == ["S2-b", "S2-a", "S3S2-b", "S3S2-a"]
+
+
+def test_the_last_row_of_the_last_file_counts(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "1.tsv").write_text("source1_entity_id\tmatched_entity_ids\nS1-1\tS2-9\nS1-2\tS2-3, S2-3\n")
+    (tmp_path / "t" / "2.tsv").write_text("source1_entity_id\tmatched_entity_ids\nS1-1\tS2-1\nS1-1\tS2-2\n")
+    got = {r[0]: r[1] for r in tables.read_truth(spark, f"{tmp_path}/t").collect()}
+    assert got == {"S1-1": ["S2-2"], "S1-2": ["S2-3"]}
