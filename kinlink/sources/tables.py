@@ -67,14 +67,14 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_output(spark: SparkSession, path: str, position: bool = False) -> DataFrame | None:
-    """A result file with trimmed headers; None if there is no such file. Missing fields are ''. With position, also pos, the row's place in the files."""
+    """A result file with trimmed headers; None if there is no such file. Missing fields are ''. With position, also _pos, the row's place in the files."""
     try:
         found = _reader(spark).csv(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
             return None
         raise
-    found = numbered(found) if position else found
+    found = numbered(found, "_pos") if position else found
     return found.toDF(*(c.strip() for c in found.columns)).na.fill("")
 
 
@@ -87,7 +87,7 @@ def read_truth(spark: SparkSession, path: str) -> DataFrame:
     if rows is None:
         raise FileNotFoundError(path)
     cell = F.col("matched_entity_ids") if "matched_entity_ids" in rows.columns else F.lit("")
-    numbered = rows.select("source1_entity_id", F.array_distinct(id_list(cell)).alias("matched_entity_ids"), F.col("pos").alias("at"))
+    numbered = rows.select("source1_entity_id", F.array_distinct(id_list(cell)).alias("matched_entity_ids"), F.col("_pos").alias("at"))
     return numbered.groupBy("source1_entity_id").agg(F.max_by("matched_entity_ids", "at").alias("matched_entity_ids"))
 
 

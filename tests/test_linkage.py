@@ -637,7 +637,7 @@ def test_pool_in_the_order_of_its_rows(spark):
 
 def test_the_last_row_of_the_last_file_counts(spark, tmp_path):
     (tmp_path / "t").mkdir()
-    (tmp_path / "t" / "1.tsv").write_text("source1_entity_id\tmatched_entity_ids\nS1-1\tS2-9\nS1-2\tS2-3, S2-3\n")
-    (tmp_path / "t" / "2.tsv").write_text("source1_entity_id\tmatched_entity_ids\nS1-1\tS2-1\nS1-1\tS2-2\n")
+    (tmp_path / "t" / "1.tsv").write_text("source1_entity_id\tmatched_entity_ids\tpos\nS1-1\tS2-9\t7\nS1-2\tS2-3, S2-3\t8\n")
+    (tmp_path / "t" / "2.tsv").write_text("source1_entity_id\tmatched_entity_ids\tpos\nS1-1\tS2-1\t9\nS1-1\tS2-2\t1\n")
     got = {r[0]: r[1] for r in tables.read_truth(spark, f"{tmp_path}/t").collect()}
     assert got == {"S1-1": ["S2-2"], "S1-2": ["S2-3"]}
