@@ -9,26 +9,37 @@ from pyspark.sql import functions as F
 
 from . import boosting
 from .blocking import CAND, S1
+from .classes import Classes
 from .features import FEATURES
 from .split import group_folds, stratified_folds
 
 
-def labelled(pairs: DataFrame, truth: DataFrame) -> DataFrame:
+def labelled(pairs: DataFrame, truth: DataFrame | Classes) -> DataFrame:
     """pairs with label 1 for those in truth, else 0."""
+    if isinstance(truth, Classes):
+        return truth.hits(pairs)
     return pairs.join(truth.select(S1, CAND).distinct().withColumn("label", F.lit(1)), [S1, CAND], "left").withColumn("label", F.coalesce("label", F.lit(0)))
 
 
-def missed_positives(pairs: DataFrame, truth: DataFrame, ids: DataFrame) -> DataFrame:
+def missed_positives(pairs: DataFrame, truth: DataFrame | Classes, ids: DataFrame) -> DataFrame:
     """True pairs of the given entities that blocking lost."""
+    if isinstance(truth, Classes):
+        return truth.missed(pairs, ids)
     own = truth.select(S1, CAND).distinct().join(ids.select(F.col("entity_id").alias(S1)), S1, "left_semi")
     return own.join(pairs.select(S1, CAND), [S1, CAND], "left_anti")
 
 
-def blocking_recall(pairs: DataFrame, truth: DataFrame, ids: DataFrame) -> DataFrame:
+def blocking_recall(pairs: DataFrame, truth: DataFrame | Classes, ids: DataFrame) -> DataFrame:
     """One row: total and missed true pairs and the share found (null without true pairs)."""
-    own = truth.select(S1, CAND).distinct().join(ids.select(F.col("entity_id").alias(S1)), S1, "left_semi")
-    found = own.join(pairs.select(S1, CAND).distinct().withColumn("found", F.lit(1)), [S1, CAND], "left")
-    sums = found.agg(F.count("*").alias("total"), (F.count("*") - F.count("found")).alias("missed"))
+    given = ids.select(F.col("entity_id").alias(S1))
+    if isinstance(truth, Classes):
+        total = truth.totals().join(given, S1, "left_semi").agg(F.coalesce(F.sum("t"), F.lit(0)).alias("total"))
+        found = truth.hits(pairs.select(S1, CAND).distinct().join(given, S1, "left_semi")).agg(F.coalesce(F.sum("label"), F.lit(0)).alias("found"))
+        sums = total.crossJoin(found).select("total", (F.col("total") - F.col("found")).alias("missed"))
+    else:
+        own = truth.select(S1, CAND).distinct().join(given, S1, "left_semi")
+        found = own.join(pairs.select(S1, CAND).distinct().withColumn("found", F.lit(1)), [S1, CAND], "left")
+        sums = found.agg(F.count("*").alias("total"), (F.count("*") - F.count("found")).alias("missed"))
     return sums.select("total", "missed", (1 - F.try_divide("missed", "total")).alias("recall"))
 
 

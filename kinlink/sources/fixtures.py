@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.classes import Classes
+from .lineage import once
+
 # The legal suffixes that the fixture's names end in, by id.
 SUFFIXES = ("Pvt Ltd", "Ltd", "Corp", "Inc", "LLC", "Co")
 
@@ -46,17 +49,21 @@ def stress_records(spark: SparkSession, prefix: str, rows: int, common: float =
     )
 
 
-def sampled(source1: DataFrame, pool: DataFrame, truth: DataFrame, rows: int = 5000, matched: float = 0.944, noise: int = 3, seed: int = 42) -> tuple[DataFrame, DataFrame, DataFrame]:
+def sampled(source1: DataFrame, pool: DataFrame, truth: DataFrame | Classes, rows: int = 5000, matched: float = 0.944, noise: int = 3, seed: int = 42) -> tuple[DataFrame, DataFrame, DataFrame]:
     """A smaller set: rows S1 records with the given share of matched ones, all their true matches and noise times as many other pool records.
 
-    Which ones follows a hash of the id and the seed. truth has (source1_entity_id, candidate_entity_id).
+    Which ones follows a hash of the id and the seed. truth has (source1_entity_id, candidate_entity_id), or is given by Classes: then only the chosen records' pairs are made.
     """
     order = lambda c: F.md5(F.concat_ws("|", F.col(c), F.lit(str(seed))))
-    with_match = source1.join(truth.select(F.col("source1_entity_id").alias("entity_id")).distinct(), "entity_id", "left_semi")
+    with_match = source1.join((truth.totals() if isinstance(truth, Classes) else truth).select(F.col("source1_entity_id").alias("entity_id")).distinct(), "entity_id", "left_semi")
     without = source1.join(with_match.select("entity_id"), "entity_id", "left_anti")
     n = round(rows * matched)
     queries = with_match.orderBy(order("entity_id"), "entity_id").limit(n).unionByName(without.orderBy(order("entity_id"), "entity_id").limit(rows - n))
-    kept = truth.join(queries.select(F.col("entity_id").alias("source1_entity_id")), "source1_entity_id", "left_semi")
+    if isinstance(truth, Classes):
+        own = truth.source1.join(once(queries.select("entity_id")), "entity_id", "left_semi")
+        kept = once(Classes(own, truth.pool, truth.key).pairs())
+    else:
+        kept = truth.join(queries.select(F.col("entity_id").alias("source1_entity_id")), "source1_entity_id", "left_semi")
     ids = kept.select(F.col("candidate_entity_id").alias("entity_id")).distinct()
     true_rows = pool.join(ids, "entity_id", "left_semi")
     others = pool.join(ids, "entity_id", "left_anti").orderBy(order("entity_id"), "entity_id").limit(noise * ids.count())
