@@ -2,9 +2,9 @@
 
 Learning: one Arrow pass counts the words (runs of letters, lower case) of each language, Spark adds up the distinct words, and a
 second pass over those makes counts of ORDER-grams of characters (a word has ORDER - 1 start marks and an end mark). Lower orders
-have continuation counts. Discounts and counts come from all n-grams, and the model holds all of them, so it grows with the input, until
-the distinct n-grams of an order times the languages exceed CELLS numbers, the memory bound. Only then does an order lose its rarest
-n-grams (by the highest share that any language gives them); their probability goes to their contexts' back-off weights.
+have continuation counts. Discounts and counts come from all n-grams, and the model holds all of them, whatever their number, so it grows with the
+distinct n-grams of the input. Only a caller who gives `cells` gets a smaller model: where the distinct n-grams of an order times the languages exceed that
+number, the order loses its rarest n-grams (by the highest share that any language gives them); their probability goes to their contexts' back-off weights.
 
 The model is one table for all languages: for each order sorted hashes of the n-grams that any language has, and by row the
 interpolated log-probability under every language; the same for contexts and back-off weights. Looking up a character is a
@@ -26,12 +26,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import crc_fold, cut, mix
 
-ORDER, CELLS = 5, 8_000_000
+ORDER = 5
 START, END = "\x02", "\x03"
 #: Deviations above a language's mean at which a text is rejected, and bits for each character added to that.
 REJECT_DEVIATIONS, REJECT_BITS = 6.0, 0.25
@@ -212,10 +213,10 @@ def _grams(batches):
 def _by_language(rows: DataFrame, languages: list[str], k: int) -> list[tuple[np.ndarray, ...]]:
     """Of rows (lang, gram, numbers) each language's code points, a row for each n-gram of k characters, and its numbers."""
     table = rows.toArrow()
-    lang = np.array(table.column("lang").to_pylist(), object)
-    codes = np.frombuffer("".join(table.column("gram").to_pylist()).encode("utf-32-le"), np.uint32).reshape(-1, k)
+    lang = pc.index_in(table.column("lang"), pa.array(languages)).to_numpy()
+    codes = np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer("".join(c.to_pylist()).encode("utf-32-le"), np.uint32) for c in table.column("gram").chunks)]).reshape(-1, k)
     numbers = [table.column(c).to_numpy() for c in table.column_names[2:]]
-    return [tuple(x[lang == one] for x in (codes, *numbers)) for one in languages]
+    return [tuple(x[lang == i] for x in (codes, *numbers)) for i in range(len(languages))]
 
 
 def _most_shared(level: DataFrame, most: int) -> DataFrame:
@@ -251,15 +252,15 @@ def _prune(grams: DataFrame, languages: list[str], most: int) -> Pruned:
     return out
 
 
-def learn(docs: DataFrame, cells: int = CELLS) -> tuple[Model | None, dict[str, tuple[float, float]]]:
-    """The model of docs (lang, text) and, for each language, mean and deviation of bits a character by word; None without words."""
+def learn(docs: DataFrame, cells: int | None = None) -> tuple[Model | None, dict[str, tuple[float, float]]]:
+    """The model of docs (lang, text) and, for each language, mean and deviation of bits a character by word; None without words. With `cells` the model may hold fewer n-grams, see above."""
     counts = cut(word_counts(docs.filter("lang is not null and text is not null")))
     grams = cut(counts.mapInArrow(_grams, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     languages = sorted(r.lang for r in grams.select("lang").distinct().collect())
     if not languages:
         return None, {}
-    most = max(1, cells // len(languages))
-    if grams.select("gram").distinct().count() <= most:
+    most = None if cells is None else max(1, cells // len(languages))
+    if most is None or grams.select("gram").distinct().count() <= most:
         own = _by_language(grams, languages, ORDER)
         model = Model(languages, [g for g, _ in own], [n for _, n in own])
     else:

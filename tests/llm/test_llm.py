@@ -315,6 +315,17 @@ def test_language_model_beyond_its_bound_is_a_distribution(spark):
             assert one == pytest.approx([1.0, 1.0], rel=1e-4)
 
 
+def test_the_model_holds_all_ngrams_at_any_size(spark):
+    """More n-grams times languages than any bound that the operator ever had, 8 million: none is left out unless the caller asks for it."""
+    r = random.Random(3)
+    rows = [(f"l{i:03}", " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(12))) for i in range(400)]
+    pad = language_id.START * (language_id.ORDER - 1)
+    want = {w[i : i + language_id.ORDER] for _, t in rows for w in (pad + x + language_id.END for x in t.split()) for i in range(len(w) - language_id.ORDER + 1)}
+    model, _ = language_id.learn(spark.createDataFrame(rows, "lang string, text string"))
+    assert len(want) * 400 > 8_000_000 and len(model.keys[language_id.ORDER]) == len(want)
+
+
+
 def test_language_id_frames(spark, clashing, empty):
     r = random.Random(4)
     texts = {"en": "the quick brown fox and the lazy dog walk over that hill with them", "de": "der schnelle fuchs und ein hund gehen über den hügel mit ihnen zusammen"}
