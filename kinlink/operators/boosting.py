@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from ..sources.lineage import once
 
 UNIT = float(1 << 20)
-#: Trees between two writings of the rows' scores, and rows of a task.
-KEEP, PART = 10, 200_000
+#: Trees between two writings of the rows' scores, and rows of a task: a pass has little to do for a row, so few rows let all cores take part.
+KEEP, PART = 10, 20_000
 #: Least sum of second derivatives of a leaf.
 LEAST_HESSIAN = 1e-3
 
@@ -41,10 +41,16 @@ class Tree:
 
 def leaves(tree: Tree, bins: np.ndarray) -> np.ndarray:
     """The node of each row of bins (rows x features)."""
-    f, c, l, r = (np.array(x, np.int64) for x in (tree.feature, tree.cut, tree.left, tree.right))
-    at, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
-    while (go := l[at] >= 0).any():
-        at = np.where(go, np.where(bins[rows, f[at]] <= c[at], l[at], r[at]), at)
+    feature, cut = np.array(tree.feature, np.int64), np.array(tree.cut, np.int64)
+    sides = np.array([tree.right, tree.left], np.int64).T
+    inner = sides[:, 1] >= 0
+    sides[~inner] = np.flatnonzero(~inner)[:, None]  # a leaf leads to itself
+    depth = np.zeros(len(inner), np.int64)
+    for i in np.flatnonzero(inner):  # children come behind their parent
+        depth[sides[i]] = depth[i] + 1
+    at, flat, first, sides = np.zeros(len(bins), np.int64), np.ascontiguousarray(bins).ravel(), np.arange(len(bins)) * bins.shape[1], sides.ravel()
+    for _ in range(int(depth.max(initial=0))):
+        at = sides[2 * at + (flat[first + feature[at]] <= cut[at])]
     return at
 
 
@@ -213,8 +219,8 @@ def _sums(rows: DataFrame, shape: tuple[int, int], recent: list[list[Tree]], hel
                     continue
                 g, h = derivatives(score[use], label[use], weights[m])
                 at = ((slot[use, None] * wide + np.arange(wide)) * width + bins[use]).ravel()
-                for k, x in enumerate((g, h, np.ones(len(g)))):  # sums of a batch are below 2**53, so exact
-                    made[..., k] += np.bincount(at, np.repeat(x, wide), slots * wide * width).astype(np.int64).reshape(made.shape[:3])
+                for k, x in enumerate((g, h, None)):  # sums of a batch are below 2**53, so exact
+                    made[..., k] += np.bincount(at, None if x is None else np.repeat(x, wide), slots * wide * width).astype(np.int64).reshape(made.shape[:3])
         yield pa.RecordBatch.from_pydict({"slot": pa.array([-1, *range(slots)], pa.int32()), "sums": pa.array([loss.tobytes(), *(x.tobytes() for x in made)], pa.binary())})
 
     def add(batches):
@@ -259,7 +265,7 @@ def grow(rows: DataFrame, features: tuple[str, ...], folds: list[int | None], ro
 
     tasks = -(-sum(r["count"] for r in counts) // PART)
     kept = once(values.mapInArrow(bytes_of, "label int, fold int, bins binary, scores binary").repartition(tasks))
-    recent, losses, shape = [[] for _ in folds], [[] for _ in folds], (len(features), width)
+    recent, losses, shape, stale = [[] for _ in folds], [[] for _ in folds], (len(features), width), None
     for turn in range(rounds + 1):
         growths, fresh = {m: _Growth(most, least) for m in live}, True
         while growths:
@@ -273,6 +279,9 @@ def grow(rows: DataFrame, features: tuple[str, ...], folds: list[int | None], ro
             if not asked:
                 break
             sums, loss = _sums(kept, shape, recent, folds, weights, asked, len(order), tasks)
+            if stale is not None:
+                stale.unpersist()
+                stale = None
             if fresh:
                 for m in live:
                     losses[m].append(float(loss[m]))
@@ -293,8 +302,12 @@ def grow(rows: DataFrame, features: tuple[str, ...], folds: list[int | None], ro
         live = [m for m in live if growths[m].done]
         if not live:
             break
-        if turn % KEEP == KEEP - 1:
-            kept, recent = once(_scored(kept, len(features), recent)), [[] for _ in folds]
+        # a round's many passes read scores with all trees so far; they are held by the executors, and written now and then, as holding alone would lengthen the lineage
+        scored, recent, stale = _scored(kept, len(features), recent), [[] for _ in folds], kept
+        kept = once(scored) if turn % KEEP == KEEP - 1 else scored.persist()
+    for held in (kept, stale):
+        if held is not None:
+            held.unpersist()
     for m, fold in enumerate(folds):
         if fold is not None and losses[m]:
             del models[m].trees[int(np.argmin(losses[m])) :]

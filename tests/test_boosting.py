@@ -116,3 +116,17 @@ def test_fit_equals_single_growths(spark):
     single = {(x[S1], x[CAND]): x.match_probability for x in matcher.out_of_fold(df, folds=3, rounds=3).collect()}
     together = {(x[S1], x[CAND]): x.match_probability for x in scored.collect()}
     assert together == pytest.approx(single) and len(single) == 300
+
+
+def test_passes_score_no_tree_again(spark, monkeypatch):
+    """A round has many passes; none of them walks the trees of earlier rounds, as the rows' scores have those already."""
+    walked, sums = [], boosting._sums
+
+    def counted(rows, shape, recent, *more):
+        walked.append(max(map(len, recent)))
+        return sums(rows, shape, recent, *more)
+
+    monkeypatch.setattr(boosting, "_sums", counted)
+    rows = spark.range(200).select((F.col("id") % 17).cast("double").alias("x"), (F.col("id") % 17 > F.col("id") % 5 + 5).cast("int").alias("label"), F.lit(0).alias("fold"))
+    assert len(boosting.grow(rows, ("x",), [None], 3)[0].trees) == 3
+    assert set(walked) == {0}
