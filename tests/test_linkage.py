@@ -581,6 +581,19 @@ def test_grids_of_any_size_give_the_same_features(spark, crowded, crowded_featur
     assert none.count() == 0 and none.columns == [S1, CAND, *features.FEATURES]
 
 
+def test_only_the_wanted_features_are_computed(spark, crowded, crowded_features, monkeypatch):
+    """A query of flags fits no n-grams and sends no strings; a cosine fits one field's."""
+    s1, pool = queries._sides(spark, crowded)
+    pairs, fitted, fit = queries._capped(spark, crowded), [], tfidf.fit
+    monkeypatch.setattr(tfidf, "fit", lambda texts, column, *more: fitted.append(column) or fit(texts, column, *more))
+    for wanted, columns in ((["country_match", "postal_code_match"], []), (["addr_tfidf_cosine"], ["addr_norm"]), (["name_jaccard_tokens", "addr_len_diff_ratio"], [])):
+        fitted.clear()
+        got = queries._six(features.pair_features(s1, pool, pairs, wanted=wanted), *wanted)
+        assert fitted == columns and got.columns == [S1, CAND, *wanted]
+        assert sorted(map(tuple, got.collect())) == sorted((x[S1], x[CAND], *(x[f] for f in wanted)) for x in crowded_features)
+    assert features._fields(["country_match", "postal_code_both_present"]) == ["postal_code", "country"]
+
+
 def test_late_fill_keeps_the_capped_union(spark):
     """Against the union of all signals' pairs: hot codes, caps of buckets, neighbours of negative similarity among the smallest ids, repeats."""
     r = random.Random(12)
