@@ -214,6 +214,38 @@ def test_a_cell_gives_no_more_than_the_limit_of_a_query():
     assert out.num_rows == 300 * 200 and set(out.column("n_shared").to_pylist()) == {2} and not any(out.column("postal_hit").to_pylist())
 
 
+def test_a_cell_takes_lists_of_tokens_and_keeps_the_first_by_code():
+    """Of the `limit` best by shared tokens and id the first by tokens, equal code and id: a hit beyond the limit does not come in."""
+    r = random.Random(8)
+    words, codes = [f"w{i}" for i in range(6)], ["", "1", "2", None]
+    made = lambda p, n: [(f"{p}-{i:03}", r.sample(words, r.randrange(4)), r.choice(codes)) for i in range(n)]
+    asked, held = made("S1", 30), made("S2", 90)
+    table = lambda rows, key: pa.table({key: [x for x, _, _ in rows], "token": pa.array([t for _, t, _ in rows], pa.list_(pa.string())), "code": pa.array([c for *_, c in rows], pa.string())})
+    want = set()
+    for a, x, c in asked:
+        best = sorted((-len({*x} & {*y}), b, not (c and c == d)) for b, y, d in held if {*x} & {*y})[:20]
+        want |= {(a, b, -n, not other) for n, other, b in sorted((n, other, b) for n, b, other in best)[:4]}
+    out = blocking._sharing(20, 1, 4)(table(asked, S1), table(held, CAND))
+    assert {*zip(*(c.to_pylist() for c in out.columns), strict=True)} == want and out.num_rows == len(want)
+
+
+def test_candidates_leave_a_cell_within_their_cap(spark, monkeypatch):
+    """The cap of candidates holds in the cells, for one block of the pool and for many: no `per_token_query` rows of a query are shuffled."""
+    row = lambda p, i: (f"{p}-{i:05}", ["hot", f"w{i % 5}"], f"{i % 3}")
+    s1, pool = (spark.createDataFrame([row(p, i) for i in range(n)], "entity_id string, name_core_tokens array<string>, postal_code string") for p, n in (("S1", 20), ("S2", 400)))
+    codes = pool.select(F.col("entity_id").alias(CAND), F.col("postal_code").alias("code"))
+    whole = blocking.token_candidates(s1, pool, 5000, limit=200, codes=codes)
+    want = blocking.cap_candidates(whole.withColumn("sim", F.lit(0.0)), 7).drop("sim")
+    for block in ((8000, 200_000), (5, 60)):
+        got = blocking.token_candidates(s1, pool, 5000, limit=200, codes=codes, block=block, first=7)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 140
+    sizes = []
+    made = blocking._sharing
+    monkeypatch.setattr(blocking, "_sharing", lambda limit, least, first=None: sizes.append(first) or made(limit, least, first))
+    blocking.candidates(s1, pool, max_doc_freq=5000)
+    assert sizes == [30]
+
+
 def test_frequent_word_stays_bounded(spark):
     s1, pool = (text.normalize(fixtures.stress_records(spark, p, 2000)) for p in ("S1", "S2"))
     got = blocking.token_candidates(s1, pool)
