@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import components, cut, mix, string_chunks, word_hashes
+from .common import components, cut, mix, released, string_chunks, word_hashes
 
 K, UNION_K = 64, 256
 #: Shingles in a block, about 8 bytes each in a task.
@@ -272,7 +272,7 @@ def _alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     sized = pairs.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).distinct()
     left = sized.join(sets.select(F.col("rep").alias("a"), F.col("vals").alias("va")), "a")
-    return left.join(sets.select(F.col("rep").alias("b"), F.col("vals").alias("vb")), "b").select("a", "b", "na", "nb", "va", "vb").mapInArrow(run, LINK)
+    return left.join(sets.select(F.col("rep").alias("b"), F.col("vals").alias("vb")), "b").select("a", "b", "na", "nb", "va", "vb").mapInArrow(released(run), LINK)
 
 
 def _majority(rest: DataFrame) -> DataFrame:
@@ -355,7 +355,7 @@ def _with_text(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             keep = shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1
             yield batch.select([0, 1]).filter(pa.array(keep.astype(bool)))
 
-    near = docs.filter("doc_id is not null").select("doc_id", "text", slot.alias("slot")).mapInArrow(run, "doc_id long, text string")
+    near = docs.filter("doc_id is not null").select("doc_id", "text", slot.alias("slot")).mapInArrow(released(run), "doc_id long, text string")
     return near.join(wanted, "doc_id")
 
 
@@ -399,7 +399,7 @@ def near_dedup(docs: DataFrame, percent: int = 75) -> DataFrame:
     repeat of the smallest id is kept. A row without a doc_id joins the component of its text; alone it has a null
     component and is kept. No rows give no rows.
     """
-    sketched = cut(docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(_sketches(K), "doc_id long, n long, fp binary, vals array<long>"))
+    sketched = cut(docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(released(_sketches(K)), "doc_id long, n long, fp binary, vals array<long>"))
     sets = sketched.filter("n > 0 and doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.any_value("n").alias("n"), F.any_value("vals").alias("vals"))
     sets = cut(sets)
     own = docs.select(F.col("doc_id").cast("long"), F.col("text"))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import aside, back, cut
+from .common import aside, back, cut, released
 
 CAPACITY = 2048
 #: Pieces that one task packs.
@@ -88,7 +88,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0
             columns = list(zip(*out, strict=True)) or [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, PIECES + (", ids array<long>" if ids else ""))
+    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(released(run), PIECES + (", ids array<long>" if ids else ""))
 
 
 def lower_bound(sizes: np.ndarray, capacity: int) -> int:
@@ -168,7 +168,7 @@ def pack(cuts: DataFrame, capacity: int = CAPACITY, per_partition: int = PER_PAR
     while left:
         parts = -(-left // size)
         dealt = rest.repartition(parts, F.lit(0) if parts == 1 else F.xxhash64("uid", F.lit(turn)))
-        packed = cut(dealt.mapInArrow(_pack(capacity), "uid long, length long, bin long, offset long, done boolean").withColumn("sequence_id", place(turn)))
+        packed = cut(dealt.mapInArrow(released(_pack(capacity)), "uid long, length long, bin long, offset long, done boolean").withColumn("sequence_id", place(turn)))
         moving = packed.filter("not done").count()
         stuck = moving > 0.9 * left
         last = parts == 1 or moving == 0 or stuck and size >= 8 * per_partition

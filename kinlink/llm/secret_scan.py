@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import released
+
 #: Kinds in the order that breaks ties of start; the first three are the base.
 KINDS = ("assign", "access", "hex", "crc_token", "extended_key", "bech32_key")
 #: Keywords (compared in lower case) by kind.
@@ -124,7 +126,7 @@ def secrets(docs: DataFrame) -> DataFrame:
             rows = [[{"kind": KINDS[k], "start": a, "end": b} for a, k, b in scan(t)] if t else [] for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, kind)], ["doc_id", "spans"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, spans array<struct<kind: string, start: bigint, end: bigint>>")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(released(run), "doc_id long, spans array<struct<kind: string, start: bigint, end: bigint>>")
 
 
 def mask(docs: DataFrame) -> DataFrame:
@@ -151,5 +153,5 @@ def mask(docs: DataFrame) -> DataFrame:
                 out.append(text)
             yield batch.set_column(where, batch.schema.field(where), pa.array(out, batch.schema.field(where).type))
 
-    made = docs.mapInArrow(run, docs.schema)
+    made = docs.mapInArrow(released(run), docs.schema)
     return made.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in columns else made

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_fold, mix
+from .common import crc_fold, mix, released
 from .language_id import chunks, words_of
 
 WIDTH, STRIDE = 32, 24
@@ -312,7 +312,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network |
             net = train(texts, y, prior)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(net)], pa.binary())], ["net"])
 
-    found = rows.repartition(1).mapInArrow(fit, "net binary").collect()
+    found = rows.repartition(1).mapInArrow(released(fit), "net binary").collect()
     return pickle.loads(found[0].net) if found else 0.0
 
 
@@ -359,7 +359,7 @@ def score(docs: DataFrame, net: Network | float, keep: bool = False, threshold:
             else:
                 yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(got), pa.array((got >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
 
-    return docs.mapInArrow(run, docs.schema if keep else f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double, predicted int")
+    return docs.mapInArrow(released(run), docs.schema if keep else f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double, predicted int")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
