@@ -278,6 +278,17 @@ def test_collocations_frames(spark):
     assert [tuple(x) for x in collocations.collocations(more).collect()] == plain_collocations([("red tape. " * 12, "en")])
 
 
+def test_only_ngrams_of_frequent_parts_are_counted(spark):
+    """Each word is frequent, `a b` and `b c` are, `a b c` is, and 500 pairs are rare."""
+    rows = [("a b c. " * 12 + ". ".join(f"a x{i} c" for i in range(500)), "en"), (" ".join(f"x{i}" for i in range(500)), "en"), ("a b c " * 3, "fr")]
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    parts = spark.createDataFrame([("a b\ten",), ("b c\ten",)], "key string")
+    keys = [x.key for x in collocations.longer_ngrams(docs, 3, parts).collect()]
+    assert keys.count("a b c\ten") == 12 and len(keys) < 20  # the bit set lets few others through
+    assert collocations.longer_ngrams(docs, 3, parts.limit(0)).count() == 0
+    assert phrases(spark, rows, max_n=4) == plain_collocations(rows, max_n=4)
+
+
 def test_queries_of_the_three_are_registered():
     assert {"op11_tiered_packing", "op12_prefix_trie", "op13_collocations"} <= set(queries.queries())
     assert {"op12_prefix_trie", "op13_collocations"} <= set(queries.oracle_sql())
