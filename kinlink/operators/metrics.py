@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.lineage import once
 from .blocking import CAND, S1
 from .classes import Classes
 
@@ -38,7 +39,8 @@ def entity_scores(predictions: DataFrame, truth: DataFrame | Classes, ids: DataF
 
 
 def entity_report(predictions: DataFrame, truth: DataFrame | Classes, ids: DataFrame, beta: float = 0.5) -> DataFrame:
-    """entity_scores with the sorted ids on both sides; of Classes the true ones are joined by commas, once for each class."""
+    """entity_scores with the sorted ids on both sides; of Classes the true ones are joined by commas, once for each class. Predictions are computed once, for scores and lists."""
+    predictions = once(predictions.select(S1, CAND))
     lists = lambda pairs, name: pairs.groupBy(S1).agg(F.sort_array(F.collect_set(CAND)).alias(name))
     out = entity_scores(predictions, truth, ids, beta).select(S1, "f_beta")
     out, none = out.join(lists(predictions, "predicted"), S1, "left"), F.array().cast("array<string>")

@@ -10,11 +10,17 @@ from .lineage import once
 
 # The legal suffixes that the fixture's names end in, by id.
 SUFFIXES = ("Pvt Ltd", "Ltd", "Corp", "Inc", "LLC", "Co")
+#: Characters of a text that mostly hold its first words.
+HEAD = 100
 
 
 def records_of(documents: DataFrame) -> DataFrame:
     """Business records derived from documents (doc_id, text, lang): entity_id, business_name, business_address, country, and the first 30 characters of the text as stem."""
-    w = F.filter(F.split(F.coalesce("text", F.lit("")), r"[ \t\n\r\f]+"), lambda t: t != "")
+    # Four words are read: a text's first HEAD characters have them if they have five, else the text is split, an empty word may come before the four and the rest of the text after.
+    words = lambda text: F.filter(F.split(text, r"[ \t\n\r\f]+", 6), lambda t: t != "")
+    text = F.coalesce("text", F.lit(""))
+    head = words(F.substring(text, 1, HEAD))
+    w = F.when(F.size(head) > 4, head).otherwise(words(text))
     size = lambda i: F.coalesce(F.char_length(F.get("w", F.lit(i))), F.lit(0))
     base = documents.select("doc_id", "lang", F.substring("text", 1, 30).alias("stem"), w.alias("w"))
     base = base.withColumn("k", (37 * size(0) + 101 * size(1) + 13 * size(2)) % 300)
