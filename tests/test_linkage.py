@@ -739,3 +739,36 @@ def test_a_tile_of_neighbours_needs_little_memory():
     asked = {f"{S1}{i:05}": i // 100 for i in range(0, 3000, 100)}
     assert got.num_rows == 45_000 and peak < 96 << 20
     assert {(asked[x], int(y[-5:])) for x, y in zip(got.column(S1).to_pylist(), got.column(CAND).to_pylist(), strict=True) if x in asked} == want
+
+
+def test_a_record_has_the_first_words_of_its_text_however_long(spark):
+    texts = ["", "  a b", "\t\n", f"{'x' * 300} b c d e f", f" a b {'y' * 90} {'z' * 90} e", "a b c d e f g " * 50, f"a b c d{' ' * 200}e", f"a b c {'d' * 93}e f g", None]
+    got = fixtures.records_of(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("lang", F.lit("en"))).collect()
+    assert [x.business_name.rsplit(" ", 1)[0].replace(" Pvt", "") for x in sorted(got, key=lambda x: int(x.entity_id[-7:]))] == [" ".join((t or "").split()[:4]) for t in texts]
+
+
+def test_encoder_candidates_encode_each_record_once(spark, monkeypatch):
+    seen, encode = spark.sparkContext.accumulator(0), queries.hashed_encoder()
+
+    @F.udf("string")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    monkeypatch.setattr(queries, "hashed_encoder", lambda: lambda text: encode(counted(text)))
+    found = queries.queries()["encoder_candidates"](spark, "/root/testdata/sf0.001").count()
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
+    assert found and seen.value == rows
+
+
+def test_single_precision_chooses_neighbours_without_losing_any():
+    """Similarities differ by less than single precision tells, in more columns than a group has."""
+    g = np.random.default_rng(3)
+    base = g.normal(size=64)
+    pool = np.concatenate([base + 1e-7 * g.normal(size=(500, 64)), g.normal(size=(3500, 64)), np.zeros((5, 64))])
+    asked = np.concatenate([base[None] + 1e-3 * g.normal(size=(20, 64)), np.zeros((2, 64)), pool[600:640]])
+    made = lambda name, m: pa.table({name: [f"{i:05}" for i in range(len(m))], "u": list(m)})
+    a, b = (blocking._unit(pa.chunked_array([pa.array(list(m))]), float) for m in (asked, pool))
+    want = {(i, j) for i, row in enumerate(np.einsum("id,jd->ij", a, b).round(12)) for j in np.argsort(-row, kind="stable")[:15].tolist()}
+    got = blocking._meeting(15, float, 12)(made(S1, asked), made(CAND, pool))
+    assert {(int(x), int(y)) for x, y in zip(got.column(S1).to_pylist(), got.column(CAND).to_pylist(), strict=True)} == want
