@@ -1,9 +1,10 @@
 """Gradient-boosted trees grown by leaves, all folds' models in one growth.
 
-Features are binned once by quantiles; a row is then a byte for each feature, its label and its fold. A pass over the rows adds up
-histograms of gradients (tasks sum their own rows, sums meet in a shuffle by slot), and the driver gets the sums only: at most
-models x leaves x features x bins numbers, whatever the rows. One pass serves the models of all folds and every leaf that may still
+Features are binned once by quantiles; a row is then a byte for each feature, its label and its fold, and rows are held in blocks of columns. A pass over
+the blocks adds up histograms of gradients (tasks sum their own rows, the sums of many tasks meet in a shuffle by slot), and the driver gets sums only: at
+most models x leaves x features x bins numbers, of FEW tasks at most. One pass serves the models of all folds and every leaf that may still
 be split, so a tree takes as many passes as it is deep, not one for each leaf and model. The smaller child is counted, the other is the difference.
+A pass has little work and there are many, so a block is one object on its way to Python, and only the paths to the nodes asked for are followed.
 
 Gradients are whole numbers of 2**-20, so sums are exact; cuts come from counts of rounded values. So the trees do not depend on the partitioning. A null or NaN feature counts as the least value.
 """
@@ -16,14 +17,15 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.lineage import once
 
 UNIT = float(1 << 20)
-#: Trees between two writings of the rows' scores, and rows of a task: a pass has little to do for a row, so few rows let all cores take part.
-KEEP, PART = 10, 20_000
+#: Trees between two writings of the rows' scores, rows of a block, blocks of a task beyond one task a core, and tasks whose sums the driver adds.
+KEEP, PART, BLOCKS, FEW = 10, 20_000, 10, 16
 #: Least sum of second derivatives of a leaf.
 LEAST_HESSIAN = 1e-3
 
@@ -177,65 +179,120 @@ class _Growth:
         return made, at
 
 
-def _columns(batch: pa.RecordBatch, wide: int, models: int):
-    n = batch.num_rows
-    bins = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(n, wide)
-    scores = np.frombuffer(b"".join(batch.column("scores").to_pylist()), np.float64).reshape(n, models)
-    return bins, scores, batch.column("label").to_numpy(), batch.column("fold").to_numpy()
+#: Bins (features x rows), scores (models x rows), labels and folds of some rows.
+Block = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
-def _scored(rows: DataFrame, wide: int, recent: list[list[Tree]]) -> DataFrame:
-    """rows with the recent trees added to their scores."""
+def _blocks(rows: DataFrame, wide: int, models: int) -> RDD:
+    """The rows (label, fold, bins) as blocks of at most PART, with scores of 0."""
+    most = PART
 
-    def add(batches):
+    def pack(batches):
+        held = 0
+        parts: list[pa.RecordBatch] = []
         for b in batches:
-            bins, scores, _, _ = _columns(b, wide, len(recent))
-            scores = np.stack([sum((np.array(t.value)[leaves(t, bins)] for t in trees), scores[:, m]) for m, trees in enumerate(recent)], axis=1)
-            yield b.set_column(b.schema.get_field_index("scores"), "scores", pa.array([x.tobytes() for x in scores], pa.binary()))
-
-    return rows.mapInArrow(add, rows.schema)
-
-
-def _sums(rows: DataFrame, shape: tuple[int, int], recent: list[list[Tree]], held: list[int | None], weights: list[float], asked: dict[int, tuple[Tree, dict[int, int]]], slots: int, tasks: int):
-    """Histograms (slots x features x bins x 3) of the asked nodes, and each model's loss on its held-out fold.
-
-    asked: a model's tree of all nodes known so far and the slot of each of its nodes that is counted.
+            while b.num_rows:
+                parts.append(b.slice(0, most - held))
+                held += parts[-1].num_rows
+                b = b.slice(parts[-1].num_rows)
+                if held == most:
+                    yield packed(parts)
+                    parts, held = [], 0
+        if parts:
+            yield packed(parts)
+
+    def packed(parts):
+        own = pa.Table.from_batches(parts)
+        bins = np.frombuffer(b"".join(own.column("bins").to_pylist()), np.uint8).reshape(-1, wide).T
+        whole = lambda c: own.column(c).to_numpy().astype(np.int32).tobytes()
+        return pa.RecordBatch.from_pydict({"bins": pa.array([bins.tobytes()], pa.binary()), "label": pa.array([whole("label")], pa.binary()), "fold": pa.array([whole("fold")], pa.binary())})
+
+    def unpacked(row) -> Block:
+        label, fold = (np.frombuffer(x, np.int32) for x in (row.label, row.fold))
+        return np.frombuffer(row.bins, np.uint8).reshape(wide, -1), np.zeros((models, len(label))), label, fold
+
+    return once(rows.mapInArrow(pack, "bins binary, label binary, fold binary")).rdd.map(unpacked)
+
+
+def _scored(blocks: RDD, recent: list[list[Tree]]) -> RDD:
+    """blocks with the recent trees added to their scores."""
+
+    def add(block: Block) -> Block:
+        bins, scores, label, fold = block
+        return bins, np.stack([_score(trees, scores[m], bins) for m, trees in enumerate(recent)]), label, fold
+
+    return blocks.map(add)
+
+
+def _score(trees: list[Tree], score: np.ndarray, bins: np.ndarray) -> np.ndarray:
+    """score with the values of the trees added."""
+    for t in trees:
+        value = np.zeros(len(score))
+        ends = {i for i, left in enumerate(t.left) if left < 0}
+        for node, rows in _members(t, ends, bins, np.ones(len(score), bool)).items():
+            value[rows] = t.value[node]
+        score = score + value
+    return score
+
+
+def _members(tree: Tree, wanted, bins: np.ndarray, use: np.ndarray) -> dict[int, np.ndarray]:
+    """Which of the rows to use (a mask) are in each of the wanted leaves; only paths to these are followed."""
+    needed = [i in wanted for i in range(len(tree.left))]
+    for i in reversed(range(len(needed))):  # children come behind their parent
+        if tree.left[i] >= 0:
+            needed[i] = needed[tree.left[i]] or needed[tree.right[i]]
+    masks = {0: use}
+    for i in range(len(needed)):
+        if tree.left[i] < 0 or not needed[i]:
+            continue
+        own, low = masks.pop(i), bins[tree.feature[i]] <= tree.cut[i]
+        if needed[tree.left[i]]:
+            masks[tree.left[i]] = own & low
+        if needed[tree.right[i]]:
+            masks[tree.right[i]] = own > low
+    return {i: mask for i, mask in masks.items() if needed[i]}
+
+
+def _histograms(bins: np.ndarray, score: np.ndarray, label: np.ndarray, weight: float, members: dict[int, np.ndarray], width: int) -> np.ndarray:
+    """Histograms (slots x features x bins x 3) of a block's rows in each slot; members: its rows (a mask)."""
+    rows = [np.flatnonzero(mask) for mask in members.values()]
+    slot = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    rows, wide = np.concatenate(rows), len(bins)
+    g, h = derivatives(score[rows], label[rows], weight)
+    at = bins.take(rows, axis=1) + (slot * (wide * width) + np.arange(wide)[:, None] * width)
+    many = len(members) * wide * width
+    every = lambda x: np.broadcast_to(x.astype(float), at.shape).ravel()
+    made = [np.bincount(at.ravel(), None if x is None else every(x), many) for x in (g, h, None)]  # sums of a block are below 2**53, so exact
+    return np.stack(made, axis=1).astype(np.int64).reshape(len(members), wide, width, 3)
+
+
+def _sums(blocks: RDD, shape: tuple[int, int], recent: list[list[Tree]], held: list[int | None], weights: list[float], asked: dict[int, tuple[Tree, dict[int, int]]], slots: int, tasks: int):
+    """Histograms (slots x features x bins x 3) of the asked nodes, and each model's loss on its held-out fold where its tree is a mere root.
+
+    recent: trees that the scores do not have yet. asked: a model's tree of all nodes known so far and the slot of each of its nodes that is counted.
     """
     wide, width = shape
 
-    def count(batches):
+    def count(own):
         made, loss = np.zeros((slots, wide, width, 3), np.int64), np.zeros(len(recent), np.int64)
-        for b in batches:
-            bins, scores, label, fold = _columns(b, wide, len(recent))
+        for bins, scores, label, fold in own:
             for m, (tree, places) in asked.items():
-                score = sum((np.array(t.value)[leaves(t, bins)] for t in recent[m]), scores[:, m])
+                score = _score(recent[m], scores[m], bins)
                 out = np.zeros(len(label), bool) if held[m] is None else fold == held[m]
-                loss[m] += np.rint(UNIT * np.logaddexp(0, np.where(label[out] == 1, -score[out], score[out]))).astype(np.int64).sum()
-                slot = np.full(len(tree.left), -1)
-                slot[[*places]] = [*places.values()]
-                slot = slot[leaves(tree, bins)]
-                use = ~out & (slot >= 0)
-                if not use.any():
-                    continue
-                g, h = derivatives(score[use], label[use], weights[m])
-                at = ((slot[use, None] * wide + np.arange(wide)) * width + bins[use]).ravel()
-                for k, x in enumerate((g, h, None)):  # sums of a batch are below 2**53, so exact
-                    made[..., k] += np.bincount(at, None if x is None else np.repeat(x, wide), slots * wide * width).astype(np.int64).reshape(made.shape[:3])
-        yield pa.RecordBatch.from_pydict({"slot": pa.array([-1, *range(slots)], pa.int32()), "sums": pa.array([loss.tobytes(), *(x.tobytes() for x in made)], pa.binary())})
-
-    def add(batches):
-        total = {}
-        for b in batches:
-            for slot, x in zip(b.column("slot").to_pylist(), b.column("sums").to_pylist()):
-                x = np.frombuffer(x, np.int64)
-                total[slot] = total[slot] + x if slot in total else x
-        yield pa.RecordBatch.from_pydict({"slot": pa.array([*total], pa.int32()), "sums": pa.array([x.tobytes() for x in total.values()], pa.binary())})
-
-    parts = rows.mapInArrow(count, "slot int, sums binary")
-    if tasks > 1:
-        parts = parts.repartition(min(tasks, 16), "slot").mapInArrow(add, "slot int, sums binary")
-    got = {r.slot: np.frombuffer(r.sums, np.int64) for r in parts.collect()}
-    return np.stack([got[s] for s in range(slots)]).reshape(slots, wide, width, 3) if slots else None, got[-1] / UNIT
+                if len(tree.left) == 1:
+                    loss[m] += np.rint(UNIT * np.logaddexp(0, np.where(label[out] == 1, -score[out], score[out]))).astype(np.int64).sum()
+                members = _members(tree, places, bins, ~out) if places else {}
+                members = {places[i]: mask for i, mask in members.items() if mask.any()}
+                if members:
+                    made[[*members]] += _histograms(bins, score, label, weights[m], members, width)
+        yield -1, loss
+        yield from enumerate(made)
+
+    parts = blocks.mapPartitions(count)
+    got: dict[int, np.ndarray] = {}
+    for slot, x in (parts if tasks <= FEW else parts.reduceByKey(np.add, FEW)).collect():
+        got[slot] = got[slot] + x if slot in got else x
+    return np.stack([got[s] for s in range(slots)]) if slots else None, got[-1] / UNIT
 
 
 def grow(rows: DataFrame, features: tuple[str, ...], folds: list[int | None], rounds: int = 500, most: int = 31, least: int = 20, step: float = 0.05, patience: int = 30, width: int = 64) -> list[Model]:
@@ -256,15 +313,15 @@ def grow(rows: DataFrame, features: tuple[str, ...], folds: list[int | None], ro
     models = [Model(features, cuts, constant=None if m in live else float(yes > 0)) for m, (no, yes) in enumerate(each)]
     if not live:
         return models
-    empty = np.zeros(len(folds)).tobytes()
 
     def bytes_of(batches):
         for b in batches:
             made = binned(np.stack([b.column(c).to_numpy(zero_copy_only=False).astype(float) for c in features], axis=1), cuts)
-            yield pa.RecordBatch.from_pydict({"label": b.column("label").cast(pa.int32()), "fold": b.column("fold"), "bins": pa.array([x.tobytes() for x in made], pa.binary()), "scores": pa.array([empty] * len(made), pa.binary())})
+            yield pa.RecordBatch.from_pydict({"label": b.column("label").cast(pa.int32()), "fold": b.column("fold"), "bins": pa.array([x.tobytes() for x in made], pa.binary())})
 
-    tasks = -(-sum(r["count"] for r in counts) // PART)
-    kept = once(values.mapInArrow(bytes_of, "label int, fold int, bins binary, scores binary").repartition(tasks))
+    n = sum(r["count"] for r in counts)
+    tasks = max(min(-(-n // PART), max(8, rows.sparkSession.sparkContext.defaultParallelism)), -(-n // (PART * BLOCKS)))
+    kept = _blocks(values.mapInArrow(bytes_of, "label int, fold int, bins binary").repartition(tasks), len(features), len(folds)).persist(StorageLevel.MEMORY_AND_DISK)
     recent, losses, shape, stale = [[] for _ in folds], [[] for _ in folds], (len(features), width), None
     for turn in range(rounds + 1):
         growths, fresh = {m: _Growth(most, least) for m in live}, True
@@ -303,8 +360,9 @@ def grow(rows: DataFrame, features: tuple[str, ...], folds: list[int | None], ro
         if not live:
             break
         # a round's many passes read scores with all trees so far; they are held by the executors, and written now and then, as holding alone would lengthen the lineage
-        scored, recent, stale = _scored(kept, len(features), recent), [[] for _ in folds], kept
-        kept = once(scored) if turn % KEEP == KEEP - 1 else scored.persist()
+        kept, recent, stale = _scored(kept, recent).persist(StorageLevel.MEMORY_AND_DISK), [[] for _ in folds], kept
+        if turn % KEEP == KEEP - 1:
+            kept.checkpoint()
     for held in (kept, stale):
         if held is not None:
             held.unpersist()

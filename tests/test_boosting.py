@@ -130,3 +130,31 @@ def test_passes_score_no_tree_again(spark, monkeypatch):
     rows = spark.range(200).select((F.col("id") % 17).cast("double").alias("x"), (F.col("id") % 17 > F.col("id") % 5 + 5).cast("int").alias("label"), F.lit(0).alias("fold"))
     assert len(boosting.grow(rows, ("x",), [None], 3)[0].trees) == 3
     assert set(walked) == {0}
+
+
+def test_passes_read_blocks_of_rows(spark, monkeypatch):
+    """A pass reads a few blocks, not a record for each row; the sums of many tasks are added in a shuffle, to the same trees."""
+    monkeypatch.setattr(boosting, "PART", 100)
+    x, y, fold = _rows(1000)
+    df, seen, sums = _frame(spark, x, y, fold), [], boosting._sums
+
+    def counted(rows, *more):
+        seen.append(rows.count())
+        return sums(rows, *more)
+
+    few = boosting.grow(df, NAMES, [0, None], rounds=2, most=6, width=8)
+    monkeypatch.setattr(boosting, "_sums", counted)
+    monkeypatch.setattr(boosting, "FEW", 1)
+    many = boosting.grow(df, NAMES, [0, None], rounds=2, most=6, width=8)
+    assert seen and max(seen) <= 20
+    assert [m.trees for m in few] == [m.trees for m in many]
+
+
+def test_members_follow_the_paths_asked_for():
+    tree = boosting.Tree([0, 1, 0, 0, 0], [3, 2, 0, 0, 0], [1, 3, -1, -1, -1], [2, 4, -1, -1, -1], [0.0] * 5)
+    bins = np.random.default_rng(2).integers(0, 8, (2, 500)).astype(np.uint8)
+    use = np.arange(500) % 3 > 0
+    ends = boosting.leaves(tree, bins.T)
+    for wanted in ({2}, {3}, {3, 4}, {2, 3, 4}, set()):
+        got = boosting._members(tree, wanted, bins, use)
+        assert set(got) == wanted and all((got[i] == (use & (ends == i))).all() for i in wanted)
