@@ -21,6 +21,7 @@ from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.blocks import gathered
 from ..sources.lineage import once
 
 UNIT = float(1 << 20)
@@ -188,24 +189,10 @@ def _blocks(rows: DataFrame, wide: int, models: int) -> RDD:
     most = PART
 
     def pack(batches):
-        held = 0
-        parts: list[pa.RecordBatch] = []
-        for b in batches:
-            while b.num_rows:
-                parts.append(b.slice(0, most - held))
-                held += parts[-1].num_rows
-                b = b.slice(parts[-1].num_rows)
-                if held == most:
-                    yield packed(parts)
-                    parts, held = [], 0
-        if parts:
-            yield packed(parts)
-
-    def packed(parts):
-        own = pa.Table.from_batches(parts)
-        bins = np.frombuffer(b"".join(own.column("bins").to_pylist()), np.uint8).reshape(-1, wide).T
-        whole = lambda c: own.column(c).to_numpy().astype(np.int32).tobytes()
-        return pa.RecordBatch.from_pydict({"bins": pa.array([bins.tobytes()], pa.binary()), "label": pa.array([whole("label")], pa.binary()), "fold": pa.array([whole("fold")], pa.binary())})
+        for own in gathered(batches, most):
+            bins = np.frombuffer(b"".join(own.column("bins").to_pylist()), np.uint8).reshape(-1, wide).T
+            whole = lambda c: own.column(c).to_numpy().astype(np.int32).tobytes()  # noqa: B023, E731
+            yield pa.RecordBatch.from_pydict({"bins": pa.array([bins.tobytes()], pa.binary()), "label": pa.array([whole("label")], pa.binary()), "fold": pa.array([whole("fold")], pa.binary())})
 
     def unpacked(row) -> Block:
         label, fold = (np.frombuffer(x, np.int32) for x in (row.label, row.fold))

@@ -761,6 +761,17 @@ def test_encoder_candidates_encode_each_record_once(spark, monkeypatch):
     assert found and seen.value == rows
 
 
+def test_exact_neighbours_shuffle_no_copies_of_vectors(spark):
+    """Each vector is dealt once, however many blocks meet; before, it went to every tile of its row or column."""
+    g, store = np.random.default_rng(5), spark.sparkContext._jsc.sc().statusStore()
+    written = lambda: sum(store.executorList(False).apply(i).totalShuffleWrite() for i in range(store.executorList(False).size()))
+    made = lambda p, n: spark.createDataFrame([(f"{p}-{i:05}", x.tolist()) for i, x in enumerate(g.normal(size=(n, 64)))], "entity_id string, embedding array<double>").cache()
+    s1, pool = made("S1", 300), made("S2", 1500)
+    assert s1.count() + pool.count() == 1800
+    began = written()
+    assert blocking.knn_candidates(s1, pool, 2, tile=30).count() == 600
+    assert 0 < written() - began < 3 * 1800 * 64 * 8
+
 def test_single_precision_chooses_neighbours_without_losing_any():
     """Similarities differ by less than single precision tells, in more columns than a group has."""
     g = np.random.default_rng(3)
