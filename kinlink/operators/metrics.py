@@ -22,6 +22,11 @@ def f_beta(tp: Column, predicted: Column, truth: Column, beta: float = 0.5) -> C
     return F.when(truth == 0, F.when(predicted == 0, 1.0).otherwise(0.0)).when(tp == 0, 0.0).otherwise(score)
 
 
+def mean(x: Column) -> Column:
+    """The mean of values from 0 to 1, null without any. Sums of decimals are exact, so it depends on no order of the rows."""
+    return F.try_divide(F.sum(x.cast("decimal(28,20)")).cast("double"), F.count(x))
+
+
 def entity_counts(predictions: DataFrame, truth: DataFrame | Classes, ids: DataFrame) -> DataFrame:
     """(S1, tp, predicted, truth) for every id of ids (entity_id); pairs of other ids are left out, repeated pairs count once."""
     if isinstance(truth, Classes):
@@ -52,7 +57,7 @@ def entity_report(predictions: DataFrame, truth: DataFrame | Classes, ids: DataF
 
 def macro_f_beta(predictions: DataFrame, truth: DataFrame | Classes, ids: DataFrame, beta: float = 0.5) -> DataFrame:
     """One row: the mean over all ids, 0 without ids."""
-    return entity_scores(predictions, truth, ids, beta).agg(F.coalesce(F.avg("f_beta"), F.lit(0.0)).alias("macro_f_beta"))
+    return entity_scores(predictions, truth, ids, beta).agg(F.coalesce(mean(F.col("f_beta")), F.lit(0.0)).alias("macro_f_beta"))
 
 
 def summary(predictions: DataFrame, truth: DataFrame | Classes, ids: DataFrame) -> DataFrame:
@@ -60,7 +65,7 @@ def summary(predictions: DataFrame, truth: DataFrame | Classes, ids: DataFrame)
     own = entity_scores(predictions, truth, ids)
     right = (F.col("tp") == F.col("predicted")) & (F.col("tp") == F.col("truth"))
     sums = own.agg(
-        F.sum("tp").alias("tp"), F.sum("predicted").alias("p"), F.sum("truth").alias("t"), F.avg("f_beta").alias("macro"), F.count("*").alias("n"),
+        F.sum("tp").alias("tp"), F.sum("predicted").alias("p"), F.sum("truth").alias("t"), mean(F.col("f_beta")).alias("macro"), F.count("*").alias("n"),
         F.count_if(F.col("truth") == 0).alias("single"), F.count_if((F.col("truth") == 0) & (F.col("predicted") == 0)).alias("single_right"), F.count_if(right).alias("exact"),
     )
     ratio = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
@@ -87,7 +92,7 @@ def threshold_sweep(scored: DataFrame, truth: DataFrame | Classes, ids: DataFram
     at = lambda i: F.col("level") >= i
     counts = placed.groupBy(S1).agg(*(F.count_if(at(i)).alias(f"p{i}") for i in steps), *(F.count_if(at(i) & (F.col("hit") == 1)).alias(f"h{i}") for i in steps))
     rows = entities.join(totals, S1, "left").join(counts, S1, "left").na.fill(0)
-    means = rows.agg(*(F.avg(f_beta(F.col(f"h{i}"), F.col(f"p{i}"), F.col("t"), beta)).alias(f"f{i}") for i in steps))
+    means = rows.agg(*(mean(f_beta(F.col(f"h{i}"), F.col(f"p{i}"), F.col("t"), beta)).alias(f"f{i}") for i in steps))
     each = F.explode(F.array(*(F.struct(F.lit(t).alias("threshold"), F.col(f"f{i}").alias("macro_f0_5")) for i, t in zip(steps, thresholds, strict=True))))
     return means.select(each.alias("x")).select("x.*").filter("macro_f0_5 is not null")
 
